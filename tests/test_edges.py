@@ -1,0 +1,303 @@
+"""Hand-made edge frames, one test per semantic trap (FIXTURES.md section 5)."""
+
+from __future__ import annotations
+
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from demandlens.functions.measures import pct_change, year_before
+from demandlens.functions.predicates import main_line
+from demandlens.operators import antipeaks as ap
+from demandlens.operators import cuts, enrich, forecast, peaks, sales, stock
+from demandlens.params import Params
+from demandlens.plans import jobs
+
+A = date(2024, 3, 4)  # a Monday
+P = Params(as_of=A, peak_floor=100.0, stock_ref_from=A - timedelta(days=21),
+           stock_ref_to=A - timedelta(days=1), min_median=20.0, min_stores=0,
+           day_total_floor=0.0)
+
+
+def day(k: int) -> date:
+    return A + timedelta(days=k)
+
+
+def fc(material, store, k, value, promo=0, diag="", ofr=None, snapshot=A, **kw):
+    return {"material": material, "store": store, "forecast_date": day(k), "snapshot_date": snapshot,
+            "diag_id": diag, "ofr_id": ofr if ofr is not None else ("P" if promo else ""),
+            "promo_flag": promo, "system_forecast": float(value), **kw}
+
+
+def violations(frame, rows, p=P):
+    f = frame("forecast", rows)
+    return peaks.spike_violations(peaks.neighbours(peaks.peak_series(f, p)), p)
+
+
+# --- Q7: first rows of a series take the default arm -----------------------------------------
+
+def test_series_of_one_two_three_days(frame):
+    rows = [fc(1, "S1", 0, 500),                                   # one day: no next row
+            fc(2, "S1", 0, 200), fc(2, "S1", 1, 500),              # two days
+            fc(3, "S1", 0, 300), fc(3, "S1", 1, 200), fc(3, "S1", 2, 700)]
+    got = {(r.sku, r.peak_eve_date): r.fails_rule for r in violations(frame, rows).collect()}
+    # material 1 has no row with a next value, so the floor drops it
+    assert (1, day(0)) not in got
+    # lag NULL -> guard unknown -> compare with today's value x 2: 500 > 400
+    assert got[(2, day(0))] == 1
+    # row day1 of material 3: prev=300, prev2=NULL -> default arm: 700 > 400
+    assert got[(3, day(1))] == 1
+    assert got[(3, day(0))] == 0
+
+
+def test_guard_arm_uses_yesterday(frame):
+    # day2: prev=150 < 2 * prev2(100) -> compare next with prev x 1.8 = 270
+    rows = [fc(1, "S1", 0, 100), fc(1, "S1", 1, 150), fc(1, "S1", 2, 260), fc(1, "S1", 3, 280)]
+    got = {r.peak_eve_date: r.fails_rule for r in violations(frame, rows).collect()}
+    assert got[day(2)] == 1          # 280 > 150 * 1.8 = 270 even though 280 < 260 * 2
+
+
+# --- Q5: neighbours are rows, promotion days are removed first --------------------------------
+
+def test_removed_promo_day_skipped(frame):
+    rows = [fc(1, "S1", 0, 200), fc(1, "S1", 1, 900, promo=1), fc(1, "S1", 2, 500)]
+    v = violations(frame, rows).collect()
+    assert [(r.peak_eve_date, r.peak_day, r.fails_rule) for r in v] == [(day(0), day(2), 1)]
+
+
+# --- 1.4: horizon bounds ----------------------------------------------------------------------
+
+def test_horizon_bounds(frame):
+    rows = [fc(1, "S1", 0, 10), fc(1, "S1", 21, 10), fc(1, "S1", 22, 10), fc(1, "S1", -1, 10)]
+    f = frame("forecast", rows)
+    got = sorted(r.forecast_date for r in forecast.current_horizon(f, P).collect())
+    assert got == [day(0), day(21)]
+
+
+# --- Q17: NULL diag_id kept only with null_ok -------------------------------------------------
+
+def test_diag_null_only_tolerant(frame):
+    rows = [fc(1, "S1", 0, 10, diag=None), fc(1, "S2", 0, 10, diag=""), fc(1, "S3", 0, 10, diag="D1")]
+    f = frame("forecast", rows)
+    assert sorted(r.store for r in f.where(main_line()).collect()) == ["S2"]
+    assert sorted(r.store for r in f.where(main_line(null_ok=True)).collect()) == ["S1", "S2"]
+
+
+# --- Q18: NULL assortment type dropped ---------------------------------------------------------
+
+def test_null_az_type_dropped(frame):
+    a = frame("assortment", [{"plu": 1, "zavod": "S1", "az_type": None},
+                             {"plu": 1, "zavod": "S2", "az_type": "ND"},
+                             {"plu": 1, "zavod": "S3", "az_type": "AZ"},
+                             {"plu": 1, "zavod": "S3", "az_type": "AZ"}])
+    assert [(r.zavod, r.az_type) for r in cuts.allowed_assortment(a, P).collect()] == [("S3", "AZ")]
+
+
+# --- G3, J2: pivot zeros vs left-join NULLs -------------------------------------------------
+
+def test_ppm_pivot_unlisted_and_absent(frame):
+    st = frame("sales_stock", [
+        {"caldate": day(-1), "material": 1, "plant": "S1", "ispromo": 0, "dismm": "XX", "sc_quantity": 1.0},
+        {"caldate": day(-1), "material": 2, "plant": "S1", "ispromo": 0, "dismm": None, "sc_quantity": 1.0},
+        {"caldate": day(-2), "material": 2, "plant": "S1", "ispromo": 0, "dismm": None, "sc_quantity": 1.0},
+        {"caldate": day(-1), "material": 2, "plant": "S2", "ispromo": 0, "dismm": "PD", "sc_quantity": 1.0},
+    ])
+    piv = {r.material: r.asDict() for r in stock.ppm_pivot(st, P).collect()}
+    assert all(piv[1][t] == 0 for t in P.ppm_types)           # row of zeros kept
+    assert piv[2]["NO_PPM"] == 1 and piv[2]["PD"] == 1        # distinct plants
+    base = frame("forecast", [fc(1, "S1", 0, 1), fc(3, "S1", 0, 1)]).select("material")
+    joined = {r.material: r.PD for r in enrich.with_ppm(base, stock.ppm_pivot(st, P), P.ppm_types).collect()}
+    assert joined == {1: 0, 3: None}
+
+
+# --- F8: 29 February --------------------------------------------------------------------------
+
+def test_leap_day_looks_up_28_february(spark):
+    r = spark.range(1).select(year_before(F.lit(date(2024, 2, 29))).alias("d")).first()
+    assert r.d == date(2023, 2, 28)
+
+
+def test_last_year_join_on_leap_day(frame):
+    p = Params(as_of=date(2024, 2, 28), peak_floor=100.0)
+    first = frame("forecast", [fc(1, "S1", 0, 1)]).select(
+        F.lit(1).cast("long").alias("sku"), F.lit("S1").alias("store"),
+        F.lit(150.0).alias("peak_eve_value"), F.lit(date(2024, 2, 29)).alias("peak_day"),
+        F.lit(400.0).alias("peak_value"))
+    st = frame("sales_stock", [
+        {"caldate": date(2023, 2, 28), "material": 1, "plant": "S1", "ispromo": 0, "sc_quantity": 7.0},
+        {"caldate": date(2023, 2, 28), "material": 1, "plant": "S1", "ispromo": 1, "sc_quantity": 9.0}])
+    got = peaks.last_year_sales(first, st, p).collect()
+    assert [r.last_year_sales for r in got] == [7.0]
+
+
+# --- W7: equal ratios -> earliest day; G14: even count -> mean of the middle two -------------
+
+def test_min_ratio_tie_earliest_and_even_median(frame, spark):
+    totals = spark.createDataFrame(
+        [(1, day(-4), 10.0, 0), (1, day(-3), 20.0, 0), (1, day(-2), 40.0, 0), (1, day(-1), 1000.0, 0),
+         (1, day(-5), 9999.0, 1),                                    # promo day: not in median
+         (1, day(3), 6.0, 0), (1, day(1), 6.0, 0), (1, day(2), 50.0, 0)],
+        "material long, forecast_date date, total_forecast double, promo_exists int")
+    med = ap.with_median(totals, P)
+    assert {r.median_forecast for r in med.collect()} == {30.0}      # (20 + 40) / 2
+    best = ap.min_ratio_per_sku(ap.candidates(med, P)).collect()
+    assert [(r.forecast_date, r.ratio) for r in best] == [(day(1), 0.2)]
+
+
+# --- M12, F17: adjustment 0, NULL, negative ---------------------------------------------------
+
+def test_adjustment_deltas_and_flags(frame, spark):
+    st = frame("store_dict", [{"number": "S1", "type_cf": "Mahalla"}])
+    az = frame("assortment", [{"plu": m, "zavod": "S1", "az_type": "AZ"} for m in (1, 2, 3)])
+    f = frame("forecast", [fc(1, "S1", 0, 200, car_adjustment=0.0, s4_adjustment=None),
+                           fc(2, "S1", 0, 200, car_adjustment=-150.0, s4_adjustment=-20.0),
+                           fc(3, "S1", 0, 200, car_adjustment=None, s4_adjustment=-101.0)])
+    d = {r.material: r for r in cuts.adjustment_deltas(cuts.adjusted_daily(f, st, az, P)).collect()}
+    assert (d[1].car_delta, d[1].s4_delta) == (0.0, 0.0)
+    assert (d[2].car_delta, d[2].s4_delta) == (-75.0, -10.0)
+    assert d[3].s4_delta == -50.5
+    cut = {r.material for r in cuts.adjustment_cuts(cuts.adjustment_deltas(
+        cuts.adjusted_daily(f, st, az, P)), P).collect()}
+    assert cut == {2, 3}
+    flags = spark.createDataFrame([(0.0,), (None,), (-3.0,)], "x double").select(
+        F.when(F.col("x") != 0, 1).otherwise(0).alias("f"))
+    from demandlens.functions.measures import nonzero_flag
+    got = [r.f for r in spark.createDataFrame([(0.0,), (None,), (-3.0,)], "x double")
+           .select(nonzero_flag("x").alias("f")).collect()]
+    assert got == [0, 0, 1] and flags.count() == 3
+
+
+def test_cut_fanout_weights(frame):
+    """Duplicate store rows and two assortment types double the sums, not the store count."""
+    st = frame("store_dict", [{"number": "S1", "type_cf": "Mahalla"}, {"number": "S1", "type_cf": "Supermarket"},
+                              {"number": "S2", "type_cf": "Express"}])
+    az = frame("assortment", [{"plu": 1, "zavod": "S1", "az_type": "AZ"}, {"plu": 1, "zavod": "S1", "az_type": "ZZ"},
+                              {"plu": 1, "zavod": "S2", "az_type": "AZ"}])
+    f = frame("forecast", [fc(1, "S1", 0, 10, car_adjustment=-1.0), fc(1, "S2", 0, 10)])
+    r = cuts.adjusted_daily(f, st, az, P).first()
+    assert (r.zavod_num, r.system_forecast, r.car_forecast) == (1, 40.0, -4.0)
+
+
+# --- section 2.8: percent form -----------------------------------------------------------------
+
+def test_pct_29_over_80(spark):
+    r = spark.range(1).select(pct_change(F.lit(29.0), F.lit(80.0)).alias("g"),
+                              pct_change(F.lit(5.0), F.lit(0.0)).alias("z")).first()
+    assert r.g == -63.8 and r.z is None
+
+
+# --- day-by-day sales traps --------------------------------------------------------------------
+
+def _dbd(frame, sales_rows, cat_rows=None, user_rows=None, p=P):
+    ds = frame("daily_sales", sales_rows)
+    pc = frame("plu_cat", cat_rows if cat_rows is not None else
+               [{"plu": 1, "km": "K1", "ui_5": "C1", "ui_5_name": "C1"},
+                {"plu": 2, "km": "K2", "ui_5": "C2", "ui_5_name": "C2"},
+                {"plu": 3, "km": "K3", "ui_5": "C3", "ui_5_name": "C3"}])
+    ul = frame("user_login", user_rows if user_rows is not None else
+               [{"category_manager": "K1", "user": "u1"}, {"category_manager": "K2", "user": "u2"},
+                {"category_manager": "K3", "user": "u3"}])
+    return jobs.dbd(dict(daily_sales=ds, plu_cat=pc, user_login=ul), p)
+
+
+def s(plu, k, q, zavod="S1", reg=None):
+    return {"calc_date": A - timedelta(days=k), "plu": plu, "zavod": zavod, "sc_quantity": q,
+            "sc_quantity_not_anypromo": reg if reg is not None else q}
+
+
+def test_zero_sales_two_weeks_ago(frame):
+    rows = _dbd(frame, [s(1, 7, 5.0), s(1, 14, 0.0), s(1, 1, 3.0)]).collect()
+    r = [x for x in rows if x.user == "u1"][0]
+    assert r.wow_7 is None and r.d7 == 5.0 and r.d14 == 0.0 and r.dod is None
+
+
+def test_empty_sales_gives_total_row_only(frame):
+    rows = _dbd(frame, []).collect()
+    assert len(rows) == 1 and rows[0].user == P.total_label
+    assert rows[0].d1 is None and rows[0].wow_7 is None and rows[0].wow_week is None
+
+
+def test_total_sums_rounded_cells(frame):
+    rows = _dbd(frame, [s(1, 3, 0.04), s(2, 3, 0.04), s(3, 3, 0.04)]).collect()
+    total = [r for r in rows if r.user == P.total_label][0]
+    assert total.d3 == 0.0                      # a rollup of raw sums would give 0.1
+
+
+def test_null_only_yesterday_sorts_first(frame):
+    rows = _dbd(frame, [s(1, 1, None), s(2, 1, 5.0), s(2, 2, 4.0), s(3, 1, 9.0)]).collect()
+    assert rows[0].user == "u1" and rows[0].d1 is None
+    assert [r.user for r in rows[1:]] == [P.total_label, "u3", "u2"]
+
+
+def test_manager_with_two_users_doubles(frame):
+    users = [{"category_manager": "K1", "user": "u1"}, {"category_manager": "K1", "user": "u1b"}]
+    rows = _dbd(frame, [s(1, 1, 5.0)], user_rows=users).collect()
+    by_user = {r.user: r.d1 for r in rows}
+    assert by_user == {"u1": 5.0, "u1b": 5.0, P.total_label: 10.0}
+
+
+def test_store_prefixes_and_window(frame):
+    rows = _dbd(frame, [s(1, 1, 1.0, zavod="L00"), s(1, 1, 2.0, zavod="R1"), s(1, 1, 4.0, zavod="B9"),
+                        s(1, 1, 8.0, zavod="S1"), s(1, 15, 16.0), s(1, 0, 32.0),
+                        s(1, 1, 64.0, zavod=None)]).collect()
+    r = [x for x in rows if x.user == "u1"][0]
+    assert r.d1 == 8.0 and r.d14 == 0.0
+
+
+def test_reg_measure(frame):
+    ds = [s(1, 1, 10.0, reg=4.0)]
+    rows = _dbd(frame, ds)
+    p_rows = jobs.dbd(dict(daily_sales=frame("daily_sales", ds),
+                           plu_cat=frame("plu_cat", [{"plu": 1, "km": "K1", "ui_5": "C", "ui_5_name": "C"}]),
+                           user_login=frame("user_login", [])), P, kind="reg").collect()
+    assert {r.d1 for r in p_rows} == {4.0}
+    assert {r.d1 for r in rows.collect()} == {10.0}
+
+
+def test_missing_category_keeps_null_group(frame):
+    rows = _dbd(frame, [s(99, 1, 5.0)]).collect()
+    assert {(r.user, r.ui_5) for r in rows} == {(None, None), (P.total_label, P.total_label)}
+
+
+# --- F12: weekend flag on Saturday, Sunday, Monday ---------------------------------------------
+
+@pytest.mark.parametrize("d,flag", [(date(2024, 3, 2), 1), (date(2024, 3, 3), 1), (date(2024, 3, 4), 0)])
+def test_weekend_flag(spark, d, flag):
+    from demandlens.functions.measures import weekend_flag
+    assert spark.range(1).select(weekend_flag(F.lit(d)).alias("w")).first().w == flag
+
+
+# --- old peaks end to end on a hand-made frame --------------------------------------------------
+
+def test_old_peaks_pipeline(frame):
+    p = P.replace(min_abs_rise=10.0, min_ly_gap=0.5)
+    f = frame("forecast", [fc(1, "S1", 0, 200), fc(1, "S1", 1, 500, s4_adjustment=-5.0, approved_forecast=495.0),
+                           fc(1, "L001", 0, 200), fc(1, "L001", 1, 500)])      # listed store: excluded
+    peak_day = day(1)
+    st = frame("sales_stock", [
+        {"caldate": year_before_py(peak_day), "material": 1, "plant": "S1", "ispromo": 0, "sc_quantity": 100.0},
+        {"caldate": day(-3), "material": 1, "plant": "S1", "ispromo": 0, "dismm": "PD", "sc_quantity": 4.0},
+        {"caldate": day(-2), "material": 1, "plant": "S1", "ispromo": 0, "dismm": "PD", "sc_quantity": 8.0},
+        {"caldate": day(-2), "material": 1, "plant": "S1", "ispromo": 1, "dismm": "PD", "sc_quantity": 800.0}])
+    pd = frame("product_dict", [{"material": 1, "manager": "M", "name": "N"}])
+    out = jobs.old_peaks(dict(forecast=f, sales_stock=st, product_dict=pd), p).collect()
+    assert len(out) == 1
+    r = out[0]
+    assert (r.sku, r.store, r.peak_day, r.peak_value, r.last_year_sales) == (1, "S1", peak_day, 500.0, 100.0)
+    assert (r.ppm_type, r.avg_sales, r.has_s4_adjustment, r.has_car_adjustment, r.final_forecast) == \
+        ("PD", 6.0, 1, 0, 495.0)
+
+
+def year_before_py(d: date) -> date:
+    return d.replace(year=d.year - 1)
+
+
+# --- new peaks: O7 one aggregate, filters ---------------------------------------------------------
+
+def test_new_peaks_ratio(frame):
+    p = P.replace(ratio_min=4.0, max_floor=10.0, min_floor=1.0)
+    f = frame("forecast", [fc(1, "S1", 0, 2), fc(1, "S1", 5, 20), fc(1, "S1", 6, 0),   # 0 ignored
+                           fc(2, "S1", 0, 5), fc(2, "S1", 1, 15)])
+    got = [(r.material, r.ratio) for r in peaks.series_min_max_ratio(f, p).collect()]
+    assert got == [(1, 10.0)]
