@@ -88,9 +88,12 @@ def spike_violations(nb: DataFrame, p: Params) -> DataFrame:
 
 
 def first_violation(violations: DataFrame) -> DataFrame:
-    """The earliest failing row per series."""
+    """The earliest failing row per series (value order breaks a date tie, so a
+    recomputed partition picks the same row)."""
     failing = violations.where(F.col("fails_rule") == 1)
-    return (first_per(failing, ["sku", "store"], [F.col("peak_eve_date").asc()])
+    return (first_per(failing, ["sku", "store"],
+                      [F.col("peak_eve_date").asc(), F.col("peak_eve_value").asc(),
+                       F.col("peak_value").asc()])
             .select("sku", "store", "peak_eve_value", "peak_day", "peak_value"))
 
 

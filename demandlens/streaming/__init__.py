@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The monitored batch has no streams, watermarks, event-time windows or state: it runs once a
+day over the tables as they are (SURVEY 2.10). Nothing is built here on purpose. A daily
+trigger of ``plans.run.run`` is the whole "schedule".
+"""
