@@ -89,6 +89,10 @@ user_login AS (
 )"""
 
 
-def with_roles(*ctes: str) -> str:
-    """``WITH`` clause holding the role CTEs followed by ``ctes`` (each ``name AS (...)``)."""
-    return "WITH " + ",\n".join((ROLE_CTES.strip(),) + tuple(c.strip() for c in ctes))
+def with_roles(*ctes: str, role_ctes: bool = True) -> str:
+    """``WITH`` clause holding the role CTEs followed by ``ctes`` (each ``name AS (...)``).
+
+    With ``role_ctes=False`` the roles are expected as registered views (hand-made tables).
+    """
+    parts = ((ROLE_CTES.strip(),) if role_ctes else ()) + tuple(c.strip() for c in ctes)
+    return ("WITH " + ",\n".join(parts)) if parts else ""
