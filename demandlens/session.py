@@ -21,6 +21,25 @@ LOCAL_CONF = {
 }
 
 
+# Settings recommended for a cluster run at large scale. The library never sets them on a
+# cluster session; the platform or the job submitter does.
+CLUSTER_CONF = {
+    # AQE re-plans at runtime: coalesces small shuffle partitions, splits skewed join
+    # partitions, and turns a sort-merge join into a broadcast one when a side is measured small
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # start high and let AQE coalesce; ~100 TB of input reaches the first shuffle already
+    # pre-aggregated, but the raw-table aggregations need many partitions to stay in memory
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # dimension broadcasts stay behind this size check (statistics and AQE runtime sizes)
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]")

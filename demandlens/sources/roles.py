@@ -103,6 +103,30 @@ def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
     return out
 
 
+def load_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
+              partitioning: Mapping[str, tuple[str, object, object, int]] | None = None,
+              properties: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Read roles from a SQL warehouse through Spark's JDBC source, then ``conform`` them.
+
+    ``tables`` maps role -> table name (three-part names allowed, e.g.
+    ``lakehouse.dbo.forecast``). ``partitioning`` maps role -> (column, lower, upper,
+    num_partitions), so a large role is read by many tasks in parallel ranges instead of one
+    connection. Filters and projections written on the returned frames are pushed into the
+    database query by Spark. (Not exercised in the tests: no database is started here.)
+    """
+    out = {}
+    for role, table in tables.items():
+        reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+        for k, v in (properties or {}).items():
+            reader = reader.option(k, v)
+        if partitioning and role in partitioning:
+            column, lower, upper, n = partitioning[role]
+            reader = (reader.option("partitionColumn", column).option("lowerBound", str(lower))
+                      .option("upperBound", str(upper)).option("numPartitions", str(n)))
+        out[role] = conform(reader.load(), role)
+    return out
+
+
 def assert_unique(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Return the key values that occur more than once (empty when ``keys`` is a key).
 

@@ -152,3 +152,19 @@ def test_as_of_shift_invariance(spark):
         a = fn(roles, p).drop("forecast_date").collect()
         b = fn(moved, p2).drop("forecast_date").collect()
         assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str), job
+
+
+# --- O4: forecast laid out by snapshot day -> the job reads today's partition only -----------
+
+def test_snapshot_partition_pruning(spark, scratch):
+    roles = derive(spark, SF0001)
+    p = FIXTURE_PARAMS
+    path = os.path.join(scratch, "forecast")
+    (roles["forecast"].where(F.col("snapshot_date") >= F.lit(p.as_of - timedelta(days=20)))
+     .write.partitionBy("snapshot_date").parquet(path))
+    loaded = dict(roles)
+    loaded["forecast"] = load(spark, {"forecast": path})["forecast"]
+    df = jobs.new_peaks(loaded, p)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "1998-06-15" in plan
+    assert df.count() == jobs.new_peaks(roles, p).count()
