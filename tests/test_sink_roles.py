@@ -168,3 +168,25 @@ def test_snapshot_partition_pruning(spark, scratch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "1998-06-15" in plan
     assert df.count() == jobs.new_peaks(roles, p).count()
+
+
+# --- command line ----------------------------------------------------------------------------
+
+def test_cli_batch(spark, scratch):
+    import json
+
+    from demandlens.__main__ import main
+    roles = derive(spark, SF0001)
+    paths = {}
+    for name in ("forecast", "sales_stock", "product_dict", "assortment", "store_dict",
+                 "daily_sales", "plu_cat", "user_login"):
+        paths[name] = os.path.join(scratch, "roles", name)
+        roles[name].write.parquet(paths[name])
+    cfg = os.path.join(scratch, "roles.json")
+    with open(cfg, "w", encoding="utf-8") as fh:
+        json.dump(paths, fh)
+    out = os.path.join(scratch, "out")
+    assert main(["--roles", cfg, "--out", out, "--as-of", "1998-06-15",
+                 "--jobs", "new_peaks,dbd_total"], spark=spark) == 0
+    assert read_section(spark, os.path.join(out, "dbd"), "total").count() == 18
+    assert main(["--roles", cfg, "--out", out, "--as-of", "2030-01-01"], spark=spark) == 2
