@@ -86,14 +86,14 @@ def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
          raw: bool = False) -> dict[str, DataFrame]:
     """Read each role from ``paths`` (role -> path or table name).
 
-    A value without ``/`` is read as a catalog table (``spark.table``), which keeps partition
-    pruning on ``snapshot_date`` when the forecast table is partitioned by it. With
-    ``raw=True`` the frames go through ``conform``; otherwise the declared schema is used
-    as the read schema.
+    A value containing ``/`` (or a URI) is a path; any other value is a catalog table name,
+    one to three parts (``spark.table``). Both keep partition pruning on ``snapshot_date``
+    when the forecast table is partitioned by it. With ``raw=True`` the frames go through
+    ``conform``; otherwise the declared schema is used as the read schema.
     """
     out = {}
     for role, where in paths.items():
-        if "/" not in where and "." in where or where.isidentifier():
+        if "/" not in where:
             df = spark.table(where)
             out[role] = conform(df, role)
         elif raw:

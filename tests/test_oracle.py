@@ -29,6 +29,17 @@ def test_every_query_has_an_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_column_types_match_oracle(spark, con0001, name):
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in queries()[name](spark, SF0001).dtypes}
+    rel = con0001.sql(oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_matches_oracle_sf0001(spark, con0001, name):
     r = compare(spark, name, SF0001, con0001)
