@@ -14,7 +14,10 @@ SERIES = ("material", "forecast_date", "promo_flag", "system_forecast")
 
 def history_rows(forecast: DataFrame, p: Params) -> DataFrame:
     """Forecasts made on their own day over the history window."""
-    return (forecast.where(main_line() & store_kept(contains=p.antipeak_store_substring)
+    # the snapshot bound is implied by the two conditions after it; stated, it lets a forecast
+    # table partitioned by snapshot day prune to the 14 history snapshots
+    return (forecast.where(between("snapshot_date", p.history_from, p.history_to)
+                           & main_line() & store_kept(contains=p.antipeak_store_substring)
                            & actualised() & between("forecast_date", p.history_from, p.history_to))
             .select("material", "forecast_date", promo_flag().alias("promo_flag"),
                     "system_forecast"))
@@ -46,13 +49,16 @@ def stitched_totals(forecast: DataFrame, p: Params) -> DataFrame:
     """U1 in one pass (O8): history and horizon daily totals from a single scan.
 
     The two slices cover disjoint forecast dates, so one ``groupBy`` over their union equals
-    the union of two ``groupBy``s, and the table is read once. The outer date range is a
-    redundant conjunct that the scan can use as a pushed filter.
+    the union of two ``groupBy``s, and the table is read once. The outer date ranges are
+    redundant conjuncts (both slices imply them) that Catalyst cannot infer through the OR:
+    ``forecast_date`` becomes a pushed scan filter, and ``snapshot_date`` a partition filter
+    that keeps the read to the 15 snapshots involved instead of every snapshot ever written.
     """
     past = actualised() & between("forecast_date", p.history_from, p.history_to)
     future = current("snapshot_date", p.as_of) & between("forecast_date", p.as_of, p.horizon_to)
-    rows = forecast.where(main_line() & store_kept(contains=p.antipeak_store_substring)
+    rows = forecast.where(between("snapshot_date", p.history_from, p.as_of)
                           & between("forecast_date", p.history_from, p.horizon_to)
+                          & main_line() & store_kept(contains=p.antipeak_store_substring)
                           & (past | future))
     return daily_totals(rows.select("material", "forecast_date",
                                     promo_flag().alias("promo_flag"), "system_forecast"))

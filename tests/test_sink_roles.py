@@ -190,3 +190,20 @@ def test_cli_batch(spark, scratch):
                  "--jobs", "new_peaks,dbd_total"], spark=spark) == 0
     assert read_section(spark, os.path.join(out, "dbd"), "total").count() == 18
     assert main(["--roles", cfg, "--out", out, "--as-of", "2030-01-01"], spark=spark) == 2
+
+
+def test_history_snapshots_pruned(spark, scratch):
+    """system_antipeaks reads history snapshots and today's only (not every snapshot)."""
+    roles = derive(spark, SF0001)
+    p = FIXTURE_PARAMS
+    path = os.path.join(scratch, "forecast_hist")
+    (roles["forecast"].where(F.col("snapshot_date") >= F.lit(p.as_of - timedelta(days=40)))
+     .write.partitionBy("snapshot_date").parquet(path))
+    loaded = dict(roles)
+    loaded["forecast"] = load(spark, {"forecast": path})["forecast"]
+    df = jobs.system_antipeaks(loaded, p)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    part_filters = [seg.split("]")[0] for seg in plan.split("PartitionFilters: [")[1:]]
+    assert any(str(p.history_from) in f and "snapshot_date" in f for f in part_filters), part_filters
+    rows = sorted(map(tuple, df.collect()))
+    assert rows == sorted(map(tuple, jobs.system_antipeaks(roles, p).collect()))
