@@ -61,11 +61,18 @@ def sales_by_category_day(daily_sales: DataFrame, plu_cat: DataFrame, user_login
                     "user", "km", "ui_5", "ui_5_name", "sc_quantity"))
 
 
+def _per_plu(daily_sales: DataFrame, p: Params, measures) -> DataFrame:
+    """Sales summed per (day, plu) inside the window, one column per measure."""
+    return (_window_sales(daily_sales, p).groupBy("calc_date", "plu")
+            .agg(*[F.sum(m).alias(m) for m in measures]))
+
+
 def _report_sums(daily_sales: DataFrame, plu_cat: DataFrame, user_login: DataFrame,
-                 p: Params, measure: str) -> DataFrame:
+                 p: Params, measure: str, per_plu: DataFrame | None = None) -> DataFrame:
     """Unrounded day sums ``s14 .. s1`` and week sums ``w1`` (days 1-7), ``w2`` (days 8-14)."""
-    per_plu = (_window_sales(daily_sales, p)
-               .groupBy("calc_date", "plu").agg(F.sum(measure).alias("q")))
+    if per_plu is None:
+        per_plu = _per_plu(daily_sales, p, [measure])
+    per_plu = per_plu.select("calc_date", "plu", F.col(measure).alias("q"))
     joined = _with_categories(per_plu, plu_cat, user_login)
     d, q, zero = F.col("calc_date"), F.col("q"), F.lit(0.0)
     sums = [F.sum(F.when(d == F.lit(p.day(k)), q).otherwise(zero)).alias(f"s{k}")
@@ -96,9 +103,10 @@ def growth_rates(daily_sales, plu_cat, user_login, p: Params, measure="sc_quanti
     return s.select(*REPORT_KEYS, *_growth_columns())
 
 
-def report_rows(daily_sales, plu_cat, user_login, p: Params, measure="sc_quantity") -> DataFrame:
+def report_rows(daily_sales, plu_cat, user_login, p: Params, measure="sc_quantity",
+                per_plu: DataFrame | None = None) -> DataFrame:
     """Matrix and growth rates per report key, one pass."""
-    s = _report_sums(daily_sales, plu_cat, user_login, p, measure)
+    s = _report_sums(daily_sales, plu_cat, user_login, p, measure, per_plu)
     return s.select(*REPORT_KEYS,
                     *[F.round(f"s{k}", 1).alias(f"d{k}") for k in range(14, 0, -1)],
                     *_growth_columns())
@@ -121,8 +129,23 @@ def total_row(rows: DataFrame, p: Params) -> DataFrame:
 
 
 def dbd_report(daily_sales, plu_cat, user_login, p: Params, measure="sc_quantity",
-               ordered: bool = True) -> DataFrame:
+               ordered: bool = True, per_plu: DataFrame | None = None) -> DataFrame:
     """Full report: total row + rows, by yesterday's sales descending (NULL first)."""
-    rows = report_rows(daily_sales, plu_cat, user_login, p, measure)
+    rows = report_rows(daily_sales, plu_cat, user_login, p, measure, per_plu)
     out = total_row(rows, p).unionByName(rows)
     return out.orderBy(F.col("d1").desc_nulls_first()) if ordered else out
+
+
+def dbd_sections(daily_sales, plu_cat, user_login, p: Params,
+                 section_col: str = "section") -> DataFrame:
+    """Both reports (``total`` and ``reg``) in one frame with a section column.
+
+    The sales window is read and pre-aggregated once with both measures; the two reports
+    branch from that one aggregate (its exchange is reused), so a batch that writes both
+    sections scans the sales table once instead of twice.
+    """
+    shared = _per_plu(daily_sales, p, list(MEASURES.values()))
+    parts = [dbd_report(daily_sales, plu_cat, user_login, p, measure, ordered=False,
+                        per_plu=shared).withColumn(section_col, F.lit(kind))
+             for kind, measure in MEASURES.items()]
+    return parts[0].unionByName(parts[1])

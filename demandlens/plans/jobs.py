@@ -65,6 +65,11 @@ def dbd(roles: Roles, p: Params, kind: str = "total", ordered: bool = True) -> D
                             measure=sales.MEASURES[kind], ordered=ordered)
 
 
+def dbd_both(roles: Roles, p: Params) -> DataFrame:
+    """Both sales reports with a ``section`` column (reg, total), from one read of the sales."""
+    return sales.dbd_sections(roles["daily_sales"], roles["plu_cat"], roles["user_login"], p)
+
+
 def dbd_total(roles: Roles, p: Params, ordered: bool = True) -> DataFrame:
     return dbd(roles, p, "total", ordered)
 

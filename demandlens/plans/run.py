@@ -12,8 +12,10 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from demandlens.params import Params
-from demandlens.plans.jobs import JOBS, gate_open
-from demandlens.sinks.report import LABELS, write_section
+from demandlens.plans.jobs import JOBS, dbd_both, gate_open
+from demandlens.sinks.report import LABELS, write_section, write_sections
+
+SALES_PAIR = ("dbd_reg", "dbd_total")
 
 
 def run(roles: Mapping[str, DataFrame], p: Params, out_root: str,
@@ -24,7 +26,17 @@ def run(roles: Mapping[str, DataFrame], p: Params, out_root: str,
     if not gate_open(roles, p):
         return {}
     written = {}
-    for name in (jobs or JOBS):
+    names = list(jobs or JOBS)
+    both_sales = all(n in names for n in SALES_PAIR)
+    for name in names:
+        if both_sales and name in SALES_PAIR:
+            if name not in written:
+                # one plan, one sales read, one write for the two sections of the workbook
+                paths = write_sections(dbd_both(roles, p), f"{out_root}/dbd", ["reg", "total"],
+                                       must_exist=must_exist,
+                                       labels=LABELS["dbd_total"] if display_labels else None)
+                written.update(zip(SALES_PAIR, paths))
+            continue
         fn, workbook, section = JOBS[name]
         df = fn(roles, p)
         written[name] = write_section(df, f"{out_root}/{workbook}", section,

@@ -80,16 +80,26 @@ def write_section(df: DataFrame, path: str, section: str, *, must_exist: bool =
     With ``must_exist`` the report must already exist (it is never created), as in the
     monitored batch, where a missing workbook stops the job.
     """
+    return write_sections(df.withColumn(SECTION_COLUMN, F.lit(section)), path, [section],
+                          must_exist=must_exist, labels=labels, fmt=fmt)[0]
+
+
+def write_sections(df: DataFrame, path: str, sections, *, must_exist: bool = False,
+                   labels: dict[str, str] | None = None, fmt: str = "parquet") -> list[str]:
+    """S4 for several sections in one write: ``df`` carries the section in ``SECTION_COLUMN``.
+
+    Only the sections present in ``df`` are replaced (dynamic partition overwrite), in one
+    job, so sections computed from shared inputs are written by one plan.
+    """
     spark = df.sparkSession
     if must_exist and not exists(spark, path, fmt):
         raise FileNotFoundError(f"report does not exist (creation not allowed): {path}")
     out = normalise_dates(df)
     if labels:
         out = display(out, labels)
-    (out.withColumn(SECTION_COLUMN, F.lit(section))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(SECTION_COLUMN).format(fmt).save(path))
-    return f"{path}/{SECTION_COLUMN}={section}"
+    return [f"{path}/{SECTION_COLUMN}={s}" for s in sections]
 
 
 def read_section(spark, path: str, section: str, fmt: str = "parquet") -> DataFrame:

@@ -207,3 +207,15 @@ def test_history_snapshots_pruned(spark, scratch):
     assert any(str(p.history_from) in f and "snapshot_date" in f for f in part_filters), part_filters
     rows = sorted(map(tuple, df.collect()))
     assert rows == sorted(map(tuple, jobs.system_antipeaks(roles, p).collect()))
+
+
+def test_sales_sections_share_one_read(spark, scratch):
+    roles = derive(spark, SF0001)
+    both = jobs.dbd_both(roles, FIXTURE_PARAMS)
+    for kind, fn in (("total", jobs.dbd_total), ("reg", jobs.dbd_reg)):
+        a = sorted(map(tuple, both.where(F.col("section") == kind).drop("section").collect()), key=str)
+        b = sorted(map(tuple, fn(roles, FIXTURE_PARAMS).collect()), key=str)
+        assert a == b, kind
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan
