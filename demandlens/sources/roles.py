@@ -109,7 +109,7 @@ def load_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
     """Read roles from a SQL warehouse through Spark's JDBC source, then ``conform`` them.
 
     ``tables`` maps role -> table name (three-part names allowed, e.g.
-    ``lakehouse.dbo.forecast``). ``partitioning`` maps role -> (column, lower, upper,
+    ``warehouse.sales.forecast``). ``partitioning`` maps role -> (column, lower, upper,
     num_partitions), so a large role is read by many tasks in parallel ranges instead of one
     connection. Filters and projections written on the returned frames are pushed into the
     database query by Spark. (Not exercised in the tests: no database is started here.)

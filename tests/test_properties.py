@@ -23,7 +23,7 @@ from demandlens.params import Params
 from demandlens.plans import jobs
 from demandlens.sources.roles import SCHEMAS
 from oracle.compare import same_rows
-from oracle.queries import build
+from oracle.statements import build
 
 A = date(2024, 3, 4)
 P = Params(as_of=A, stock_ref_from=A - timedelta(days=5), stock_ref_to=A - timedelta(days=1),
