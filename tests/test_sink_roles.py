@@ -219,3 +219,13 @@ def test_sales_sections_share_one_read(spark, scratch):
     both.collect()
     plan = both._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in plan
+
+
+def test_load_catalog_table_conformed(spark):
+    raw = spark.createDataFrame([("20260119", "1", " S1 ", 5.0)],
+                                "CALC_DATE string, PLU string, zavod string, sc_quantity double")
+    raw.createOrReplaceTempView("raw_daily_sales_view")
+    got = load(spark, {"daily_sales": "raw_daily_sales_view"})["daily_sales"]
+    assert got.schema == SCHEMAS["daily_sales"]
+    r = got.first()
+    assert (r.calc_date, r.plu, r.zavod, r.sc_quantity_not_anypromo) == (date(2026, 1, 19), 1, " S1", None)
