@@ -1,10 +1,13 @@
 """Daily batch from the command line.
 
     python -m demandlens --roles roles.json --out s3://bucket/reports [--as-of 2026-01-20]
-                         [--jobs new_peaks,dbd_total] [--must-exist] [--labels]
+                         [--params params.json] [--jobs new_peaks,dbd_total] [--must-exist]
+                         [--labels]
 
 ``roles.json`` maps each role to a parquet path or a catalog table name (see
 ``sources.roles.load``); ``--raw`` conforms raw tables (text dates, padded codes) at load.
+``params.json`` overrides thresholds and lists by name (``Params`` fields), e.g.
+``{"min_stores": 40, "store_formats": ["Mahalla", "Supermarket"]}``.
 ``--as-of`` defaults to the current date of the machine that submits the batch. It is read
 once here, and every job uses that one value. The exit code is 2 when today's snapshot is not
 loaded, in which case nothing is written.
@@ -30,6 +33,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--roles", required=True, help="JSON file: role -> path or table")
     ap.add_argument("--out", required=True, help="report root folder")
     ap.add_argument("--as-of", type=date.fromisoformat, default=None)
+    ap.add_argument("--params", default=None, help="JSON file: Params overrides")
     ap.add_argument("--jobs", default=",".join(JOBS), help="comma-separated job names")
     ap.add_argument("--must-exist", action="store_true", help="never create a report")
     ap.add_argument("--labels", action="store_true", help="write display headers")
@@ -40,7 +44,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     with open(args.roles, encoding="utf-8") as fh:
         paths = json.load(fh)
     roles = load(spark, paths, raw=args.raw)
-    p = Params(as_of=args.as_of or date.today())
+    overrides = {}
+    if args.params:
+        with open(args.params, encoding="utf-8") as fh:
+            overrides = json.load(fh)
+    if args.as_of is not None:
+        overrides["as_of"] = args.as_of.isoformat()
+    overrides.setdefault("as_of", date.today().isoformat())
+    p = Params.from_dict(overrides)
     names = [n for n in args.jobs.split(",") if n]
     unknown = sorted(set(names) - set(JOBS))
     if unknown:

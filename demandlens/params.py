@@ -92,3 +92,20 @@ class Params:
 
     def replace(self, **changes) -> Params:
         return dataclasses.replace(self, **changes)
+
+    @classmethod
+    def from_dict(cls, values: dict) -> Params:
+        """Build from plain values (e.g. JSON): ISO date strings for the dates, lists for the
+        tuples. Unknown names are rejected."""
+        fields = {f.name: f for f in dataclasses.fields(cls)}
+        unknown = sorted(set(values) - set(fields))
+        if unknown:
+            raise ValueError(f"unknown parameters: {unknown}")
+        out = {}
+        for name, v in values.items():
+            if name in ("as_of", "stock_ref_from", "stock_ref_to") and isinstance(v, str):
+                v = date.fromisoformat(v)
+            elif isinstance(v, list):
+                v = tuple(v)
+            out[name] = v
+        return cls(**out)

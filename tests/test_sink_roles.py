@@ -190,6 +190,22 @@ def test_cli_batch(spark, scratch):
                  "--jobs", "new_peaks,dbd_total"], spark=spark) == 0
     assert read_section(spark, os.path.join(out, "dbd"), "total").count() == 18
     assert main(["--roles", cfg, "--out", out, "--as-of", "2030-01-01"], spark=spark) == 2
+    # fixture thresholds through --params: new_peaks as calibrated (1 row at sf0.001)
+    pj = os.path.join(scratch, "params.json")
+    with open(pj, "w", encoding="utf-8") as fh:
+        json.dump({"ratio_min": 4.0, "min_floor": 1.0, "stock_ref_from": "1998-05-25",
+                   "ppm_types": ["PD", "ND", "ZK", "ZR", "ZC", "ZD", "NO_PPM"]}, fh)
+    assert main(["--roles", cfg, "--out", out, "--as-of", "1998-06-15", "--params", pj,
+                 "--jobs", "new_peaks"], spark=spark) == 0
+    assert read_section(spark, os.path.join(out, "new_peaks"), "data").count() == 1
+
+
+def test_params_from_dict_rejects_unknown():
+    from demandlens.params import Params
+    with pytest.raises(ValueError):
+        Params.from_dict({"as_of": "2024-01-01", "no_such_threshold": 1})
+    p = Params.from_dict({"as_of": "2024-01-01", "az_excluded": ["ND", "XX"]})
+    assert p.as_of == date(2024, 1, 1) and p.az_excluded == ("ND", "XX")
 
 
 def test_history_snapshots_pruned(spark, scratch):
