@@ -245,3 +245,36 @@ def test_load_catalog_table_conformed(spark):
     assert got.schema == SCHEMAS["daily_sales"]
     r = got.first()
     assert (r.calc_date, r.plu, r.zavod, r.sc_quantity_not_anypromo) == (date(2026, 1, 19), 1, " S1", None)
+
+
+# --- SURVEY 1.3: column order is part of the report contract ---------------------------------
+
+PRODUCT = ["manager", "name", "node_2", "node_2_name", "node_3", "node_3_name", "node_4",
+           "node_4_name", "node_5", "node_5_name"]
+NODES = PRODUCT[2:]
+EXPECTED_COLUMNS = {
+    "current_snapshot": ["current_snapshot_exists"],
+    "system_antipeaks": PRODUCT + ["material", "forecast_date", "total_forecast", "promo_exists",
+                                   "PD", "ND", "ZK", "ZR", "ZC", "ZD", "NO_PPM",
+                                   "median_forecast", "ratio"],
+    "old_peaks": ["manager", "name", "sku", "store"] + NODES + [
+        "ppm_type", "peak_eve_value", "last_year_sales", "peak_day", "peak_value", "avg_sales",
+        "peak_on_weekend", "has_s4_adjustment", "has_car_adjustment", "final_forecast"],
+    "new_peaks": PRODUCT + ["az_type", "material", "store", "max_forecast", "min_forecast", "ratio"],
+    "antipeaks": ["manager", "name", "material"] + NODES + [
+        "forecast_date", "zavod_num", "system_forecast", "car_forecast", "s4_forecast",
+        "car_delta", "s4_delta"],
+    "dbd_total": ["user", "ui_5", "ui_5_name"] + [f"d{k}" for k in range(14, 0, -1)]
+                 + [f"wow_{k}" for k in range(7, 0, -1)] + ["dod", "wow_week"],
+}
+EXPECTED_COLUMNS["dbd_reg"] = EXPECTED_COLUMNS["dbd_total"]
+
+
+@pytest.mark.parametrize("job", sorted(EXPECTED_COLUMNS))
+def test_report_column_order(spark, job):
+    roles = derive(spark, SF0001)
+    fn = jobs.gate if job == "current_snapshot" else jobs.JOBS[job][0]
+    cols = fn(roles, FIXTURE_PARAMS).columns
+    assert cols == EXPECTED_COLUMNS[job]
+    assert len(cols) == {"current_snapshot": 1, "system_antipeaks": 23, "old_peaks": 22,
+                         "new_peaks": 16, "antipeaks": 18, "dbd_total": 26, "dbd_reg": 26}[job]
