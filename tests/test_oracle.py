@@ -9,8 +9,11 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from demandlens.plans.registry import PIPELINES
+import oracle.compare as oracle_compare
 from oracle.compare import compare, duck
 
+oracle_compare.EXACT = True     # floats must agree bit for bit, not only to 6 decimals
+
 SF0001 = "/root/testdata/sf0.001"
 SF001 = "/root/testdata/sf0.01"
 
