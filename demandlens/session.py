@@ -34,8 +34,11 @@ CLUSTER_CONF = {
     # pre-aggregated, but the raw-table aggregations need many partitions to stay in memory
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": "256m",
-    # dimension broadcasts stay behind this size check (statistics and AQE runtime sizes)
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # broadcasts stay behind size checks: the static one uses plan estimates (for parquet the
+    # compressed file size, which can understate the in-memory size), so it keeps Spark's
+    # 10 MB default; the runtime one uses measured shuffle sizes and can be larger
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
 }
 
