@@ -9,9 +9,6 @@ from demandlens.functions.predicates import (actualised, between, current, main_
                                              promo_flag, store_kept)
 from demandlens.params import Params
 
-SERIES = ("material", "forecast_date", "promo_flag", "system_forecast")
-
-
 def history_rows(forecast: DataFrame, p: Params) -> DataFrame:
     """Forecasts made on their own day over the history window."""
     # the snapshot bound is implied by the two conditions after it; stated, it lets a forecast

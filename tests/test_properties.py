@@ -13,7 +13,6 @@ from datetime import date, timedelta
 
 import duckdb
 import pyarrow as pa
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
