@@ -123,6 +123,8 @@ QUERIES: dict[str, Query] = {
     "antipeaks": _q(lambda r: jobs.antipeaks(r, P)),
     "dbd_total": _q(lambda r: jobs.dbd_total(r, P)),
     "dbd_reg": _q(lambda r: jobs.dbd_reg(r, P)),
+    # both sales sections from one read, as the batch writes them
+    "dbd_sections": _q(lambda r: jobs.dbd_both(r, P)),
 }
 
 PIPELINES = ("current_snapshot", "system_antipeaks", "old_peaks", "new_peaks", "antipeaks",
