@@ -7,7 +7,9 @@ driver. Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CP
 
 The batch is run ``BENCH_REPEAT`` times in a row. ``queries`` holds each job's best time (a
 warm JVM, as on a long-running cluster session), and ``cold_queries`` holds the first run,
-which includes JIT and whole-stage code generation.
+which includes JIT and whole-stage code generation. ``value`` sums the seven jobs.
+``batch_total`` is the batch as ``plans.run.run`` executes it: the two sales reports come
+from one shared read (``dbd_sections``) instead of two separate jobs.
 """
 
 from __future__ import annotations
@@ -32,19 +34,23 @@ def main() -> None:
                           driver_memory="16g")
     # warm-up: JVM class loading and parquet footers, not counted
     QUERIES["current_snapshot"](spark, sf_dir).collect()
-    runs: dict[str, list[float]] = {name: [] for name in PIPELINES}
+    names = (*PIPELINES, "dbd_sections")
+    runs: dict[str, list[float]] = {name: [] for name in names}
     for _ in range(max(1, repeat)):
-        for name in PIPELINES:
+        for name in names:
             t0 = time.perf_counter()
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs[name].append(time.perf_counter() - t0)
     times = {n: round(min(v), 3) for n, v in runs.items()}
     cold = {n: round(v[0], 3) for n, v in runs.items()}
+    batch = sum(t for n, t in times.items() if n not in ("dbd_total", "dbd_reg"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "monitoring_batch_total", "value": round(sum(times.values()), 3),
+    print(json.dumps({"metric": "monitoring_batch_total",
+                      "value": round(sum(times[n] for n in PIPELINES), 3),
                       "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else None,
-                      "cold_total": round(sum(cold.values()), 3), "cold_queries": cold,
-                      "repeat": repeat, "cpus": cpus}))
+                      "batch_total": round(batch, 3),
+                      "cold_total": round(sum(cold[n] for n in PIPELINES), 3),
+                      "cold_queries": cold, "repeat": repeat, "cpus": cpus}))
     spark.stop()
 
 
