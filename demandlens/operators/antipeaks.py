@@ -3,7 +3,7 @@
 
 The median baseline and the argmin are window functions over ``material``. Both use the same
 partitioning, so the frame is shuffled once. A partition holds one material's daily totals:
-at most history + horizon + 1 (37) rows per dictionary entry. The exact median therefore keeps
+at most history + horizon days (14 + 22 = 36) rows per dictionary entry. The exact median therefore keeps
 a bounded buffer per group, whatever the table size.
 """
 
