@@ -16,7 +16,8 @@ import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from demandlens.operators import cuts, peaks, stock
+from demandlens.operators import antipeaks as ap
+from demandlens.operators import cuts, peaks, sales, stock
 from demandlens.operators.forecast import stitched_totals
 from demandlens.params import Params
 from demandlens.plans import jobs
@@ -145,6 +146,12 @@ STAGES = {
         r["sales_stock"], P),
     "adjusted_daily": lambda r: cuts.adjusted_daily(r["forecast"], r["store_dict"],
                                                     r["assortment"], P),
+    "sales_by_category_day": lambda r: sales.sales_by_category_day(
+        r["daily_sales"], r["plu_cat"], r["user_login"], P),
+    "promo_free_median": lambda r: ap.promo_free_median(jobs.system_antipeaks_input(r, P), P),
+    "store_format_filter": lambda r: cuts.store_format_filter(r["forecast"], r["store_dict"], P),
+    "assortment_type_lookup": lambda r: peaks.with_assortment_type(
+        peaks.series_min_max_ratio(r["forecast"], P), r["assortment"]),
     "current_snapshot": lambda r: jobs.gate(r, P),
     "system_antipeaks": lambda r: jobs.system_antipeaks(r, P),
     "old_peaks": lambda r: jobs.old_peaks(r, P),
