@@ -2,7 +2,7 @@
 
     python -m demandlens --roles roles.json --out s3://bucket/reports [--as-of 2026-01-20]
                          [--params params.json] [--jobs new_peaks,dbd_total] [--must-exist]
-                         [--labels]
+                         [--labels] [--explain]
 
 ``roles.json`` maps each role to a parquet path or a catalog table name (see
 ``sources.roles.load``); ``--raw`` conforms raw tables (text dates, padded codes) at load.
@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--must-exist", action="store_true", help="never create a report")
     ap.add_argument("--labels", action="store_true", help="write display headers")
     ap.add_argument("--raw", action="store_true", help="conform raw role tables at load")
+    ap.add_argument("--explain", action="store_true",
+                    help="print each job's formatted physical plan; run and write nothing")
     args = ap.parse_args(argv)
 
     spark = spark or SparkSession.builder.appName("demandlens").getOrCreate()
@@ -56,6 +58,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     unknown = sorted(set(names) - set(JOBS))
     if unknown:
         ap.error(f"unknown jobs: {unknown}")
+    if args.explain:
+        for name in names:
+            print(f"== {name} ==")
+            JOBS[name][0](roles, p).explain("formatted")
+        return 0
     written = run(roles, p, args.out, jobs=names, must_exist=args.must_exist,
                   display_labels=args.labels)
     if not written:

@@ -200,6 +200,26 @@ def test_cli_batch(spark, scratch):
     assert read_section(spark, os.path.join(out, "new_peaks"), "data").count() == 1
 
 
+def test_cli_explain_writes_nothing(spark, scratch, capsys):
+    import json
+
+    from demandlens.__main__ import main
+    roles = derive(spark, SF0001)
+    paths = {}
+    for name in ("forecast", "product_dict", "assortment"):
+        paths[name] = os.path.join(scratch, "roles", name)
+        roles[name].write.parquet(paths[name])
+    cfg = os.path.join(scratch, "roles.json")
+    with open(cfg, "w", encoding="utf-8") as fh:
+        json.dump(paths, fh)
+    out = os.path.join(scratch, "out")
+    assert main(["--roles", cfg, "--out", out, "--as-of", "1998-06-15", "--jobs", "new_peaks",
+                 "--explain"], spark=spark) == 0
+    printed = capsys.readouterr().out
+    assert "== new_peaks ==" in printed and "Physical Plan" in printed
+    assert not os.path.exists(out)
+
+
 def test_params_from_dict_rejects_unknown():
     from demandlens.params import Params
     with pytest.raises(ValueError):
