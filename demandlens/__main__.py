@@ -2,7 +2,7 @@
 
     python -m demandlens --roles roles.json --out s3://bucket/reports [--as-of 2026-01-20]
                          [--params params.json] [--jobs new_peaks,dbd_total] [--must-exist]
-                         [--labels] [--explain]
+                         [--labels] [--check-dimensions] [--explain]
 
 ``roles.json`` maps each role to a parquet path or a catalog table name (see
 ``sources.roles.load``); ``--raw`` conforms raw tables (text dates, padded codes) at load.
@@ -24,7 +24,7 @@ from pyspark.sql import SparkSession
 
 from demandlens.params import Params
 from demandlens.plans.jobs import JOBS
-from demandlens.plans.run import run
+from demandlens.plans.run import preflight, run
 from demandlens.sources.roles import load
 
 
@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--must-exist", action="store_true", help="never create a report")
     ap.add_argument("--labels", action="store_true", help="write display headers")
     ap.add_argument("--raw", action="store_true", help="conform raw role tables at load")
+    ap.add_argument("--check-dimensions", action="store_true",
+                    help="report duplicate dimension keys (they fan out results) before the run")
     ap.add_argument("--explain", action="store_true",
                     help="print each job's formatted physical plan; run and write nothing")
     args = ap.parse_args(argv)
@@ -58,6 +60,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     unknown = sorted(set(names) - set(JOBS))
     if unknown:
         ap.error(f"unknown jobs: {unknown}")
+    if args.check_dimensions:
+        for role, n in preflight(roles).items():
+            if n:
+                print(f"warning: {role} has {n} duplicated key values; joins fan out",
+                      file=sys.stderr)
     if args.explain:
         for name in names:
             print(f"== {name} ==")

@@ -14,9 +14,28 @@ from pyspark.sql import DataFrame
 from demandlens.params import Params
 from demandlens.plans.jobs import JOBS, dbd_both, gate_open
 from demandlens.sinks.report import LABELS, write_section, write_sections
+from demandlens.sources.roles import assert_unique
 
 SALES_PAIR = ("dbd_reg", "dbd_total")
 
+# Dimension keys whose duplicates fan out job results. The jobs keep the fan-out,
+# as the monitored SQL does; ``preflight`` reports it before a batch.
+DIMENSION_KEYS = {"product_dict": ("material",), "store_dict": ("number",),
+                  "plu_cat": ("plu",), "user_login": ("category_manager",),
+                  "assortment": ("plu", "zavod")}
+
+
+def preflight(roles: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Number of duplicated key values per dimension role present in ``roles``.
+
+    One aggregation per dimension; only the counts reach the driver.
+    """
+    out = {}
+    for role, keys in DIMENSION_KEYS.items():
+        if role in roles:
+            out[role] = assert_unique(roles[role], keys).count()
+    return out
+
 
 def run(roles: Mapping[str, DataFrame], p: Params, out_root: str,
         jobs: Iterable[str] | None = None, must_exist: bool = False,

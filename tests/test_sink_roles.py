@@ -298,3 +298,14 @@ def test_report_column_order(spark, job):
     assert cols == EXPECTED_COLUMNS[job]
     assert len(cols) == {"current_snapshot": 1, "system_antipeaks": 23, "old_peaks": 22,
                          "new_peaks": 16, "antipeaks": 18, "dbd_total": 26, "dbd_reg": 26}[job]
+
+
+def test_preflight_reports_duplicate_dimension_keys(spark):
+    from demandlens.plans.run import preflight
+    roles = derive(spark, SF0001)
+    got = preflight(roles)
+    assert got["product_dict"] == 0 and got["store_dict"] == 0 and got["plu_cat"] == 0
+    dup = dict(roles)
+    dup["product_dict"] = roles["product_dict"].unionByName(
+        roles["product_dict"].where(F.col("material") < 3))
+    assert preflight(dup)["product_dict"] == 3
