@@ -1,8 +1,10 @@
 """Q-batch: check the snapshot gate, then run the jobs and write each report section.
 
 The gate is the only value collected to the driver (one row). Every job is its own Spark job
-and its own idempotent overwrite of one section. A batch that fails part-way can be re-run
-as a whole, or only for the missing jobs. No state is carried between jobs.
+and its own idempotent overwrite of one section. The exception is the two sales sections,
+which share a workbook and their input: when both are requested they come from one plan and
+one write. A batch that fails part-way can be re-run as a whole, or only for the missing
+jobs. No state is carried between jobs.
 """
 
 from __future__ import annotations
