@@ -67,9 +67,35 @@ def test_row_counts_sf001(spark, name, n):
     assert queries()[name](spark, SF001).count() == n
 
 
+# The same table of FIXTURES.md at the other two scales (ppm_left_joined is the system
+# antipeaks result before post-processing).
+EXPECTED = {
+    SF0001: {"current_snapshot": 1, "ppm_pivot": 17, "ppm_left_joined": 58, "system_antipeaks": 2,
+             "first_violation": 0, "old_peaks": 0, "new_peaks": 1, "antipeaks": 0,
+             "dbd_total": 18, "dbd_reg": 18},
+    "/root/testdata/sf0.1": {"current_snapshot": 1, "ppm_pivot": 20, "ppm_left_joined": 720,
+                             "system_antipeaks": 6, "first_violation": 140, "last_year_sales": 106,
+                             "old_peaks": 43, "new_peaks": 165, "antipeaks": 329,
+                             "dbd_total": 140, "dbd_reg": 140},
+}
+
+
+@pytest.mark.parametrize("sf,name,n", [(sf, k, v) for sf, d in EXPECTED.items()
+                                       for k, v in sorted(d.items())])
+def test_row_counts_other_scales(spark, sf, name, n):
+    assert queries()[name](spark, sf).count() == n
+
+
 def test_entry_smoke(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     rows = df.collect()
     assert len(rows) == 18          # 17 groups + total row at sf0.001
     assert df.columns[:3] == ["user", "ui_5", "ui_5_name"]
+
+
+@pytest.mark.parametrize("sf,n_s4", [(SF001, 14), ("/root/testdata/sf0.1", 62)])
+def test_antipeaks_s4_arm_counts(spark, sf, n_s4):
+    from pyspark.sql import functions as F
+    df = queries()["antipeaks"](spark, sf)
+    assert df.where((F.col("s4_forecast") < 0) & (F.col("s4_delta") < -50)).count() == n_s4
