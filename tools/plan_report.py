@@ -5,7 +5,7 @@
 Counts shuffles, broadcasts, join strategies, windows, aggregates and scans, and lists the
 pushed filters of every parquet scan. Each job is executed once first, so the plan shown is
 the adaptive plan as it ran. With ``--materialized`` the role tables are first written to
-parquet in a fresh scratch folder (the forecast partitioned by ``snapshot_date``, as
+parquet in a fresh folder under ``spark.checkpoint.dir`` (the forecast partitioned by ``snapshot_date``, as
 recommended for production) and the jobs read them through ``sources.roles.load``. The
 counts then show each job's own plan, without the test-table role derivation.
 """
@@ -18,11 +18,11 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import tempfile  # noqa: E402
+import uuid  # noqa: E402
 
 from demandlens.plans import jobs  # noqa: E402
 from demandlens.plans.registry import PIPELINES, QUERIES  # noqa: E402
-from demandlens.session import local_session  # noqa: E402
+from demandlens.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from demandlens.sources.roles import load  # noqa: E402
 from demandlens.sources.testdata import FIXTURE_PARAMS, derive  # noqa: E402
 
@@ -39,7 +39,7 @@ PATTERNS = {
 
 
 def _materialized(spark, sf_dir):
-    folder = tempfile.mkdtemp(prefix="demandlens-roles-")
+    folder = f"{ensure_checkpoint_dir(spark)}/roles-{uuid.uuid4().hex}"
     roles = derive(spark, sf_dir)
     paths = {}
     for name in roles:
