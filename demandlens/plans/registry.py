@@ -64,68 +64,71 @@ def _dbd_args(r):
 
 FORECAST_KEYS = ("material", "store", "forecast_date", "snapshot_date", "system_forecast")
 
-QUERIES: dict[str, Query] = {
+BODIES: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
     # --- projections, filters, predicates
-    "promo_flag_rows": _q(lambda r: forecast.horizon_rows(r["forecast"], P)),
-    "store_exclusion_contains": _q(lambda r: r["forecast"].where(
-        store_kept("store", contains=P.antipeak_store_substring)).select(*FORECAST_KEYS)),
-    "store_exclusion_list": _q(lambda r: r["forecast"].where(
-        store_kept("store", ids=P.peak_store_list)).select(*FORECAST_KEYS)),
-    "store_exclusion_prefix": _q(lambda r: r["daily_sales"].where(
+    "promo_flag_rows": lambda r: forecast.horizon_rows(r["forecast"], P),
+    "store_exclusion_contains": lambda r: r["forecast"].where(
+        store_kept("store", contains=P.antipeak_store_substring)).select(*FORECAST_KEYS),
+    "store_exclusion_list": lambda r: r["forecast"].where(
+        store_kept("store", ids=P.peak_store_list)).select(*FORECAST_KEYS),
+    "store_exclusion_prefix": lambda r: r["daily_sales"].where(
         store_kept("zavod", prefixes=P.sales_store_prefixes))
-        .select("calc_date", "plu", "zavod", "sc_quantity")),
-    "horizon_filter": _q(lambda r: forecast.current_horizon(r["forecast"], P)
-                         .select("material", "store", "forecast_date", "diag_id", "system_forecast")),
-    "actualised_history": _q(lambda r: forecast.history_rows(r["forecast"], P)),
+        .select("calc_date", "plu", "zavod", "sc_quantity"),
+    "horizon_filter": lambda r: forecast.current_horizon(r["forecast"], P)
+                         .select("material", "store", "forecast_date", "diag_id", "system_forecast"),
+    "actualised_history": lambda r: forecast.history_rows(r["forecast"], P),
     # --- system antipeaks stages
-    "daily_totals": _q(lambda r: forecast.daily_totals(forecast.horizon_rows(r["forecast"], P))),
-    "stitched_totals": _q(lambda r: forecast.stitched_totals(r["forecast"], P)),
-    "ppm_counts": _q(lambda r: stock.ppm_counts(r["sales_stock"], P)),
-    "ppm_pivot": _q(lambda r: stock.ppm_pivot(r["sales_stock"], P)),
-    "product_enriched": _q(lambda r: enrich.with_product(
-        forecast.stitched_totals(r["forecast"], P), r["product_dict"])),
-    "ppm_left_joined": _q(_sap_input),
-    "promo_free_median": _q(lambda r: ap.promo_free_median(_sap_input(r), P)),
-    "median_attached": _q(lambda r: ap.with_median(_sap_input(r), P)),
-    "antipeak_candidates": _q(lambda r: ap.candidates(ap.with_median(_sap_input(r), P), P)),
-    "min_ratio_per_sku": _q(lambda r: ap.min_ratio_per_sku(
+    "daily_totals": lambda r: forecast.daily_totals(forecast.horizon_rows(r["forecast"], P)),
+    "stitched_totals": lambda r: forecast.stitched_totals(r["forecast"], P),
+    "ppm_counts": lambda r: stock.ppm_counts(r["sales_stock"], P),
+    "ppm_pivot": lambda r: stock.ppm_pivot(r["sales_stock"], P),
+    "product_enriched": lambda r: enrich.with_product(
+        forecast.stitched_totals(r["forecast"], P), r["product_dict"]),
+    "ppm_left_joined": _sap_input,
+    "promo_free_median": lambda r: ap.promo_free_median(_sap_input(r), P),
+    "median_attached": lambda r: ap.with_median(_sap_input(r), P),
+    "antipeak_candidates": lambda r: ap.candidates(ap.with_median(_sap_input(r), P), P),
+    "min_ratio_per_sku": lambda r: ap.min_ratio_per_sku(
         ap.candidates(ap.with_median(_sap_input(r), P), P))
-        .select("material", "forecast_date", "total_forecast", "median_forecast", "ratio")),
+        .select("material", "forecast_date", "total_forecast", "median_forecast", "ratio"),
     # --- old peaks stages
-    "series_neighbours": _q(lambda r: peaks.neighbours(peaks.peak_series(r["forecast"], P))),
-    "spike_violations": _q(lambda r: peaks.spike_violations(
-        peaks.neighbours(peaks.peak_series(r["forecast"], P)), P)),
-    "first_violation": _q(_peak_first),
-    "last_year_sales": _q(lambda r: peaks.last_year_sales(_peak_first(r), r["sales_stock"], P)),
-    "recent_sales_by_type": _q(_peak_recent),
-    "peak_rejoin_flags": _q(lambda r: peaks.peak_rejoin_flags(_peak_recent(r), r["forecast"], P)),
+    "series_neighbours": lambda r: peaks.neighbours(peaks.peak_series(r["forecast"], P)),
+    "spike_violations": lambda r: peaks.spike_violations(
+        peaks.neighbours(peaks.peak_series(r["forecast"], P)), P),
+    "first_violation": _peak_first,
+    "last_year_sales": lambda r: peaks.last_year_sales(_peak_first(r), r["sales_stock"], P),
+    "recent_sales_by_type": _peak_recent,
+    "peak_rejoin_flags": lambda r: peaks.peak_rejoin_flags(_peak_recent(r), r["forecast"], P),
     # --- new peaks stages
-    "series_min_max_ratio": _q(lambda r: peaks.series_min_max_ratio(r["forecast"], P)),
-    "assortment_type_lookup": _q(lambda r: peaks.with_assortment_type(
-        peaks.series_min_max_ratio(r["forecast"], P), r["assortment"])),
+    "series_min_max_ratio": lambda r: peaks.series_min_max_ratio(r["forecast"], P),
+    "assortment_type_lookup": lambda r: peaks.with_assortment_type(
+        peaks.series_min_max_ratio(r["forecast"], P), r["assortment"]),
     # --- adjustment cut stages
-    "allowed_assortment": _q(lambda r: cuts.allowed_assortment(r["assortment"], P)),
-    "store_format_filter": _q(lambda r: cuts.store_format_filter(r["forecast"], r["store_dict"], P)),
-    "adjusted_daily": _q(lambda r: cuts.adjusted_daily(r["forecast"], r["store_dict"],
-                                                       r["assortment"], P)),
-    "adjustment_deltas": _q(_cut_deltas),
-    "adjustment_cuts": _q(lambda r: cuts.adjustment_cuts(_cut_deltas(r), P)),
+    "allowed_assortment": lambda r: cuts.allowed_assortment(r["assortment"], P),
+    "store_format_filter": lambda r: cuts.store_format_filter(r["forecast"], r["store_dict"], P),
+    "adjusted_daily": lambda r: cuts.adjusted_daily(r["forecast"], r["store_dict"],
+                                                       r["assortment"], P),
+    "adjustment_deltas": _cut_deltas,
+    "adjustment_cuts": lambda r: cuts.adjustment_cuts(_cut_deltas(r), P),
     # --- day-by-day sales stages
-    "sales_by_category_day": _q(lambda r: sales.sales_by_category_day(*_dbd_args(r))),
-    "day_matrix": _q(lambda r: sales.day_matrix(*_dbd_args(r))),
-    "growth_rates": _q(lambda r: sales.growth_rates(*_dbd_args(r))),
-    "matrix_total_row": _q(lambda r: sales.total_row(sales.report_rows(*_dbd_args(r)), P)),
+    "sales_by_category_day": lambda r: sales.sales_by_category_day(*_dbd_args(r)),
+    "day_matrix": lambda r: sales.day_matrix(*_dbd_args(r)),
+    "growth_rates": lambda r: sales.growth_rates(*_dbd_args(r)),
+    "matrix_total_row": lambda r: sales.total_row(sales.report_rows(*_dbd_args(r)), P),
     # --- whole jobs
-    "current_snapshot": _q(lambda r: jobs.gate(r, P)),
-    "system_antipeaks": _q(lambda r: jobs.system_antipeaks(r, P)),
-    "old_peaks": _q(lambda r: jobs.old_peaks(r, P)),
-    "new_peaks": _q(lambda r: jobs.new_peaks(r, P)),
-    "antipeaks": _q(lambda r: jobs.antipeaks(r, P)),
-    "dbd_total": _q(lambda r: jobs.dbd_total(r, P)),
-    "dbd_reg": _q(lambda r: jobs.dbd_reg(r, P)),
+    "current_snapshot": lambda r: jobs.gate(r, P),
+    "system_antipeaks": lambda r: jobs.system_antipeaks(r, P),
+    "old_peaks": lambda r: jobs.old_peaks(r, P),
+    "new_peaks": lambda r: jobs.new_peaks(r, P),
+    "antipeaks": lambda r: jobs.antipeaks(r, P),
+    "dbd_total": lambda r: jobs.dbd_total(r, P),
+    "dbd_reg": lambda r: jobs.dbd_reg(r, P),
     # both sales sections from one read, as the batch writes them
-    "dbd_sections": _q(lambda r: jobs.dbd_both(r, P)),
+    "dbd_sections": lambda r: jobs.dbd_both(r, P),
 }
 
+# registered queries: each body over the roles derived from the test tables in ``sf_dir``
+QUERIES: dict[str, Query] = {name: _q(body) for name, body in BODIES.items()}
+
 PIPELINES = ("current_snapshot", "system_antipeaks", "old_peaks", "new_peaks", "antipeaks",
              "dbd_total", "dbd_reg")

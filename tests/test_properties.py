@@ -21,7 +21,9 @@ from demandlens.operators import cuts, peaks, sales, stock
 from demandlens.operators.forecast import stitched_totals
 from demandlens.params import Params
 from demandlens.plans import jobs
+from demandlens.plans.registry import BODIES
 from demandlens.sources.roles import SCHEMAS
+from demandlens.sources.testdata import FIXTURE_PARAMS
 from oracle.compare import same_rows
 from oracle.statements import build
 
@@ -36,55 +38,62 @@ STORES = ["S1", "S2", "L001", "SL2", None]
 ZAVODS = ["S1", "S2", "L00", "R00", "B00", None]
 
 
-def d(k: int) -> date:
-    return A + timedelta(days=k)
+def d(k: int, a: date = A) -> date:
+    return a + timedelta(days=k)
 
 
-def ly(k: int) -> date:
-    x = d(k)
+def ly(k: int, a: date = A) -> date:
+    x = d(k, a)
     return x.replace(year=x.year - 1)
 
 
-forecast_row = st.fixed_dictionaries({
-    "material": st.integers(1, 3), "store": st.sampled_from(STORES),
-    "k": st.integers(-16, 23), "snap": st.sampled_from(["own", "today", "other"]),
-    "diag_id": st.sampled_from(["", "", "", "D1", None]), "promo_flag": st.sampled_from([0, 0, 0, 1]),
-    "system_forecast": st.sampled_from([0.0, 1.0, 3.0, 6.0, 8.0, 10.0, 20.0, 40.0, 90.0]),
-    "s4_adjustment": st.sampled_from([None, 0.0, -0.5, -2.0, -7.25]),
-    "car_adjustment": st.sampled_from([None, 0.0, -1.0, -5.0, -30.0]),
-})
-stock_row = st.fixed_dictionaries({
-    "when": st.one_of(st.builds(ly, st.integers(0, 22)), st.builds(d, st.integers(-6, 0))),
-    "material": st.integers(1, 3), "plant": st.sampled_from(STORES),
-    "ispromo": st.sampled_from([0, 0, 1]), "dismm": st.sampled_from(["PD", "ND", "XX", None]),
-    "sc_quantity": st.sampled_from([None, 0.0, 1.0, 2.0, 5.0, 9.0]),
-})
-sales_row = st.fixed_dictionaries({
-    "k": st.integers(0, 16), "plu": st.integers(1, 4), "zavod": st.sampled_from(ZAVODS),
-    "sc_quantity": st.sampled_from([None, 0.0, 1.0, 3.0, 7.0, 29.0, 80.0]),
-    "sc_quantity_not_anypromo": st.sampled_from([None, 0.0, 1.0, 3.0, 80.0]),
-})
-tables = st.fixed_dictionaries({
-    "forecast": st.lists(forecast_row, max_size=70),
-    "sales_stock": st.lists(stock_row, max_size=40),
-    "assortment": st.lists(st.tuples(st.integers(1, 3), st.sampled_from(STORES),
-                                     st.sampled_from(["AZ", "ND", "ZZ", None])), max_size=12),
-    "store_dict": st.lists(st.tuples(st.sampled_from(STORES),
-                                     st.sampled_from(["Mahalla", "Supermarket", "Express"])),
-                           max_size=8),
-    "daily_sales": st.lists(sales_row, max_size=40),
-    "plu_cat": st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["K1", "K2", None]),
-                                  st.sampled_from(["C1", "C2"])), max_size=6),
-    "user_login": st.lists(st.tuples(st.sampled_from(["K1", "K2", "K3"]),
-                                     st.sampled_from(["u1", "u2", "u3"])), max_size=4),
-})
-
-
-def _forecast(rows):
+def make_tables(a: date, stock_days: int = 6):
+    """Strategy for one random set of role tables around as-of date ``a``."""
+    forecast_row = st.fixed_dictionaries({
+        "material": st.integers(1, 3), "store": st.sampled_from(STORES),
+        "k": st.integers(-16, 23), "snap": st.sampled_from(["own", "today", "other"]),
+        "diag_id": st.sampled_from(["", "", "", "D1", None]), "promo_flag": st.sampled_from([0, 0, 0, 1]),
+        "system_forecast": st.sampled_from([0.0, 1.0, 3.0, 6.0, 8.0, 10.0, 20.0, 40.0, 90.0]),
+        "s4_adjustment": st.sampled_from([None, 0.0, -0.5, -2.0, -7.25]),
+        "car_adjustment": st.sampled_from([None, 0.0, -1.0, -5.0, -30.0]),
+    })
+    stock_row = st.fixed_dictionaries({
+        "when": st.one_of(st.builds(lambda k: ly(k, a), st.integers(0, 22)),
+                         st.builds(lambda k: d(-k, a), st.integers(0, stock_days))),
+        "material": st.integers(1, 3), "plant": st.sampled_from(STORES),
+        "ispromo": st.sampled_from([0, 0, 1]), "dismm": st.sampled_from(["PD", "ND", "XX", None]),
+        "sc_quantity": st.sampled_from([None, 0.0, 1.0, 2.0, 5.0, 9.0]),
+    })
+    sales_row = st.fixed_dictionaries({
+        "k": st.integers(0, 16), "plu": st.integers(1, 4), "zavod": st.sampled_from(ZAVODS),
+        "sc_quantity": st.sampled_from([None, 0.0, 1.0, 3.0, 7.0, 29.0, 80.0]),
+        "sc_quantity_not_anypromo": st.sampled_from([None, 0.0, 1.0, 3.0, 80.0]),
+    })
+    tables = st.fixed_dictionaries({
+        "forecast": st.lists(forecast_row, max_size=70),
+        "sales_stock": st.lists(stock_row, max_size=40),
+        "assortment": st.lists(st.tuples(st.integers(1, 3), st.sampled_from(STORES),
+                                         st.sampled_from(["AZ", "ND", "ZZ", None])), max_size=12),
+        "store_dict": st.lists(st.tuples(st.sampled_from(STORES),
+                                         st.sampled_from(["Mahalla", "Supermarket", "Express"])),
+                               max_size=8),
+        "daily_sales": st.lists(sales_row, max_size=40),
+        "plu_cat": st.lists(st.tuples(st.integers(1, 4), st.sampled_from(["K1", "K2", None]),
+                                      st.sampled_from(["C1", "C2"])), max_size=6),
+        "user_login": st.lists(st.tuples(st.sampled_from(["K1", "K2", "K3"]),
+                                         st.sampled_from(["u1", "u2", "u3"])), max_size=4),
+    })
+    return tables
+
+
+tables = make_tables(A)
+
+
+def _forecast(rows, a: date = A):
     out, seen = [], set()
     for r in rows:
-        fd = d(r["k"])
-        snap = {"own": fd, "today": A, "other": A - timedelta(days=1)}[r["snap"]]
+        fd = d(r["k"], a)
+        snap = {"own": fd, "today": a, "other": a - timedelta(days=1)}[r["snap"]]
         key = (r["material"], r["store"], fd, snap, r["diag_id"], r["promo_flag"])
         if key in seen:           # the forecast key is unique (one value per line and day)
             continue
@@ -99,9 +108,9 @@ def _forecast(rows):
     return out
 
 
-def _roles(t):
+def _roles(t, a: date = A):
     return {
-        "forecast": _forecast(t["forecast"]),
+        "forecast": _forecast(t["forecast"], a),
         "sales_stock": [{"caldate": r["when"], **{k: r[k] for k in
                          ("material", "plant", "ispromo", "dismm", "sc_quantity")}}
                         for r in t["sales_stock"]],
@@ -109,7 +118,7 @@ def _roles(t):
                           "node_5_name": f"x{m}"} for m in (1, 2)],
         "assortment": [dict(zip(("plu", "zavod", "az_type"), r)) for r in t["assortment"]],
         "store_dict": [dict(zip(("number", "type_cf"), r)) for r in t["store_dict"]],
-        "daily_sales": [{"calc_date": A - timedelta(days=r["k"]), **{k: r[k] for k in
+        "daily_sales": [{"calc_date": a - timedelta(days=r["k"]), **{k: r[k] for k in
                          ("plu", "zavod", "sc_quantity", "sc_quantity_not_anypromo")}}
                         for r in t["daily_sales"]],
         "plu_cat": [{"plu": p, "km": k, "ui_5": c, "ui_5_name": c + "!"} for p, k, c in t["plu_cat"]],
@@ -162,7 +171,7 @@ STAGES = {
 }
 
 
-@settings(max_examples=12, deadline=None, derandomize=True,
+@settings(max_examples=8, deadline=None, derandomize=True,
           suppress_health_check=list(HealthCheck))
 @given(tables)
 def test_jobs_equal_literal_sql_on_random_tables(spark, t):
@@ -195,3 +204,19 @@ def test_dense_example_is_not_empty(spark):
         ok, info = same_rows(got, con.execute(SQL[name]).fetchdf())
         assert ok, (name, info)
         assert got.count() > 0, name
+
+
+# --- every registered query, fixture parameters, random tables around the fixture as-of ------
+
+FIXTURE_SQL = build(FIXTURE_PARAMS, role_ctes=False)
+
+
+@settings(max_examples=4, deadline=None, derandomize=True,
+          suppress_health_check=list(HealthCheck))
+@given(make_tables(FIXTURE_PARAMS.as_of, stock_days=22))
+def test_every_registered_query_equals_its_oracle_on_random_tables(spark, t):
+    sdfs, con = _frames(spark, _roles(t, FIXTURE_PARAMS.as_of))
+    assert set(BODIES) == set(FIXTURE_SQL)
+    for name, body in BODIES.items():
+        ok, info = same_rows(body(sdfs), con.execute(FIXTURE_SQL[name]).fetchdf())
+        assert ok, (name, info)
