@@ -78,10 +78,13 @@ def main() -> None:
         plan = plan.split("== Initial Plan ==")[0]          # the plan as it ran
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         print(f"| {name} | {n} | " + " | ".join(counts) + " |")
-        pushed[name] = sorted(set(re.findall(r"PushedFilters: \[([^\]]*)\]", plan)))
+        pushed[name] = (sorted(set(re.findall(r"PushedFilters: \[([^\]\n]*)", plan))),
+                        sorted(set(re.findall(r"PartitionFilters: \[([^\]\n]*)", plan))))
     print()
-    for name, filters in pushed.items():
-        print(f"* `{name}` pushed filters: " + "; ".join(f"`{f}`" for f in filters if f))
+    for name, (filters, parts) in pushed.items():
+        print(f"* `{name}` pushed filters: " + "; ".join(f"`{f}`" for f in filters if f)
+              + ("; partition filters: " + "; ".join(f"`{f}`" for f in parts if f)
+                 if any(parts) else ""))
     spark.stop()
 
 
