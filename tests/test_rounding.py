@@ -31,3 +31,25 @@ def test_pct_change_known_pairs(spark):
     rows = spark.createDataFrame([(29.0, 80.0), (1.0, 8.0), (3.0, 0.0), (None, 5.0)], "x double, y double")
     got = [r.g for r in rows.select(pct_change("x", "y").alias("g")).collect()]
     assert got == [-63.8, -87.5, None, None]
+
+
+def test_oracle_comparer_detects_differences(spark):
+    """The comparer behind every oracle test is not vacuous."""
+    import pandas as pd
+
+    import oracle.compare as oc
+    df = spark.createDataFrame([(1, 0.1 + 0.2, "a"), (2, None, "b")], "k int, v double, s string")
+    same = pd.DataFrame({"s": ["b", "a"], "k": [2, 1], "v": [None, 0.1 + 0.2]})
+    assert oc.same_rows(df, same)[0]                      # order of rows and columns ignored
+    changed = same.assign(s=["b", "c"])
+    assert not oc.same_rows(df, changed)[0]
+    assert not oc.same_rows(df, same.iloc[:1])[0]         # a missing row
+    off_by_ulp = same.assign(v=[None, 0.3])               # 0.1 + 0.2 != 0.3 in binary
+    old = oc.EXACT
+    try:
+        oc.EXACT = True
+        assert not oc.same_rows(df, off_by_ulp)[0]
+        oc.EXACT = False
+        assert oc.same_rows(df, off_by_ulp)[0]
+    finally:
+        oc.EXACT = old
