@@ -82,6 +82,17 @@ def conform(df: DataFrame, role: str) -> DataFrame:
     return df.select(*cols)
 
 
+def project(df: DataFrame, role: str) -> DataFrame:
+    """Select the role's columns by name (case-insensitive) with their declared types.
+
+    For a table already in the role schema the casts are no-ops that Catalyst removes.
+    """
+    by_lower = {f.name.lower(): f.name for f in df.schema.fields}
+    return df.select(*[(F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType)
+                        if f.name.lower() in by_lower else F.lit(None).cast(f.dataType))
+                       .alias(f.name) for f in SCHEMAS[role].fields])
+
+
 def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
          raw: bool = False) -> dict[str, DataFrame]:
     """Read each role from ``paths`` (role -> path or table name).
@@ -89,13 +100,17 @@ def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
     A value containing ``/`` (or a URI) is a path; any other value is a catalog table name,
     one to three parts (``spark.table``). Both keep partition pruning on ``snapshot_date``
     when the forecast table is partitioned by it. With ``raw=True`` the frames go through
-    ``conform``; otherwise the declared schema is used as the read schema.
+    ``conform``; otherwise paths are read with the declared schema, and tables are projected
+    onto it (which keeps their bucketing usable).
     """
     out = {}
     for role, where in paths.items():
         if "/" not in where:
             df = spark.table(where)
-            out[role] = conform(df, role)
+            # a typed table keeps its columns untouched, so its bucketing (e.g. by
+            # material, store) still provides the partitioning that windows and
+            # aggregates on those keys need
+            out[role] = conform(df, role) if raw else project(df, role)
         elif raw:
             out[role] = conform(spark.read.format(fmt).load(where), role)
         else:

@@ -261,7 +261,7 @@ def test_load_catalog_table_conformed(spark):
     raw = spark.createDataFrame([("20260119", "1", " S1 ", 5.0)],
                                 "CALC_DATE string, PLU string, zavod string, sc_quantity double")
     raw.createOrReplaceTempView("raw_daily_sales_view")
-    got = load(spark, {"daily_sales": "raw_daily_sales_view"})["daily_sales"]
+    got = load(spark, {"daily_sales": "raw_daily_sales_view"}, raw=True)["daily_sales"]
     assert got.schema == SCHEMAS["daily_sales"]
     r = got.first()
     assert (r.calc_date, r.plu, r.zavod, r.sc_quantity_not_anypromo) == (date(2026, 1, 19), 1, " S1", None)
@@ -309,3 +309,31 @@ def test_preflight_reports_duplicate_dimension_keys(spark):
     dup["product_dict"] = roles["product_dict"].unionByName(
         roles["product_dict"].where(F.col("material") < 3))
     assert preflight(dup)["product_dict"] == 3
+
+
+def test_bucketed_forecast_removes_window_and_aggregate_shuffles(spark, scratch):
+    """A forecast table bucketed by (material, store) already has the partitioning the peak
+    windows and the max/min aggregate need: no exchange is planned for them."""
+    import re
+    import uuid
+
+    from demandlens.operators import peaks
+    roles = derive(spark, SF0001)
+    table = f"forecast_bucketed_{uuid.uuid4().hex[:8]}"
+    (roles["forecast"].write.option("path", os.path.join(scratch, table))
+     .bucketBy(4, "material", "store").saveAsTable(table))
+    bucketed = load(spark, {"forecast": table})["forecast"]
+    p = FIXTURE_PARAMS
+
+    def first(f):
+        return peaks.first_violation(peaks.spike_violations(
+            peaks.neighbours(peaks.peak_series(f, p)), p))
+
+    def shuffles(df):
+        return re.findall(r"Exchange hashpartitioning", df._jdf.queryExecution()
+                          .executedPlan().toString())
+
+    assert shuffles(first(bucketed)) == []
+    assert shuffles(peaks.series_min_max_ratio(bucketed, p)) == []
+    assert sorted(map(tuple, first(bucketed).collect())) == \
+        sorted(map(tuple, first(roles["forecast"]).collect()))
