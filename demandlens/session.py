@@ -48,6 +48,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]")
                .appName("demandlens")
                .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="demandlens-ckpt-"))
+               .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="demandlens-wh-"))
                .config("spark.driver.memory", driver_memory)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**LOCAL_CONF, **(extra or {})}.items():
