@@ -335,5 +335,10 @@ def test_bucketed_forecast_removes_window_and_aggregate_shuffles(spark, scratch)
 
     assert shuffles(first(bucketed)) == []
     assert shuffles(peaks.series_min_max_ratio(bucketed, p)) == []
+    # the cut job's per-(day, SKU, store) pre-aggregate needs no exchange either
+    from demandlens.operators import cuts
+    plan = cuts.adjusted_daily(bucketed, roles["store_dict"], roles["assortment"], p)
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(forecast_date#\d+, material#\d+L?, store#", plan)
     assert sorted(map(tuple, first(bucketed).collect())) == \
         sorted(map(tuple, first(roles["forecast"]).collect()))
