@@ -1,11 +1,13 @@
 """Daily batch from the command line.
 
     python -m demandlens --roles roles.json --out s3://bucket/reports [--as-of 2026-01-20]
-                         [--params params.json] [--jobs new_peaks,dbd_total] [--must-exist]
+                         [--params params.json] [--jobs new_peaks,dbd_total] [--create]
                          [--labels] [--check-dimensions] [--explain]
 
 ``roles.json`` maps each role to a parquet path or a catalog table name (see
-``sources.roles.load``); ``--raw`` conforms raw tables (text dates, padded codes) at load.
+``sources.roles.load``); ``--raw`` conforms raw tables (source headers, text dates, padded
+codes) at load. ``--columns`` names a JSON file role -> source header -> field for headers
+beside the documented ones.
 ``params.json`` overrides thresholds and lists by name (``Params`` fields), e.g.
 ``{"min_stores": 40, "store_formats": ["Mahalla", "Supermarket"]}``.
 ``--as-of`` defaults to the current date of the machine that submits the batch. It is read
@@ -35,9 +37,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--as-of", type=date.fromisoformat, default=None)
     ap.add_argument("--params", default=None, help="JSON file: Params overrides")
     ap.add_argument("--jobs", default=",".join(JOBS), help="comma-separated job names")
-    ap.add_argument("--must-exist", action="store_true", help="never create a report")
+    ap.add_argument("--create", action="store_true",
+                    help="create reports that do not exist (else a missing one stops the batch)")
     ap.add_argument("--labels", action="store_true", help="write display headers")
     ap.add_argument("--raw", action="store_true", help="conform raw role tables at load")
+    ap.add_argument("--columns", default=None, help="JSON file: role -> source header -> field")
     ap.add_argument("--check-dimensions", action="store_true",
                     help="report duplicate dimension keys (they fan out results) before the run")
     ap.add_argument("--explain", action="store_true",
@@ -47,7 +51,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("demandlens").getOrCreate()
     with open(args.roles, encoding="utf-8") as fh:
         paths = json.load(fh)
-    roles = load(spark, paths, raw=args.raw)
+    columns = None
+    if args.columns:
+        with open(args.columns, encoding="utf-8") as fh:
+            columns = json.load(fh)
+    roles = load(spark, paths, raw=args.raw, columns=columns)
     overrides = {}
     if args.params:
         with open(args.params, encoding="utf-8") as fh:
@@ -70,7 +78,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(f"== {name} ==")
             JOBS[name][0](roles, p).explain("formatted")
         return 0
-    written = run(roles, p, args.out, jobs=names, must_exist=args.must_exist,
+    written = run(roles, p, args.out, jobs=names, must_exist=not args.create,
                   display_labels=args.labels)
     if not written:
         print(f"snapshot {p.as_of} not loaded; nothing written", file=sys.stderr)

@@ -1,46 +1,59 @@
 """Scalar measures (F3-F17, M1-M14) as Column expressions.
 
-Every divisor is guarded: with ANSI mode on, a division by zero would fail the whole job.
+Quantities are exact decimals. Thresholds are turned into exact decimals too, so a comparison
+at the limit does not depend on binary fractions. Every divisor is guarded: with ANSI mode
+on, a division by zero would fail the whole job.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from demandlens.functions.predicates import col
 
 
-def pct_change(x: str | Column, base: str | Column, digits: int = 1) -> Column:
-    """Growth of ``x`` over ``base`` in percent, rounded; NULL when ``base`` is 0 or NULL.
+def exact(value: float | int | Decimal) -> Column:
+    """A threshold as the decimal that its text shows."""
+    return F.lit(Decimal(str(value)))
+
+
+def pct_change(x: str | Column, base: str | Column) -> Column:
+    """Growth of ``x`` over ``base`` in percent, to one digit; NULL when ``base`` is 0 or NULL.
 
-    Written as ``100 * (x - base) / base`` rather than ``(x / base - 1) * 100``: on doubles
-    this form rounds like exact decimal arithmetic (29 over 80 gives -63.8, not -63.7).
+    Rounded half away from zero from the exact quotient: in thousandths both are whole
+    numbers, and ``round(1000 * (x - base) / base)`` is a whole division of
+    ``2000 * |x - base| + |base|`` by ``2 * |base|`` (29 over 80 gives -63.8).
     """
-    x, base = col(x), col(base)
-    return F.round(F.lit(100.0) * (x - base) / F.nullif(base, F.lit(0.0)), digits)
+    x, base = (F.round(col(c) * 1000, 0).cast("decimal(30,0)") for c in (x, base))
+    diff, size = x - base, F.nullif(F.abs(base), F.lit(0).cast("decimal(30,0)"))
+    up = (F.abs(diff) * 2000 + size).cast("decimal(38,0)")
+    down = (size * 2).cast("decimal(38,0)")
+    tenths = F.call_function("div", up, down)
+    # adding zero turns a negative zero into zero
+    return F.signum(diff) * F.signum(base) * tenths / F.lit(10.0) + F.lit(0.0)
 
 
 def adjustment_delta(total: str | Column, adjustment: str | Column) -> Column:
     """Percent change of ``total`` after ``adjustment``; 0 when there is no adjustment.
 
-    ``((total + adj) / total - 1) * 100`` equals ``100 * adj / total`` exactly; the latter is
-    the correctly rounded double of the exact value.
+    ``((total + adj) / total - 1) * 100`` equals ``100 * adj / total``; both sides are exact,
+    and their quotient is one correctly rounded double.
     """
     total, adjustment = col(total), col(adjustment)
-    return (F.when(adjustment != F.lit(0.0),
-                   F.lit(100.0) * adjustment / F.nullif(total, F.lit(0.0)))
-             .otherwise(F.lit(0.0)))
+    return (F.when(adjustment != 0, ratio(adjustment * 100, total)).otherwise(F.lit(0.0)))
 
 
 def ratio(num: str | Column, den: str | Column) -> Column:
-    """Plain ratio; NULL instead of a failure on a zero denominator."""
-    return col(num) / F.nullif(col(den), F.lit(0.0))
+    """Plain ratio as a double; NULL instead of a failure on a zero denominator."""
+    return col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
 
 
 def nonzero_flag(c: str | Column) -> Column:
     """1 when the value is present and not 0, else 0."""
-    return F.when(col(c) != F.lit(0.0), F.lit(1)).otherwise(F.lit(0))
+    return F.when(col(c) != 0, F.lit(1)).otherwise(F.lit(0))
 
 
 def weekend_flag(d: str | Column) -> Column:

@@ -1,4 +1,4 @@
-"""Row filters shared by the jobs (P3-P11), as Column expressions or DataFrame functions.
+"""Row filters shared by the jobs (P3-P11), as Column expressions.
 
 Each is a plain Catalyst expression, so it reaches the scan as a pushed filter where the
 source allows it (dates, equality on codes, ``StartsWith`` / ``Contains`` on stores).
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -60,10 +60,3 @@ def store_kept(store_col: str | Column = "store", contains: str | None = None,
 def promo_flag(offer_col: str | Column = "ofr_id") -> Column:
     """1 when the row carries an offer id, else 0 (NULL counts as no offer)."""
     return F.when(col(offer_col) != F.lit(""), F.lit(1)).otherwise(F.lit(0))
-
-
-def where_all(df: DataFrame, *conds: Column) -> DataFrame:
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond & c
-    return df.where(cond)

@@ -19,7 +19,7 @@ from demandlens.params import Params
 def _baseline_value(p: Params):
     """P20: only history days (before ``as_of``) without promotion enter the median."""
     return F.when((F.col("forecast_date") < F.lit(p.as_of)) & (F.col("promo_exists") == 0),
-                  F.col("total_forecast"))
+                  F.col("total_forecast").cast("double"))
 
 
 def promo_free_median(totals: DataFrame, p: Params) -> DataFrame:

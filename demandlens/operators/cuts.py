@@ -2,8 +2,8 @@
 (G7, P10, D1, J8, J9, F2, G8, G9, M12, P17, T1).
 
 The source joins every forecast row to the store dictionary and the de-duplicated assortment,
-then counts distinct stores and sums per (day, SKU). Here the forecast is first summed per
-(day, SKU, store), which is map-side partial aggregation. The two dimensions are then joined
+then counts distinct stores and sums per (day, SKU). Here the forecast is dealt by (SKU, store)
+and summed per (day, SKU, store). The two dimensions are joined to each other first,
 as multiplicities, i.e. how many store rows and how many assortment rows each key matches.
 Each sum becomes a weighted sum and the distinct-store count becomes a row count. That is
 exact, fan-out included: a row that the joins would repeat m times is weighted by m. It
@@ -13,10 +13,12 @@ store) instead of one per offer line.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandlens.functions.measures import adjustment_delta
+from demandlens.functions.measures import adjustment_delta, exact
 from demandlens.functions.predicates import between, current, main_line
 from demandlens.params import Params
 from demandlens.sources.roles import PRODUCT_COLUMNS
@@ -45,26 +47,32 @@ def store_format_filter(forecast: DataFrame, store_dict: DataFrame, p: Params) -
 def adjusted_daily(forecast: DataFrame, store_dict: DataFrame, assortment: DataFrame,
                    p: Params) -> DataFrame:
     """Per (day, SKU) store count and system / CAR / S4 sums, big days only."""
+    zero = F.lit(Decimal(0))
+    # dealt by (material, store) once: the per-store sums and the join both use that
     per_store = (_horizon_lines(forecast, p)
+                 .select("forecast_date", "material", "store", "system_forecast",
+                         "car_adjustment", "s4_adjustment")
+                 .repartition("material", "store")
                  .groupBy("forecast_date", "material", "store")
                  .agg(F.sum("system_forecast").alias("s"),
-                      F.sum(F.coalesce("car_adjustment", F.lit(0.0))).alias("c"),
-                      F.sum(F.coalesce("s4_adjustment", F.lit(0.0))).alias("a")))
+                      F.sum(F.coalesce("car_adjustment", zero)).alias("c"),
+                      F.sum(F.coalesce("s4_adjustment", zero)).alias("a")))
     store_w = (store_dict.where(F.col("type_cf").isin(list(p.store_formats)))
                .groupBy("number").agg(F.count(F.lit(1)).alias("ws")))
     assort_w = (allowed_assortment(assortment, p)
                 .groupBy("plu", "zavod").agg(F.count(F.lit(1)).alias("wa")))
-    joined = (per_store
-              .join(store_w, per_store["store"] == store_w["number"], "inner")
-              .join(assort_w, (per_store["material"] == assort_w["plu"])
-                    & (per_store["store"] == assort_w["zavod"]), "inner"))
+    # both multiplicities meet on the dimension side, so the forecast joins once
+    w = (assort_w.join(store_w, assort_w["zavod"] == store_w["number"], "inner")
+         .select("plu", "zavod", "ws", "wa"))
+    joined = per_store.join(w, (per_store["material"] == w["plu"])
+                            & (per_store["store"] == w["zavod"]), "inner")
     m = F.col("ws") * F.col("wa")
     agg = (joined.groupBy("forecast_date", "material")
            .agg(F.count(F.lit(1)).alias("zavod_num"),
                 F.sum(F.col("s") * m).alias("system_forecast"),
                 F.sum(F.col("c") * m).alias("car_forecast"),
                 F.sum(F.col("a") * m).alias("s4_forecast")))
-    return agg.where(F.col("system_forecast") > F.lit(p.day_total_floor))
+    return agg.where(F.col("system_forecast") > exact(p.day_total_floor))
 
 
 def adjustment_deltas(daily: DataFrame) -> DataFrame:

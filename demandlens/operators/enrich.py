@@ -9,6 +9,7 @@ that grows past the threshold therefore never reaches a driver-side broadcast.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from demandlens.sources.roles import PRODUCT_COLUMNS
 
@@ -24,6 +25,13 @@ def with_product(df: DataFrame, product_dict: DataFrame, key: str = "material")
     return joined.select(*PRODUCT_COLUMNS, *df.columns)
 
 
+def one_per_material(product_dict: DataFrame) -> DataFrame:
+    """One dictionary row per product: of duplicates, the smallest by its columns."""
+    return (product_dict.groupBy("material")
+            .agg(F.min(F.struct(*PRODUCT_COLUMNS)).alias("_row"))
+            .select("material", "_row.*"))
+
+
 def with_ppm(df: DataFrame, pivot: DataFrame, types) -> DataFrame:
     """Left join of the PPM pivot; a material without stock keeps NULL counts (not 0)."""
     return df.join(pivot, on="material", how="left").select(*df.columns, *types)

@@ -9,6 +9,7 @@ from demandlens.functions.predicates import (actualised, between, current, main_
                                              promo_flag, store_kept)
 from demandlens.params import Params
 
+
 def history_rows(forecast: DataFrame, p: Params) -> DataFrame:
     """Forecasts made on their own day over the history window."""
     # the snapshot bound is implied by the two conditions after it; stated, it lets a forecast
@@ -68,5 +69,5 @@ def current_snapshot(forecast: DataFrame, p: Params) -> DataFrame:
     always yields exactly one output row.
     """
     hit = forecast.where(current("snapshot_date", p.as_of) & main_line()
-                         & (F.col("system_forecast") != F.lit(0.0))).select("material").limit(1)
+                         & (F.col("system_forecast") != 0)).select("material").limit(1)
     return hit.agg(F.count(F.lit(1)).cast("int").alias("current_snapshot_exists"))

@@ -11,8 +11,10 @@ Scale notes
   (after a lost executor) yields the same neighbours.
 * The last-year and recent-sales lookups first cut the stock table to the date range that
   can match. Last year's days are a static range derived from the horizon. Recent sales are
-  pre-aggregated per (material, plant, type) before the join, so the join input is one row
-  per key, not one per day.
+  averaged after the lookup, for the candidates only.
+* The lookups join on keys that begin with (material, store), the partitioning of the windows;
+  with ``spark.sql.requireAllClusterKeysForCoPartition=false`` (``session.CLUSTER_CONF``) the
+  candidates are not shuffled again for them.
 * Max and min over the horizon come from one aggregate. Catalyst would keep the reference's
   self-join of two aggregates as two scans and a join.
 """
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandlens.functions.measures import nonzero_flag, ratio, weekend_flag, year_before
+from demandlens.functions.measures import exact, nonzero_flag, ratio, weekend_flag, year_before
 from demandlens.functions.predicates import between, current, main_line, store_kept
 from demandlens.operators.antipeaks import first_per
 from demandlens.params import Params
@@ -64,20 +66,19 @@ def spike_rule(p: Params) -> Column:
     If yesterday's value is below ``rise_guard`` x the day before, the jump is measured
     against yesterday's value (``rise_lag1``). Otherwise it is measured against today's value
     (``rise_default``). An unknown guard (first or second row of a series) takes the second
-    branch, as a SQL CASE does.
+    branch, as a SQL CASE does. Rows without a next value never get here (the floor drops them).
     """
     nxt, cur = F.col("next_forecast"), F.col("system_forecast")
     prev, prev2 = F.col("prev_forecast"), F.col("prev2_forecast")
     one, zero = F.lit(1), F.lit(0)
-    return (F.when(nxt.isNull(), zero)
-             .when(prev < F.lit(p.rise_guard) * prev2,
-                   F.when(nxt > prev * F.lit(p.rise_lag1), one).otherwise(zero))
-             .otherwise(F.when(nxt > cur * F.lit(p.rise_default), one).otherwise(zero)))
+    return (F.when(prev < exact(p.rise_guard) * prev2,
+                   F.when(nxt > prev * exact(p.rise_lag1), one).otherwise(zero))
+             .otherwise(F.when(nxt > cur * exact(p.rise_default), one).otherwise(zero)))
 
 
 def spike_violations(nb: DataFrame, p: Params) -> DataFrame:
     """P14 (floor on both days, applied after the window) and P13."""
-    floor = F.lit(p.peak_floor)
+    floor = exact(p.peak_floor)
     return (nb.where((F.col("system_forecast") > floor) & (F.col("next_forecast") > floor))
               .select(F.col("material").alias("sku"), "store",
                       F.col("next_date").alias("peak_day"),
@@ -115,26 +116,28 @@ def last_year_sales(first: DataFrame, sales_stock: DataFrame, p: Params) -> Data
 def recent_sales_by_type(ly: DataFrame, sales_stock: DataFrame, p: Params) -> DataFrame:
     """Mean promotion-free sales over the stock reference range per PPM type.
 
-    In the source this is a join followed by a 7-key GROUP BY. Each candidate row meets the
-    same stock rows, so the mean per (material, plant, type) is computed once and joined to
-    the distinct candidates.
+    The stock rows of the candidates are looked up first and averaged then, so no mean is
+    computed for series that have no candidate. A duplicated candidate counts once: its copies would
+    only repeat the rows that the mean is taken over.
     """
     recent = (sales_stock.where(between("caldate", p.stock_from, p.stock_to)
                                 & (F.col("ispromo") == 0))
-              .groupBy("material", "plant", "dismm")
-              .agg(F.avg("sc_quantity").alias("avg_sales")))
+              .select(F.col("material").alias("_m"), F.col("plant").alias("_p"),
+                      F.col("dismm").alias("ppm_type"), "sc_quantity"))
     cands = ly.distinct()
-    joined = cands.join(recent, (cands["sku"] == recent["material"])
-                        & (cands["store"] == recent["plant"]), "inner")
-    return joined.select("sku", "store", "peak_eve_value", "last_year_sales", "peak_day",
-                         "peak_value", F.col("dismm").alias("ppm_type"), "avg_sales")
+    keys = ("sku", "store", "peak_eve_value", "last_year_sales", "peak_day", "peak_value")
+    joined = cands.join(recent, (cands["sku"] == recent["_m"])
+                        & (cands["store"] == recent["_p"]), "inner")
+    return (joined.groupBy(*keys, "ppm_type")
+            .agg(F.sum("sc_quantity").alias("_sum"), F.count("sc_quantity").alias("_n"))
+            .select(*keys, "ppm_type", ratio("_sum", "_n").alias("avg_sales")))
 
 
 def significant(p: Params) -> Column:
     """Absolute rise over the previous day, and a clear gap to last year's sales."""
     v = F.col("peak_value")
-    return (((v - F.col("peak_eve_value")) > F.lit(p.min_abs_rise))
-            & ((v - F.col("last_year_sales")) > v * F.lit(p.min_ly_gap)))
+    return (((v - F.col("peak_eve_value")) > exact(p.min_abs_rise))
+            & ((v - F.col("last_year_sales")) > v * exact(p.min_ly_gap)))
 
 
 def peak_rejoin_flags(recent: DataFrame, forecast: DataFrame, p: Params) -> DataFrame:
@@ -178,8 +181,8 @@ def series_min_max_ratio(forecast: DataFrame, p: Params) -> DataFrame:
     mm = rows.groupBy("material", "store").agg(F.max("system_forecast").alias("max_forecast"),
                                                F.min("system_forecast").alias("min_forecast"))
     r = ratio("max_forecast", "min_forecast")
-    return (mm.where((r > F.lit(p.ratio_min)) & (F.col("max_forecast") > F.lit(p.max_floor))
-                     & (F.col("min_forecast") > F.lit(p.min_floor)))
+    return (mm.where((r > F.lit(p.ratio_min)) & (F.col("max_forecast") > exact(p.max_floor))
+                     & (F.col("min_forecast") > exact(p.min_floor)))
               .select("material", "store", "max_forecast", "min_forecast", r.alias("ratio")))
 
 

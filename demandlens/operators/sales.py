@@ -23,6 +23,8 @@ it would repeat each row) and SUM skips NULLs the same way at both levels.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -74,7 +76,7 @@ def _report_sums(daily_sales: DataFrame, plu_cat: DataFrame, user_login: DataFra
         per_plu = _per_plu(daily_sales, p, [measure])
     per_plu = per_plu.select("calc_date", "plu", F.col(measure).alias("q"))
     joined = _with_categories(per_plu, plu_cat, user_login)
-    d, q, zero = F.col("calc_date"), F.col("q"), F.lit(0.0)
+    d, q, zero = F.col("calc_date"), F.col("q"), F.lit(Decimal(0))
     sums = [F.sum(F.when(d == F.lit(p.day(k)), q).otherwise(zero)).alias(f"s{k}")
             for k in range(14, 0, -1)]
     sums.append(F.sum(F.when(d.between(F.lit(p.day(7)), F.lit(p.day(1))), q)
@@ -141,8 +143,8 @@ def dbd_sections(daily_sales, plu_cat, user_login, p: Params,
     """Both reports (``total`` and ``reg``) in one frame with a section column.
 
     The sales window is read and pre-aggregated once with both measures; the two reports
-    branch from that one aggregate (its exchange is reused), so a batch that writes both
-    sections scans the sales table once instead of twice.
+    branch from that one aggregate (its exchange is reused), so a reader of both scans the
+    sales table once instead of twice. The batch writes each report as its own section, in order.
     """
     shared = _per_plu(daily_sales, p, list(MEASURES.values()))
     parts = [dbd_report(daily_sales, plu_cat, user_login, p, measure, ordered=False,

@@ -29,26 +29,42 @@ def system_antipeaks_input(roles: Roles, p: Params) -> DataFrame:
 
 
 def system_antipeaks(roles: Roles, p: Params, ordered: bool = True) -> DataFrame:
-    """Q-sap: per SKU, the future day furthest below its promotion-free median."""
-    base = system_antipeaks_input(roles, p)
-    out = ap.min_ratio_per_sku(ap.candidates(ap.with_median(base, p), p))
+    """Q-sap: per SKU, the future day furthest below its promotion-free median.
+
+    Product texts and store counts join the one row that is left per SKU, not the totals that
+    go through the median. A SKU of several dictionary rows has each of its totals repeated
+    alike, which moves neither the median nor the smallest ratio, so one row of them is used.
+    """
+    totals = stitched_totals(roles["forecast"], p)
+    best = ap.min_ratio_per_sku(ap.candidates(ap.with_median(totals, p), p))
+    named = enrich.with_product(best, enrich.one_per_material(roles["product_dict"]))
+    out = enrich.with_ppm(named, stock.ppm_pivot(roles["sales_stock"], p), p.ppm_types).select(
+        *PRODUCT_COLUMNS, *totals.columns, *p.ppm_types, "median_forecast", "ratio")
     return out.orderBy("material") if ordered else out
 
 
 def old_peaks(roles: Roles, p: Params) -> DataFrame:
-    """Q-old: first spike per series that last year's sales do not explain."""
+    """Q-old: first spike per series that last year's sales do not explain.
+
+    What makes a peak significant is known once last year's sales are, so the few that are
+    left go on to the stock and forecast lookups.
+    """
     f, st = roles["forecast"], roles["sales_stock"]
     first = peaks.first_violation(peaks.spike_violations(peaks.neighbours(peaks.peak_series(f, p)), p))
-    recent = peaks.recent_sales_by_type(peaks.last_year_sales(first, st, p), st, p)
+    clear = peaks.last_year_sales(first, st, p).where(peaks.significant(p))
+    recent = peaks.recent_sales_by_type(clear, st, p)
     return peaks.with_product_sku(peaks.peak_rejoin_flags(recent, f, p), roles["product_dict"])
 
 
 def new_peaks(roles: Roles, p: Params) -> DataFrame:
-    """Q-new: series whose horizon max/min ratio is implausibly wide."""
+    """Q-new: series whose horizon max/min ratio is implausibly wide.
+
+    The assortment joins first: it shares the series' partitioning by (material, store).
+    """
     checking = peaks.series_min_max_ratio(roles["forecast"], p)
-    with_pd = enrich.with_product(checking, roles["product_dict"])
-    typed = peaks.with_assortment_type(with_pd, roles["assortment"])
-    return typed.select(*PRODUCT_COLUMNS, "az_type", *checking.columns)
+    typed = peaks.with_assortment_type(checking, roles["assortment"])
+    return enrich.with_product(typed, roles["product_dict"]).select(
+        *PRODUCT_COLUMNS, "az_type", *checking.columns)
 
 
 def antipeaks(roles: Roles, p: Params, ordered: bool = True) -> DataFrame:

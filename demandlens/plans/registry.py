@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandlens.functions.predicates import store_kept
 from demandlens.operators import antipeaks as ap
@@ -21,24 +23,23 @@ P = FIXTURE_PARAMS
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_PLANS: dict[tuple[int, str, int], DataFrame] = {}
-
-
 def _q(body: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
-    """Wrap a job body as a ``(spark, sf_dir)`` query.
+    """Wrap a job body as a ``(spark, sf_dir)`` query; the plan is built on every call.
 
-    The built DataFrame (a logical plan, no data) is kept per session and folder, like a
-    prepared statement. Each action on it is still planned and executed in full.
+    Exact decimals become doubles in the result, the type that both engines share.
     """
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark), sf_dir, id(body))
-        if key not in _PLANS:
-            _PLANS[key] = body(derive(spark, sf_dir, P.as_of))
-        return _PLANS[key]
+        return as_doubles(body(derive(spark, sf_dir, P.as_of)))
     run.__doc__ = body.__doc__
     return run
 
 
+def as_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f"`{f.name}`").cast("double").alias(f.name)
+                       if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def _sap_input(r):
     return jobs.system_antipeaks_input(r, P)
 
@@ -123,7 +124,7 @@ BODIES: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
     "antipeaks": lambda r: jobs.antipeaks(r, P),
     "dbd_total": lambda r: jobs.dbd_total(r, P),
     "dbd_reg": lambda r: jobs.dbd_reg(r, P),
-    # both sales sections from one read, as the batch writes them
+    # both sales sections from one read
     "dbd_sections": lambda r: jobs.dbd_both(r, P),
 }
 

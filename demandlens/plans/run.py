@@ -1,10 +1,9 @@
 """Q-batch: check the snapshot gate, then run the jobs and write each report section.
 
 The gate is the only value collected to the driver (one row). Every job is its own Spark job
-and its own idempotent overwrite of one section. The exception is the two sales sections,
-which share a workbook and their input: when both are requested they come from one plan and
-one write. A batch that fails part-way can be re-run as a whole, or only for the missing
-jobs. No state is carried between jobs.
+and its own replacement of one section, in the job's order of rows, whichever jobs are asked
+for. A batch that fails part-way can be re-run as a whole, or only for the missing jobs. No
+state is carried between jobs.
 """
 
 from __future__ import annotations
@@ -14,12 +13,10 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 
 from demandlens.params import Params
-from demandlens.plans.jobs import JOBS, dbd_both, gate_open
-from demandlens.sinks.report import LABELS, write_section, write_sections
+from demandlens.plans.jobs import JOBS, gate_open
+from demandlens.sinks.report import LABELS, write_section
 from demandlens.sources.roles import assert_unique
 
-SALES_PAIR = ("dbd_reg", "dbd_total")
-
 # Dimension keys whose duplicates fan out job results. The jobs keep the fan-out,
 # as the monitored SQL does; ``preflight`` reports it before a batch.
 DIMENSION_KEYS = {"product_dict": ("material",), "store_dict": ("number",),
@@ -40,27 +37,19 @@ def preflight(roles: Mapping[str, DataFrame]) -> dict[str, int]:
 
 
 def run(roles: Mapping[str, DataFrame], p: Params, out_root: str,
-        jobs: Iterable[str] | None = None, must_exist: bool = False,
+        jobs: Iterable[str] | None = None, must_exist: bool = True,
         display_labels: bool = False) -> dict[str, str]:
     """Run ``jobs`` (default: all, in batch order). Returns job -> written section path, or an
-    empty dict when today's snapshot is not loaded (nothing is written then)."""
+    empty dict when today's snapshot is not loaded (nothing is written then).
+
+    Reports must exist; ``must_exist=False`` creates those that do not.
+    """
     if not gate_open(roles, p):
         return {}
     written = {}
-    names = list(jobs or JOBS)
-    both_sales = all(n in names for n in SALES_PAIR)
-    for name in names:
-        if both_sales and name in SALES_PAIR:
-            if name not in written:
-                # one plan, one sales read, one write for the two sections of the workbook
-                paths = write_sections(dbd_both(roles, p), f"{out_root}/dbd", ["reg", "total"],
-                                       must_exist=must_exist,
-                                       labels=LABELS["dbd_total"] if display_labels else None)
-                written.update(zip(SALES_PAIR, paths))
-            continue
+    for name in jobs or JOBS:
         fn, workbook, section = JOBS[name]
-        df = fn(roles, p)
-        written[name] = write_section(df, f"{out_root}/{workbook}", section,
+        written[name] = write_section(fn(roles, p), f"{out_root}/{workbook}", section,
                                       must_exist=must_exist,
                                       labels=LABELS.get(name) if display_labels else None)
     return written

@@ -18,6 +18,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -39,12 +40,16 @@ CLUSTER_CONF = {
     # 10 MB default; the runtime one uses measured shuffle sizes and can be larger
     "spark.sql.autoBroadcastJoinThreshold": "10m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # a join on (material, store, date) may use sides dealt by (material, store): the windows'
+    # partitioning carries through the lookups
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   driver_memory: str = "8g", extra: dict | None = None) -> SparkSession:
+    """A session in this process, with scratch folders of its own (tests, bench, tools)."""
     builder = (SparkSession.builder.master(f"local[{cores}]")
                .appName("demandlens")
                .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="demandlens-ckpt-"))
@@ -55,18 +60,4 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
-
-    Only when the session has none (local tests) is a scratch folder created and set.
-    """
-    sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="demandlens-ckpt-")
-    sc.setCheckpointDir(current)
-    return current

@@ -1,22 +1,22 @@
 """Report sink.
 
-A report is a directory (one per workbook) and each job's result is one section in it, i.e.
-one ``section=<name>`` partition. Writing a section replaces only that partition. The write
-uses dynamic partition overwrite as a per-write option, so sibling sections (``reg`` and
-``total`` of the sales report) are kept. The write is a normal distributed Spark write: every
-task writes its own files, and the output is committed only when the job succeeds. A failed
-or retried job therefore never leaves a half-replaced section.
+A report is a directory (one per workbook) and each job's result is one section in it, the
+folder ``section=<name>``. Writing a section replaces that folder whole, whatever the number of
+rows: an empty result leaves an empty section with its schema, so a clean day never shows
+yesterday's rows. Sibling sections (``reg`` and ``total`` of the sales report) are not touched.
+
+Rows are written to a new folder first, by a normal distributed Spark write, which then takes
+the section's place. A job that fails or is retried leaves the old section as it was.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SECTION_COLUMN = "section"
-
 # --- fixed values: display headers of the report columns ------------------------------------
 PRODUCT_LABELS = {
     "manager": "Категорийный_менеджм", "name": "Название",
@@ -65,43 +65,52 @@ def display(df: DataFrame, labels: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(labels.get(c, c)) for c in df.columns])
 
 
-def exists(spark, path: str, fmt: str = "parquet") -> bool:
-    try:
-        spark.read.format(fmt).load(path).schema  # noqa: B018 - resolves the path only
-        return True
-    except AnalysisException:
-        return False
+def _at(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path in it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def write_section(df: DataFrame, path: str, section: str, *, must_exist: bool = False,
-                  labels: dict[str, str] | None = None, fmt: str = "parquet") -> str:
-    """Replace section ``section`` of the report at ``path`` and leave the others alone.
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _at(spark, path)
+    return bool(fs.exists(where))
 
-    With ``must_exist`` the report must already exist (it is never created), as in the
-    monitored batch, where a missing workbook stops the job.
-    """
-    return write_sections(df.withColumn(SECTION_COLUMN, F.lit(section)), path, [section],
-                          must_exist=must_exist, labels=labels, fmt=fmt)[0]
+
+def create_report(spark: SparkSession, path: str) -> None:
+    """Create an empty report; a report that exists is left as it is."""
+    fs, where = _at(spark, path)
+    fs.mkdirs(where)
 
 
-def write_sections(df: DataFrame, path: str, sections, *, must_exist: bool = False,
-                   labels: dict[str, str] | None = None, fmt: str = "parquet") -> list[str]:
-    """S4 for several sections in one write: ``df`` carries the section in ``SECTION_COLUMN``.
+def section_path(path: str, section: str) -> str:
+    return f"{path}/section={section}"
 
-    Only the sections present in ``df`` are replaced (dynamic partition overwrite), in one
-    job, so sections computed from shared inputs are written by one plan.
+
+def write_section(df: DataFrame, path: str, section: str, *, must_exist: bool = True,
+                  labels: dict[str, str] | None = None, fmt: str = "parquet") -> str:
+    """Replace section ``section`` of the report at ``path`` and leave the others alone.
+
+    The report must exist, as in the monitored batch, where a missing workbook stops the job;
+    ``must_exist=False`` creates it.
     """
     spark = df.sparkSession
-    if must_exist and not exists(spark, path, fmt):
+    if must_exist and not exists(spark, path):
         raise FileNotFoundError(f"report does not exist (creation not allowed): {path}")
     out = normalise_dates(df)
     if labels:
         out = display(out, labels)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SECTION_COLUMN).format(fmt).save(path))
-    return [f"{path}/{SECTION_COLUMN}={s}" for s in sections]
-
-
-def read_section(spark, path: str, section: str, fmt: str = "parquet") -> DataFrame:
-    return (spark.read.format(fmt).load(path)
-            .where(F.col(SECTION_COLUMN) == F.lit(section)).drop(SECTION_COLUMN))
+    target = section_path(path, section)
+    draft = f"{path}/_draft-{uuid.uuid4().hex}"
+    out.write.format(fmt).save(draft)
+    fs, new = _at(spark, draft)
+    old = _at(spark, target)[1]
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"section could not be put in place: {target}")
+    return target
+
+
+def read_section(spark: SparkSession, path: str, section: str, fmt: str = "parquet") -> DataFrame:
+    """A section's rows. They come in the order written while the section is one file, which a
+    report's size makes the rule; larger ones are ordered by file."""
+    return spark.read.format(fmt).load(section_path(path, section))

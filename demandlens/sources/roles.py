@@ -1,8 +1,12 @@
 """Typed role tables.
 
 The jobs read eight tables by role. Each role has one declared ``StructType``; ``conform``
-turns a raw frame (dates as ``yyyyMMdd`` text, blank-padded codes, loose numeric types) into
-that schema once, at load, so no query relies on implicit coercion.
+turns a raw frame (dates as ``yyyyMMdd`` text, blank-padded codes, loose numeric types, source
+headers) into that schema once, at load, so no query relies on implicit coercion.
+
+Keys are text, as stored at the source: ``007`` and ``7`` are two products. Measures are
+``DECIMAL(18,3)``: sums are exact, so a rounded report cell does not depend on the order in
+which rows arrive.
 """
 
 from __future__ import annotations
@@ -13,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_S, _L, _D, _I, _F = T.StringType(), T.LongType(), T.DateType(), T.IntegerType(), T.DoubleType()
+_S, _D, _I = T.StringType(), T.DateType(), T.IntegerType()
+MEASURE = T.DecimalType(18, 3)
 
 
 def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -25,26 +30,41 @@ PRODUCT_COLUMNS = ("manager", "name", "node_2", "node_2_name", "node_3", "node_3
 
 SCHEMAS: dict[str, T.StructType] = {
     # snapshot_date x forecast_date x material x store x diag_id (x offer)
-    "forecast": _schema(("material", _L), ("store", _S), ("forecast_date", _D), ("snapshot_date", _D),
-                        ("diag_id", _S), ("ofr_id", _S), ("promo_flag", _I), ("system_forecast", _F),
-                        ("s4_adjustment", _F), ("car_adjustment", _F), ("approved_forecast", _F)),
+    "forecast": _schema(("material", _S), ("store", _S), ("forecast_date", _D), ("snapshot_date", _D),
+                        ("diag_id", _S), ("ofr_id", _S), ("promo_flag", _I),
+                        ("system_forecast", MEASURE), ("s4_adjustment", MEASURE),
+                        ("car_adjustment", MEASURE), ("approved_forecast", MEASURE)),
     # day x material x plant
-    "sales_stock": _schema(("caldate", _D), ("material", _L), ("plant", _S), ("ispromo", _I),
-                           ("dismm", _S), ("sc_quantity", _F)),
-    "product_dict": _schema(("material", _L), *((c, _S) for c in PRODUCT_COLUMNS)),
-    "assortment": _schema(("plu", _L), ("zavod", _S), ("az_type", _S)),
+    "sales_stock": _schema(("caldate", _D), ("material", _S), ("plant", _S), ("ispromo", _I),
+                           ("dismm", _S), ("sc_quantity", MEASURE)),
+    "product_dict": _schema(("material", _S), *((c, _S) for c in PRODUCT_COLUMNS)),
+    "assortment": _schema(("plu", _S), ("zavod", _S), ("az_type", _S)),
     "store_dict": _schema(("number", _S), ("type_cf", _S)),
     # day x plu x zavod
-    "daily_sales": _schema(("calc_date", _D), ("plu", _L), ("zavod", _S), ("sc_quantity", _F),
-                           ("sc_quantity_not_anypromo", _F)),
-    "plu_cat": _schema(("plu", _L), ("km", _S), ("ui_5", _S), ("ui_5_name", _S)),
+    "daily_sales": _schema(("calc_date", _D), ("plu", _S), ("zavod", _S), ("sc_quantity", MEASURE),
+                           ("sc_quantity_not_anypromo", MEASURE)),
+    "plu_cat": _schema(("plu", _S), ("km", _S), ("ui_5", _S), ("ui_5_name", _S)),
     "user_login": _schema(("category_manager", _S), ("user", _S)),
 }
 
-# Columns whose blanks carry meaning ('' = main line / no offer); trailing blanks are dropped.
-_TRIMMED = {"forecast": ("diag_id", "ofr_id", "store"), "sales_stock": ("plant", "dismm"),
-            "assortment": ("zavod", "az_type"), "store_dict": ("number", "type_cf"),
-            "daily_sales": ("zavod",)}
+# --- fixed values: headers of the source tables that differ from the role's field names -------
+SOURCE_COLUMNS: dict[str, dict[str, str]] = {
+    "product_dict": {
+        "Материал": "material", "Категорийный_менеджм": "manager", "Название": "name",
+        "Узел_2": "node_2", "Описание_2": "node_2_name", "Узел_3": "node_3",
+        "Описание_3": "node_3_name", "Узел_4": "node_4", "Описание_4": "node_4_name",
+        "Узел_5": "node_5", "Описание_5": "node_5_name",
+    },
+    "store_dict": {"Номер": "number", "Тип_CF": "type_cf"},
+}
+# ------------------------------------------------------------------------------------------------
+
+# Codes and keys lose trailing blanks ('' = main line / no offer carries meaning).
+_TRIMMED = {"forecast": ("material", "diag_id", "ofr_id", "store"),
+            "sales_stock": ("material", "plant", "dismm"), "product_dict": ("material",),
+            "assortment": ("plu", "zavod", "az_type"), "store_dict": ("number", "type_cf"),
+            "daily_sales": ("plu", "zavod"), "plu_cat": ("plu", "km"),
+            "user_login": ("category_manager",)}
 
 
 def _as_date(c: Column, source: T.DataType) -> Column:
@@ -56,18 +76,44 @@ def _as_date(c: Column, source: T.DataType) -> Column:
     return F.try_to_date(c.cast("string"), "yyyyMMdd")
 
 
-def conform(df: DataFrame, role: str) -> DataFrame:
-    """Project ``df`` onto the role's schema: parse dates, rtrim codes, cast numerics.
+def _sources(df: DataFrame, role: str, columns: Mapping[str, str] | None,
+             optional: Iterable[str]) -> dict[str, T.StructField | None]:
+    """Role field -> source column; None for an absent column that is listed as optional.
 
-    Column names are matched case-insensitively, so ``MATERIAL`` and ``material`` are one
-    column; the output always carries the lower-case role names.
+    ``columns`` (source name -> field) comes before the documented headers, these before a
+    name equal to the field's. Names match without regard to case.
+    """
+    fields = set(SCHEMAS[role].fieldNames())
+    named = {**SOURCE_COLUMNS.get(role, {}), **(columns or {})}
+    wrong = sorted(set(named.values()) - fields)
+    if wrong:
+        raise ValueError(f"role {role} has no field {', '.join(wrong)}")
+    by_header = {k.lower(): v for k, v in named.items()}
+    found: dict[str, T.StructField | None] = {}
+    for f in df.schema.fields:
+        field = by_header.get(f.name.lower(), f.name.lower())
+        if field in fields:
+            if field in found:
+                raise ValueError(f"role {role}: columns {found[field].name} and {f.name} both "
+                                 f"give {field}")
+            found[field] = f
+    optional = set(optional)
+    missing = [n for n in SCHEMAS[role].fieldNames() if n not in found and n not in optional]
+    if missing:
+        raise ValueError(f"role {role}: required column {', '.join(missing)} is missing; "
+                         f"the table has {', '.join(df.columns)}")
+    return {n: found.get(n) for n in SCHEMAS[role].fieldNames()}
+
+
+def conform(df: DataFrame, role: str, columns: Mapping[str, str] | None = None,
+            optional: Iterable[str] = ()) -> DataFrame:
+    """Project ``df`` onto the role's schema: map headers, parse dates, rtrim codes, cast.
+
+    A missing column raises, unless it is named in ``optional``; then it is NULL.
     """
-    schema = SCHEMAS[role]
-    by_lower = {f.name.lower(): f for f in df.schema.fields}
     trimmed = _TRIMMED.get(role, ())
     cols = []
-    for field in schema.fields:
-        src = by_lower.get(field.name.lower())
+    for field, src in zip(SCHEMAS[role].fields, _sources(df, role, columns, optional).values()):
         if src is None:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
@@ -82,52 +128,49 @@ def conform(df: DataFrame, role: str) -> DataFrame:
     return df.select(*cols)
 
 
-def project(df: DataFrame, role: str) -> DataFrame:
-    """Select the role's columns by name (case-insensitive) with their declared types.
+def project(df: DataFrame, role: str, columns: Mapping[str, str] | None = None,
+            optional: Iterable[str] = ()) -> DataFrame:
+    """Select the role's columns with their declared types.
 
     For a table already in the role schema the casts are no-ops that Catalyst removes.
     """
-    by_lower = {f.name.lower(): f.name for f in df.schema.fields}
-    return df.select(*[(F.col(f"`{by_lower[f.name.lower()]}`").cast(f.dataType)
-                        if f.name.lower() in by_lower else F.lit(None).cast(f.dataType))
-                       .alias(f.name) for f in SCHEMAS[role].fields])
+    found = _sources(df, role, columns, optional)
+    return df.select(*[(F.lit(None) if found[f.name] is None else F.col(f"`{found[f.name].name}`"))
+                       .cast(f.dataType).alias(f.name) for f in SCHEMAS[role].fields])
 
 
-def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
-         raw: bool = False) -> dict[str, DataFrame]:
+def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", raw: bool = False,
+         columns: Mapping[str, Mapping[str, str]] | None = None,
+         optional: Mapping[str, Iterable[str]] | None = None) -> dict[str, DataFrame]:
     """Read each role from ``paths`` (role -> path or table name).
 
     A value containing ``/`` (or a URI) is a path; any other value is a catalog table name,
     one to three parts (``spark.table``). Both keep partition pruning on ``snapshot_date``
     when the forecast table is partitioned by it. With ``raw=True`` the frames go through
-    ``conform``; otherwise paths are read with the declared schema, and tables are projected
-    onto it (which keeps their bucketing usable).
+    ``conform``; otherwise they are projected onto the declared schema, which keeps a typed
+    table's bucketing usable. ``columns`` (role -> source name -> field) adds to
+    ``SOURCE_COLUMNS``; ``optional`` (role -> fields) lists columns that may be absent.
     """
     out = {}
     for role, where in paths.items():
-        if "/" not in where:
-            df = spark.table(where)
-            # a typed table keeps its columns untouched, so its bucketing (e.g. by
-            # material, store) still provides the partitioning that windows and
-            # aggregates on those keys need
-            out[role] = conform(df, role) if raw else project(df, role)
-        elif raw:
-            out[role] = conform(spark.read.format(fmt).load(where), role)
-        else:
-            out[role] = spark.read.format(fmt).schema(SCHEMAS[role]).load(where)
+        df = spark.read.format(fmt).load(where) if "/" in where else spark.table(where)
+        shape = conform if raw else project
+        out[role] = shape(df, role, (columns or {}).get(role), (optional or {}).get(role, ()))
     return out
 
 
 def load_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
               partitioning: Mapping[str, tuple[str, object, object, int]] | None = None,
-              properties: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+              properties: Mapping[str, str] | None = None,
+              columns: Mapping[str, Mapping[str, str]] | None = None,
+              optional: Mapping[str, Iterable[str]] | None = None) -> dict[str, DataFrame]:
     """Read roles from a SQL warehouse through Spark's JDBC source, then ``conform`` them.
 
     ``tables`` maps role -> table name (three-part names allowed, e.g.
     ``warehouse.sales.forecast``). ``partitioning`` maps role -> (column, lower, upper,
     num_partitions), so a large role is read by many tasks in parallel ranges instead of one
     connection. Filters and projections written on the returned frames are pushed into the
-    database query by Spark. (Not exercised in the tests: no database is started here.)
+    database query by Spark. Untested: it needs a database, and none is started here.
     """
     out = {}
     for role, table in tables.items():
@@ -138,7 +181,8 @@ def load_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
             column, lower, upper, n = partitioning[role]
             reader = (reader.option("partitionColumn", column).option("lowerBound", str(lower))
                       .option("upperBound", str(upper)).option("numPartitions", str(n)))
-        out[role] = conform(reader.load(), role)
+        out[role] = conform(reader.load(), role, (columns or {}).get(role),
+                            (optional or {}).get(role, ()))
     return out
 
 
