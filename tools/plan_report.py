@@ -1,17 +1,19 @@
 """Print the shape of each job's final (AQE) physical plan as a markdown table.
 
-    python tools/plan_report.py [sf_dir] [--materialized]
+    python tools/plan_report.py [sf_dir] [--materialized folder] [--no-broadcast]
 
 Counts shuffles, broadcasts, join strategies, windows, aggregates and scans, and lists the
 pushed filters of every parquet scan. Each job is executed once first, so the plan shown is
 the adaptive plan as it ran. With ``--materialized`` the role tables are first written to
-parquet in a fresh folder under ``spark.checkpoint.dir`` (the forecast partitioned by ``snapshot_date``, as
+parquet in a new folder inside ``folder`` (the forecast partitioned by ``snapshot_date``, as
 recommended for production) and the jobs read them through ``sources.roles.load``. The
-counts then show each job's own plan, without the test-table role derivation.
+counts then show each job's own plan, without the test-table role derivation. With
+``--no-broadcast`` no side is broadcast, the shape for dimensions beyond the threshold.
 """
 
 from __future__ import annotations
 
+import argparse
 import os
 import re
 import sys
@@ -22,7 +24,7 @@ import uuid  # noqa: E402
 
 from demandlens.plans import jobs  # noqa: E402
 from demandlens.plans.registry import PIPELINES, QUERIES  # noqa: E402
-from demandlens.session import ensure_checkpoint_dir, local_session  # noqa: E402
+from demandlens.session import local_session  # noqa: E402
 from demandlens.sources.roles import load  # noqa: E402
 from demandlens.sources.testdata import FIXTURE_PARAMS, derive  # noqa: E402
 
@@ -38,8 +40,8 @@ PATTERNS = {
 }
 
 
-def _materialized(spark, sf_dir):
-    folder = f"{ensure_checkpoint_dir(spark)}/roles-{uuid.uuid4().hex}"
+def _materialized(spark, sf_dir, inside):
+    folder = f"{inside}/roles-{uuid.uuid4().hex}"
     roles = derive(spark, sf_dir)
     paths = {}
     for name in roles:
@@ -60,11 +62,17 @@ def _materialized(spark, sf_dir):
 
 
 def main() -> None:
-    args = [a for a in sys.argv[1:] if not a.startswith("--")]
-    sf_dir = args[0] if args else "/root/testdata/sf0.1"
-    spark = local_session()
-    if "--materialized" in sys.argv:
-        built = _materialized(spark, sf_dir)
+    ap = argparse.ArgumentParser()
+    ap.add_argument("sf_dir", nargs="?", default="/root/testdata/sf0.1")
+    ap.add_argument("--materialized", metavar="folder")
+    ap.add_argument("--no-broadcast", action="store_true")
+    args = ap.parse_args()
+    sf_dir = args.sf_dir
+    spark = local_session(extra={
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"} if args.no_broadcast else None)
+    if args.materialized:
+        built = _materialized(spark, sf_dir, args.materialized)
         make = lambda name: built[name]()
     else:
         make = lambda name: QUERIES[name](spark, sf_dir)
@@ -73,7 +81,7 @@ def main() -> None:
     pushed = {}
     for name in PIPELINES:
         df = make(name)
-        n = len(df.collect())
+        n = df._jdf.queryExecution().toRdd().count()         # runs this plan, keeps no rows
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[0]          # the plan as it ran
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
