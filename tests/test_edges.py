@@ -41,7 +41,7 @@ def test_series_of_one_two_three_days(frame):
     rows = [fc(1, "S1", 0, 500),                                   # one day: no next row
             fc(2, "S1", 0, 200), fc(2, "S1", 1, 500),              # two days
             fc(3, "S1", 0, 300), fc(3, "S1", 1, 200), fc(3, "S1", 2, 700)]
-    got = {(r.sku, r.peak_eve_date): r.fails_rule for r in violations(frame, rows).collect()}
+    got = {(int(r.sku), r.peak_eve_date): r.fails_rule for r in violations(frame, rows).collect()}
     # material 1 has no row with a next value, so the floor drops it
     assert (1, day(0)) not in got
     # lag NULL -> guard unknown -> compare with today's value x 2: 500 > 400
@@ -103,11 +103,11 @@ def test_ppm_pivot_unlisted_and_absent(frame):
         {"caldate": day(-2), "material": 2, "plant": "S1", "ispromo": 0, "dismm": None, "sc_quantity": 1.0},
         {"caldate": day(-1), "material": 2, "plant": "S2", "ispromo": 0, "dismm": "PD", "sc_quantity": 1.0},
     ])
-    piv = {r.material: r.asDict() for r in stock.ppm_pivot(st, P).collect()}
+    piv = {int(r.material): r.asDict() for r in stock.ppm_pivot(st, P).collect()}
     assert all(piv[1][t] == 0 for t in P.ppm_types)           # row of zeros kept
     assert piv[2]["NO_PPM"] == 1 and piv[2]["PD"] == 1        # distinct plants
     base = frame("forecast", [fc(1, "S1", 0, 1), fc(3, "S1", 0, 1)]).select("material")
-    joined = {r.material: r.PD for r in enrich.with_ppm(base, stock.ppm_pivot(st, P), P.ppm_types).collect()}
+    joined = {int(r.material): r.PD for r in enrich.with_ppm(base, stock.ppm_pivot(st, P), P.ppm_types).collect()}
     assert joined == {1: 0, 3: None}
 
 
@@ -121,7 +121,7 @@ def test_leap_day_looks_up_28_february(spark):
 def test_last_year_join_on_leap_day(frame):
     p = Params(as_of=date(2024, 2, 28), peak_floor=100.0)
     first = frame("forecast", [fc(1, "S1", 0, 1)]).select(
-        F.lit(1).cast("long").alias("sku"), F.lit("S1").alias("store"),
+        F.lit("1").alias("sku"), F.lit("S1").alias("store"),
         F.lit(150.0).alias("peak_eve_value"), F.lit(date(2024, 2, 29)).alias("peak_day"),
         F.lit(400.0).alias("peak_value"))
     st = frame("sales_stock", [
@@ -153,11 +153,11 @@ def test_adjustment_deltas_and_flags(frame, spark):
     f = frame("forecast", [fc(1, "S1", 0, 200, car_adjustment=0.0, s4_adjustment=None),
                            fc(2, "S1", 0, 200, car_adjustment=-150.0, s4_adjustment=-20.0),
                            fc(3, "S1", 0, 200, car_adjustment=None, s4_adjustment=-101.0)])
-    d = {r.material: r for r in cuts.adjustment_deltas(cuts.adjusted_daily(f, st, az, P)).collect()}
+    d = {int(r.material): r for r in cuts.adjustment_deltas(cuts.adjusted_daily(f, st, az, P)).collect()}
     assert (d[1].car_delta, d[1].s4_delta) == (0.0, 0.0)
     assert (d[2].car_delta, d[2].s4_delta) == (-75.0, -10.0)
     assert d[3].s4_delta == -50.5
-    cut = {r.material for r in cuts.adjustment_cuts(cuts.adjustment_deltas(
+    cut = {int(r.material) for r in cuts.adjustment_cuts(cuts.adjustment_deltas(
         cuts.adjusted_daily(f, st, az, P)), P).collect()}
     assert cut == {2, 3}
     from demandlens.functions.measures import nonzero_flag
@@ -282,7 +282,7 @@ def test_old_peaks_pipeline(frame):
     out = jobs.old_peaks(dict(forecast=f, sales_stock=st, product_dict=pd), p).collect()
     assert len(out) == 1
     r = out[0]
-    assert (r.sku, r.store, r.peak_day, r.peak_value, r.last_year_sales) == (1, "S1", peak_day, 500.0, 100.0)
+    assert (r.sku, r.store, r.peak_day, r.peak_value, r.last_year_sales) == ("1", "S1", peak_day, 500.0, 100.0)
     assert (r.ppm_type, r.avg_sales, r.has_s4_adjustment, r.has_car_adjustment, r.final_forecast) == \
         ("PD", 6.0, 1, 0, 495.0)
 
@@ -298,4 +298,31 @@ def test_new_peaks_ratio(frame):
     f = frame("forecast", [fc(1, "S1", 0, 2), fc(1, "S1", 5, 20), fc(1, "S1", 6, 0),   # 0 ignored
                            fc(2, "S1", 0, 5), fc(2, "S1", 1, 15)])
     got = [(r.material, r.ratio) for r in peaks.series_min_max_ratio(f, p).collect()]
-    assert got == [(1, 10.0)]
+    assert got == [("1", 10.0)]
+
+
+# --- exact numerics: a rounded cell does not depend on the order of rows ----------------------
+
+def test_cells_do_not_depend_on_row_order(frame):
+    import random
+    values = [0.15, 700.05, 0.1, 33.35, 0.25, 120.2, 60.1, 0.3, 90.05, 40.15, 49.2, 0.35]
+    assert sum(round(v * 100) for v in values) == 109425            # exactly 1094.25
+    users = [{"category_manager": "K1", "user": "u1"}]
+    seen = set()
+    orders = [list(values), values[::-1]] + [random.Random(k).sample(values, 12) for k in range(4)]
+    for order in orders:
+        rows = _dbd(frame, [s(1, 1, v, zavod=f"S{i}") for i, v in enumerate(order)],
+                    user_rows=users).collect()
+        seen |= {str(r.d1) for r in rows}
+    assert seen == {"1094.3"}
+    assert len({tuple(o) for o in orders}) == 6
+
+
+def test_keys_stay_text(frame):
+    sales = [{"calc_date": day(-1), "plu": "007", "zavod": "S1", "sc_quantity": 1,
+              "sc_quantity_not_anypromo": 1},
+             {"calc_date": day(-1), "plu": "7", "zavod": "S1", "sc_quantity": 2,
+              "sc_quantity_not_anypromo": 2}]
+    cats = [{"plu": "007", "km": "K1", "ui_5": "C1", "ui_5_name": "C1"}]
+    rows = _dbd(frame, sales, cat_rows=cats).collect()
+    assert {(r.ui_5, float(r.d1)) for r in rows if r.user != P.total_label} == {("C1", 1.0), (None, 2.0)}

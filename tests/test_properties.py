@@ -2,9 +2,9 @@
 through the Spark jobs and through the oracle SQL in DuckDB; results must be equal.
 
 The oracle statements read the role tables directly here (``role_ctes=False``), so these
-tests check the Spark rewrites (pre-aggregation before joins, join multiplicities instead of
-COUNT(DISTINCT), one-pass history + horizon, one max/min aggregate, pre-aggregated recent
-sales) against the literal SQL semantics on data shaped to break them.
+tests check the Spark plans (pre-aggregation before joins, join multiplicities instead of
+COUNT(DISTINCT), one-pass history + horizon, one max/min aggregate) against SQL of another
+form on data shaped to break them.
 """
 
 from __future__ import annotations
@@ -21,12 +21,14 @@ from demandlens.operators import cuts, peaks, sales, stock
 from demandlens.operators.forecast import stitched_totals
 from demandlens.params import Params
 from demandlens.plans import jobs
-from demandlens.plans.registry import BODIES
+from demandlens.plans.registry import BODIES, as_doubles
 from demandlens.sources.roles import SCHEMAS
 from demandlens.sources.testdata import FIXTURE_PARAMS
 from oracle.compare import same_rows
 from oracle.statements import build
 
+from conftest import typed
+
 A = date(2024, 3, 4)
 P = Params(as_of=A, stock_ref_from=A - timedelta(days=5), stock_ref_to=A - timedelta(days=1),
            min_median=2.0, antipeak_ratio=0.6, peak_floor=5.0, min_abs_rise=1.0, min_ly_gap=0.1,
@@ -130,18 +132,19 @@ def _frames(spark, rows):
     sdfs, con = {}, duckdb.connect()
     for role, data in rows.items():
         schema = SCHEMAS[role]
-        tuples = [tuple(r.get(f.name) for f in schema.fields) for r in data]
+        data = [{f.name: typed(r.get(f.name), f.dataType) for f in schema.fields} for r in data]
+        tuples = [tuple(r[f.name] for f in schema.fields) for r in data]
         sdfs[role] = spark.createDataFrame(tuples, schema)
         arrow = pa.Table.from_pylist(
-            [{f.name: r.get(f.name) for f in schema.fields} for r in data],
+            data,
             schema=pa.schema([(f.name, _arrow_type(f.dataType.simpleString())) for f in schema.fields]))
         con.register(role, arrow)
     return sdfs, con
 
 
 def _arrow_type(t: str):
-    return {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(),
-            "double": pa.float64(), "date": pa.date32()}[t]
+    return {"string": pa.string(), "int": pa.int32(), "decimal(18,3)": pa.decimal128(18, 3),
+            "date": pa.date32()}[t]
 
 
 STAGES = {
@@ -177,7 +180,7 @@ STAGES = {
 def test_jobs_equal_literal_sql_on_random_tables(spark, t):
     sdfs, con = _frames(spark, _roles(t))
     for name, fn in STAGES.items():
-        ok, info = same_rows(fn(sdfs), con.execute(SQL[name]).fetchdf())
+        ok, info = same_rows(as_doubles(fn(sdfs)), con.execute(SQL[name]).fetchdf())
         assert ok, (name, info)
 
 
@@ -201,7 +204,7 @@ def test_dense_example_is_not_empty(spark):
     sdfs, con = _frames(spark, _roles(t))
     for name in ("system_antipeaks", "old_peaks", "new_peaks", "antipeaks", "dbd_total"):
         got = STAGES[name](sdfs)
-        ok, info = same_rows(got, con.execute(SQL[name]).fetchdf())
+        ok, info = same_rows(as_doubles(got), con.execute(SQL[name]).fetchdf())
         assert ok, (name, info)
         assert got.count() > 0, name
 
@@ -218,5 +221,5 @@ def test_every_registered_query_equals_its_oracle_on_random_tables(spark, t):
     sdfs, con = _frames(spark, _roles(t, FIXTURE_PARAMS.as_of))
     assert set(BODIES) == set(FIXTURE_SQL)
     for name, body in BODIES.items():
-        ok, info = same_rows(body(sdfs), con.execute(FIXTURE_SQL[name]).fetchdf())
+        ok, info = same_rows(as_doubles(body(sdfs)), con.execute(FIXTURE_SQL[name]).fetchdf())
         assert ok, (name, info)

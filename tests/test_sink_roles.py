@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from demandlens.plans import jobs
 from demandlens.plans.registry import QUERIES
 from demandlens.plans.run import run
-from demandlens.sinks.report import LABELS, normalise_dates, read_section, write_section
-from demandlens.sources.roles import SCHEMAS, assert_unique, conform, load
+from demandlens.sinks.report import (LABELS, create_report, normalise_dates, read_section,
+                                     write_section)
+from demandlens.sources.roles import SCHEMAS, assert_unique, conform, load, project
 from demandlens.sources.testdata import FIXTURE_PARAMS, derive
 
 SF0001 = "/root/testdata/sf0.001"
@@ -23,7 +24,7 @@ SF001 = "/root/testdata/sf0.01"
 
 def test_section_overwrite_keeps_sibling(spark, scratch):
     path = os.path.join(scratch, "dbd")
-    write_section(spark.createDataFrame([(1,)], "v int"), path, "reg")
+    write_section(spark.createDataFrame([(1,)], "v int"), path, "reg", must_exist=False)
     write_section(spark.createDataFrame([(2,), (3,)], "v int"), path, "total")
     write_section(spark.createDataFrame([(4,)], "v int"), path, "reg")
     assert sorted(r.v for r in read_section(spark, path, "reg").collect()) == [4]
@@ -32,13 +33,45 @@ def test_section_overwrite_keeps_sibling(spark, scratch):
 
 def test_must_exist(spark, scratch):
     with pytest.raises(FileNotFoundError):
-        write_section(spark.createDataFrame([(1,)], "v int"), os.path.join(scratch, "none"), "x",
-                      must_exist=True)
+        write_section(spark.createDataFrame([(1,)], "v int"), os.path.join(scratch, "none"), "x")
+    create_report(spark, os.path.join(scratch, "none"))         # empty, but there
+    write_section(spark.createDataFrame([(1,)], "v int"), os.path.join(scratch, "none"), "x")
+
+
+def test_empty_result_replaces_the_section(spark, scratch):
+    path = os.path.join(scratch, "r")
+    write_section(spark.createDataFrame([(1,)], "v int"), path, "a", must_exist=False)
+    write_section(spark.createDataFrame([(2,)], "v int"), path, "b")
+    write_section(spark.createDataFrame([], "v int"), path, "a")
+    got = read_section(spark, path, "a")
+    assert got.collect() == [] and got.dtypes == [("v", "int")]
+    assert [r.v for r in read_section(spark, path, "b").collect()] == [2]
+    assert sorted(os.listdir(path)) == ["section=a", "section=b"]
+
+
+def test_batch_replaces_a_section_by_an_empty_result(spark, scratch):
+    roles = derive(spark, SF0001)
+    path = os.path.join(scratch, "new_peaks")
+    run(roles, FIXTURE_PARAMS, scratch, jobs=["new_peaks"], must_exist=False)
+    assert read_section(spark, path, "data").count() > 0
+    run(roles, FIXTURE_PARAMS.replace(ratio_min=1e9), scratch, jobs=["new_peaks"])
+    got = read_section(spark, path, "data")
+    assert got.count() == 0 and len(got.columns) == 16
+
+
+@pytest.mark.parametrize("names", [["dbd_reg", "dbd_total"], ["dbd_total"], ["dbd_reg"]])
+def test_written_sales_sections_keep_their_order(spark, scratch, names):
+    run(derive(spark, SF001), FIXTURE_PARAMS, scratch, jobs=names, must_exist=False)
+    for name in names:
+        d1 = [r.d1 for r in read_section(spark, os.path.join(scratch, "dbd"), name[4:]).collect()]
+        assert len(d1) == 102
+        assert d1 == sorted(d1, key=lambda v: (v is not None, -(v or 0)))
 
 
 def test_display_labels(spark, scratch):
     df = spark.createDataFrame([(1.0, 2.0)], "d1 double, wow_7 double")
-    write_section(df, os.path.join(scratch, "w"), "total", labels=LABELS["dbd_total"])
+    write_section(df, os.path.join(scratch, "w"), "total", labels=LABELS["dbd_total"],
+                  must_exist=False)
     got = read_section(spark, os.path.join(scratch, "w"), "total")
     assert got.columns == ["1 day ago", "7_Рост %"]
 
@@ -56,12 +89,12 @@ def test_normalise_dates(spark):
 
 def test_batch_run_writes_all_sections(spark, scratch):
     roles = derive(spark, SF0001)
-    written = run(roles, FIXTURE_PARAMS, scratch)
+    written = run(roles, FIXTURE_PARAMS, scratch, must_exist=False)
     assert set(written) == set(jobs.JOBS)
     total = read_section(spark, os.path.join(scratch, "dbd"), "total")
     assert total.count() == 18
     assert read_section(spark, os.path.join(scratch, "dbd"), "reg").count() == 18
-    assert read_section(spark, os.path.join(scratch, "new_peaks"), "data").count() == 1
+    assert read_section(spark, os.path.join(scratch, "new_peaks"), "data").count() == 104
 
 
 def test_batch_stops_without_snapshot(spark, scratch):
@@ -75,19 +108,58 @@ def test_batch_stops_without_snapshot(spark, scratch):
 
 def test_conform_dates_blanks_and_case(spark):
     raw = spark.createDataFrame(
-        [("20260119", "20260119", "  ", "", 7, "S1 ", 1, "12.5"),
-         ("20260230", "20260119", "D1", "P1", 7, "S1", 0, "3")],
+        [("20260119", "20260119", "  ", "", "007 ", "S1 ", 1, "12.5"),
+         ("20260230", "20260119", "D1", "P1", "7", "S1", 0, "3")],
         "FORECAST_DATE string, snapshot_date string, diag_id string, OFR_ID string, "
-        "MATERIAL int, store string, promo_flag int, system_forecast string")
-    out = conform(raw, "forecast")
+        "MATERIAL string, store string, promo_flag int, system_forecast string")
+    absent = ("s4_adjustment", "car_adjustment", "approved_forecast")
+    out = conform(raw, "forecast", optional=absent)
     assert out.schema == SCHEMAS["forecast"]
     rows = out.orderBy("promo_flag").collect()
     assert rows[0].forecast_date is None                       # impossible date -> NULL
     assert rows[1].forecast_date == date(2026, 1, 19)
     assert rows[1].diag_id == "" and rows[1].store == "S1"      # blank-padded -> ''
+    assert (rows[1].material, rows[0].material) == ("007", "7")  # keys are text
     assert rows[1].system_forecast == 12.5 and rows[1].s4_adjustment is None
 
 
+def test_missing_column_raises(spark):
+    raw = spark.createDataFrame([("1", "S1")], "plu string, zavod string")
+    for shape in (conform, project):
+        with pytest.raises(ValueError, match="role assortment: required column az_type"):
+            shape(raw, "assortment")
+        assert shape(raw, "assortment", optional=["az_type"]).first().az_type is None
+
+
+SOURCE_HEADERS = {"Материал": "material", "Категорийный_менеджм": "manager", "Название": "name",
+                  **{f"Узел_{k}": f"node_{k}" for k in range(2, 6)},
+                  **{f"Описание_{k}": f"node_{k}_name" for k in range(2, 6)}}
+
+
+def test_source_headers_run_all_jobs(spark, scratch):
+    """Tables with the source's headers, text dates and padded codes: every job has rows."""
+    roles, paths = derive(spark, SF0001), {}
+    for name, df in roles.items():
+        if name == "product_dict":
+            df = df.select(*[F.col(v).alias(k) for k, v in SOURCE_HEADERS.items()])
+        elif name == "store_dict":
+            df = df.select(F.col("number").alias("Номер"), F.col("type_cf").alias("Тип_CF"))
+        elif name == "user_login":
+            df = df.select(F.col("category_manager").alias("boss"), "user")
+        else:
+            df = df.select(*[F.date_format(c, "yyyyMMdd").alias(c.upper()) if t == "date"
+                             else F.col(c) for c, t in df.dtypes])
+        paths[name] = os.path.join(scratch, name)
+        df.write.parquet(paths[name])
+    with pytest.raises(ValueError, match="category_manager"):
+        load(spark, paths, raw=True)
+    loaded = load(spark, paths, raw=True, columns={"user_login": {"boss": "category_manager"}})
+    for name, (fn, _, _) in jobs.JOBS.items():
+        assert (sorted(map(str, fn(loaded, FIXTURE_PARAMS).collect()))
+                == sorted(map(str, fn(roles, FIXTURE_PARAMS).collect()))), name
+        assert fn(loaded, FIXTURE_PARAMS).count() > 0, name
+
+
 def test_load_parquet_roles(spark, scratch):
     roles = derive(spark, SF0001)
     path = os.path.join(scratch, "plu_cat")
@@ -187,17 +259,17 @@ def test_cli_batch(spark, scratch):
         json.dump(paths, fh)
     out = os.path.join(scratch, "out")
     assert main(["--roles", cfg, "--out", out, "--as-of", "1998-06-15",
-                 "--jobs", "new_peaks,dbd_total"], spark=spark) == 0
+                 "--jobs", "new_peaks,dbd_total", "--create"], spark=spark) == 0
     assert read_section(spark, os.path.join(out, "dbd"), "total").count() == 18
     assert main(["--roles", cfg, "--out", out, "--as-of", "2030-01-01"], spark=spark) == 2
-    # fixture thresholds through --params: new_peaks as calibrated (1 row at sf0.001)
+    # fixture thresholds through --params: new_peaks as calibrated (104 rows at sf0.001)
     pj = os.path.join(scratch, "params.json")
     with open(pj, "w", encoding="utf-8") as fh:
-        json.dump({"ratio_min": 4.0, "min_floor": 1.0, "stock_ref_from": "1998-05-25",
+        json.dump({"ratio_min": 20.0, "min_floor": 1.0, "stock_ref_from": "1998-05-25",
                    "ppm_types": ["PD", "ND", "ZK", "ZR", "ZC", "ZD", "NO_PPM"]}, fh)
     assert main(["--roles", cfg, "--out", out, "--as-of", "1998-06-15", "--params", pj,
                  "--jobs", "new_peaks"], spark=spark) == 0
-    assert read_section(spark, os.path.join(out, "new_peaks"), "data").count() == 1
+    assert read_section(spark, os.path.join(out, "new_peaks"), "data").count() == 104
 
 
 def test_cli_explain_writes_nothing(spark, scratch, capsys):
@@ -258,13 +330,14 @@ def test_sales_sections_share_one_read(spark, scratch):
 
 
 def test_load_catalog_table_conformed(spark):
-    raw = spark.createDataFrame([("20260119", "1", " S1 ", 5.0)],
-                                "CALC_DATE string, PLU string, zavod string, sc_quantity double")
+    raw = spark.createDataFrame([("20260119", "1", " S1 ", 5.0, None)],
+                                "CALC_DATE string, PLU string, zavod string, sc_quantity double, "
+                                "sc_quantity_not_anypromo double")
     raw.createOrReplaceTempView("raw_daily_sales_view")
     got = load(spark, {"daily_sales": "raw_daily_sales_view"}, raw=True)["daily_sales"]
     assert got.schema == SCHEMAS["daily_sales"]
     r = got.first()
-    assert (r.calc_date, r.plu, r.zavod, r.sc_quantity_not_anypromo) == (date(2026, 1, 19), 1, " S1", None)
+    assert (r.calc_date, r.plu, r.zavod, r.sc_quantity_not_anypromo) == (date(2026, 1, 19), "1", " S1", None)
 
 
 # --- SURVEY 1.3: column order is part of the report contract ---------------------------------
@@ -307,7 +380,7 @@ def test_preflight_reports_duplicate_dimension_keys(spark):
     assert got["product_dict"] == 0 and got["store_dict"] == 0 and got["plu_cat"] == 0
     dup = dict(roles)
     dup["product_dict"] = roles["product_dict"].unionByName(
-        roles["product_dict"].where(F.col("material") < 3))
+        roles["product_dict"].where(F.col("material").isin("1", "2", "3")))
     assert preflight(dup)["product_dict"] == 3
 
 
