@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     d, t = docs.alias("d"), taken.alias("t")
     return (d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
             .select(*[F.col(f"d.`{c}`") for c in docs.columns],
-                    F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias("_copy"))
-            .drop("_copy"))
+                    F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias("__copy"))
+            .drop("__copy"))
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -259,18 +259,18 @@ def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets.
 
     Overlapping spans are replaced as one, under the kind of the first. Other columns stay; a
-    null text stays null.
+    null text stays null. Column names that begin with ``__pii`` are reserved.
     """
     spans = all_spans(docs)
     marked = (spans.where((F.size("base") > 0) | (F.size("added") > 0))
               .select("doc_id", "th", F.concat("base", "added").alias("spans")).distinct())
-    d = docs.withColumn("_th", F.xxhash64(text_or_empty())).alias("d")
+    d = docs.withColumn("__pii_th", F.xxhash64(text_or_empty())).alias("d")
     m = marked.alias("m")
     joined = d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
-                    & (F.col("d._th") == F.col("m.th")), "left").select(
+                    & (F.col("d.__pii_th") == F.col("m.th")), "left").select(
         *[F.col(f"d.`{c}`") for c in docs.columns], F.array_sort(F.transform(
             "m.spans", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"),
-                                          x["kind"].alias("kind")))).alias("_spans"))
+                                          x["kind"].alias("kind")))).alias("__pii_spans"))
     zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def put(state: Column, x: Column) -> Column:
@@ -280,11 +280,11 @@ def redact(docs: DataFrame) -> DataFrame:
             F.when(x["s"] >= state["at"], F.concat(state["out"], piece, F.lit("["), x["kind"],
                                                    F.lit("]"))).otherwise(state["out"]).alias("out"),
             F.greatest(state["at"], x["e"]).alias("at"))
-    done = F.aggregate("_spans", zero, put, lambda state: F.concat(
+    done = F.aggregate("__pii_spans", zero, put, lambda state: F.concat(
         state["out"], F.substring(F.col("text"), (state["at"] + 1).cast("int"),
                                   F.char_length("text"))))
     return joined.select(*[
-        (F.when(F.col("_spans").isNull(), F.col("text")).otherwise(done).alias("text")
+        (F.when(F.col("__pii_spans").isNull(), F.col("text")).otherwise(done).alias("text")
          if c == "text" else F.col(f"`{c}`")) for c in docs.columns])
 
 

@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandlens.llm._common import Rows, byte_words, table, written
 
@@ -45,6 +46,7 @@ HASH_SEED = 42
 SEGMENTS = ((42, 22), (21, 21), (0, 21))   # (lowest bit, bits) of the three segments
 GENERATOR = 0b110001110101       # x^11+x^10+x^6+x^5+x^4+x^2+1 of the (23, 12) Golay code
 MOST_IN_KEY = 32
+OWN = "__simhash_fp"             # the only column name that a document may not have
 ROUNDS = 60                      # bound on star rounds; their number grows with log(longest chain)
 
 
@@ -256,15 +258,16 @@ def keep_one(df: DataFrame, size: int = SHINGLE_WORDS, most_bits: int = MOST_BIT
     keep = classes.where("doc_id = component_id").select("doc_id").distinct()
     named = (df.where("doc_id is not null").join(keep, "doc_id", "left_semi")
              .dropDuplicates(["doc_id"]))
-    nameless = fingerprints_kept(df.where("doc_id is null"), size)
-    roots = classes.where("component_id is null and fp = root").select("fp").distinct()
-    other = nameless.join(roots, "fp", "left_semi").dropDuplicates(["fp"]).select(*df.columns)
+    nameless = with_fingerprint(df.where("doc_id is null"), size)
+    roots = classes.where("component_id is null and fp = root").select(
+        F.col("fp").alias(OWN)).distinct()
+    other = nameless.join(roots, OWN, "left_semi").dropDuplicates([OWN]).select(*df.columns)
     return named.select(*df.columns).unionByName(other)
 
 
-def fingerprints_kept(df: DataFrame, size: int) -> DataFrame:
-    """All columns of ``df`` and ``fp``."""
-    schema = f"{df.select('*', F.lit(0).cast('long').alias('fp'))._jdf.schema().toDDL()}"
+def with_fingerprint(df: DataFrame, size: int) -> DataFrame:
+    """All columns of ``df`` and its fingerprint as ``OWN``."""
+    schema = T.StructType([*df.schema.fields, T.StructField(OWN, T.LongType())])
     at = df.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +275,7 @@ def fingerprints_kept(df: DataFrame, size: int) -> DataFrame:
             made = np.array([fingerprint_of(shingle_hashes(t, size))
                              for t in batch.column(at).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made)],
-                                             names=[*batch.schema.names, "fp"])
+                                             names=[*batch.schema.names, OWN])
     return df.mapInArrow(run, schema)
 
 
