@@ -3,15 +3,13 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
-from decimal import Decimal
 
 import pytest
-from pyspark.sql import types as T
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
-from demandlens.sources.roles import SCHEMAS  # noqa: E402
+from role_frames import role_frame  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,22 +25,6 @@ def scratch():
     return tempfile.mkdtemp(prefix="demandlens-test-")
 
 
-def role_frame(spark, role: str, rows: list[dict]):
-    """Build a role frame from partial rows; absent columns are NULL."""
-    schema = SCHEMAS[role]
-    data = [tuple(typed(r.get(f.name), f.dataType) for f in schema.fields) for r in rows]
-    return spark.createDataFrame(data, schema)
-
-
-def typed(value, kind):
-    """Numbers given for keys become text, numbers given for measures exact decimals."""
-    if value is None:
-        return None
-    if isinstance(kind, T.StringType):
-        return str(value)
-    return Decimal(str(value)) if isinstance(kind, T.DecimalType) else value
-
-
 @pytest.fixture()
 def frame(spark):
     return lambda role, rows: role_frame(spark, role, rows)

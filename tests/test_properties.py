@@ -27,7 +27,7 @@ from demandlens.sources.testdata import FIXTURE_PARAMS
 from oracle.compare import same_rows
 from oracle.statements import build
 
-from conftest import typed
+from role_frames import typed
 
 A = date(2024, 3, 4)
 P = Params(as_of=A, stock_ref_from=A - timedelta(days=5), stock_ref_to=A - timedelta(days=1),
