@@ -51,7 +51,7 @@ LINEAR = {
 }
 # a text without this has no match of the kind
 NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
-OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"      # a number up to 255
 
 # identifier-like strings beside the base patterns, by the kind that they could be
 LOOSE_EMAIL = (r"(?<![^\x20\x09-\x0D<>\"',;:()\[\]])[^\x20\x09-\x0D<>\"',;:()\[\]@]++"
@@ -159,7 +159,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
     def number_kind(value: Column) -> Column:
         n = F.length(_digits(value))
-        return (F.when(value.rlike(r"\A[0-9]+(?:\.[0-9]+){3,}\z"), "ip")
+        return (F.when(value.rlike(r"\A[0-9]++(?:\.[0-9]++){3,}+\z"), "ip")
                 .when(n.between(12, 19), "card").when(n.between(7, 11), "phone"))
     loose = F.concat(F.transform("p_mail", lambda m: shaped(m, F.lit("email"))),
                      F.transform("p_number", lambda m: shaped(m, number_kind(m["v"]))))
