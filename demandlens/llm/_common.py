@@ -45,7 +45,7 @@ def written(df: DataFrame, name: str, files: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    (df.coalesce(files) if files else df).write.parquet(path)
+    (df.coalesce(files) if files else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

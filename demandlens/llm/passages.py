@@ -33,11 +33,11 @@ give empty results; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -47,10 +47,11 @@ from demandlens.llm._common import Rows, byte_words, table, text_or_empty, writt
 
 WINDOW = 13
 ANCHOR = 5
-HOT = 64
+HOT = 512
 BITMAP_BITS = 1 << 26
 BITMAP_PARTS = 64
 BATCH = 4000                     # passages per automaton
+KNOWN = 60_000                   # passages that a task collapses before it writes them out
 NO_ID = (1 << 63) - 1
 
 
@@ -150,9 +151,8 @@ def bitmap(anchors: DataFrame, bits: int = BITMAP_BITS) -> bytes:
 
 PASSAGE_SCHEMA = pa.schema([
     ("key", pa.int64()), ("th", pa.int64()), ("words", pa.binary()), ("low", pa.int64()),
-    ("high", pa.int64()), ("doc", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-    ("start", pa.int32())])
-PASSAGE_DDL = ("key long, th long, words binary, low long, high long, doc long, h1 long, h2 long, "
+    ("high", pa.int64()), ("doc", pa.int64()), ("h1", pa.int64()), ("start", pa.int32())])
+PASSAGE_DDL = ("key long, th long, words binary, low long, high long, doc long, h1 long, "
                "start int")
 
 
@@ -165,7 +165,7 @@ def cut_passages(texts: DataFrame, shared: bytes, hot: bytes, window: int, ancho
     """Passages on shared anchors and the places that hold them, in one table.
 
     Rows with ``words`` are passages, collapsed within the task: smallest and largest id. Rows
-    without are places: ``doc, h1, h2, start``.
+    without are places: ``doc, h1, start``.
     """
     context = texts.sparkSession.sparkContext
     shared_map, hot_map = context.broadcast(shared), context.broadcast(hot)
@@ -176,7 +176,7 @@ def cut_passages(texts: DataFrame, shared: bytes, hot: bytes, window: int, ancho
         out = Rows(PASSAGE_SCHEMA, most_rows=20_000)
         known: dict[tuple[int, bytes], list[int]] = {}
 
-        def note(key: int, cut: list[bytes], doc: int, h1: int, h2: int, start: int) -> None:
+        def note(key: int, cut: list[bytes], doc: int, h1: int, start: int) -> None:
             joined = b" ".join(cut)
             th = _signed(xxhash.xxh64_intdigest(joined))
             seen = known.get((key, joined))
@@ -186,18 +186,17 @@ def cut_passages(texts: DataFrame, shared: bytes, hot: bytes, window: int, ancho
                 seen[0] = doc
             elif doc > seen[1]:
                 seen[1] = doc
-            out.add(key, th, None, None, None, doc, h1, h2, start)
+            out.add(key, th, None, None, None, doc, h1, start)
 
         def spill() -> None:
             for (key, joined), (low, high, th) in known.items():
-                out.add(key, th, joined, low, high, None, None, None, None,
-                        weight=len(joined))
+                out.add(key, th, joined, low, high, None, None, None, weight=len(joined))
             known.clear()
 
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                for doc, h1, h2, text in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, h1, text in zip(*(c.to_pylist() for c in part.columns)):
                     ws = byte_words(text)
                     if len(ws) < window:
                         continue
@@ -217,16 +216,16 @@ def cut_passages(texts: DataFrame, shared: bytes, hot: bytes, window: int, ancho
                             for w in range(i, j):
                                 cut = ws[w:w + window]
                                 key = _signed(xxhash.xxh64_intdigest(b" ".join(cut), 7))
-                                note(key, cut, doc, h1, h2, w)
+                                note(key, cut, doc, h1, w)
                         else:
-                            note(int(own[i]), ws[i:j + window - 1], doc, h1, h2, i)
-                    if len(known) >= 50_000:
+                            note(int(own[i]), ws[i:j + window - 1], doc, h1, i)
+                    if len(known) >= KNOWN:
                         spill()
                     while out.full:
                         yield out.take()
         spill()
         yield from out.rest()
-    return texts.select("doc", "h1", "h2", "text").mapInArrow(run, PASSAGE_DDL)
+    return texts.select("doc", "h1", "text").mapInArrow(run, PASSAGE_DDL)
 
 
 def _symbol(number: int) -> str:
@@ -301,39 +300,59 @@ def located(passages: DataFrame, window: int) -> DataFrame:
 
 
 def removals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
-             bits: int = BITMAP_BITS) -> DataFrame:
-    """``(doc, h1, h2, whole, starts)``: texts that lose words.
+             bits: int = BITMAP_BITS, hot_above: int = HOT) -> DataFrame:
+    """``(doc, h1, whole, starts)``: texts that lose words.
 
     ``starts`` are the windows to remove; ``whole`` says that a copy has a smaller id.
     """
     texts = _texts(docs)
     anchors = written(shared_anchors(texts, window, anchor), "passage-anchors")
-    shared, hot = bitmap(anchors, bits), bitmap(anchors.where(F.col("n") > HOT), bits)
+    shared, hot = bitmap(anchors, bits), bitmap(anchors.where(F.col("n") > hot_above), bits)
     cut = written(cut_passages(texts, shared, hot, window, anchor, bits), "passage-cuts")
     found = located(cut.where("words is not null"), window)
-    places = cut.where("words is null").select("key", "th", "doc", "h1", "h2", "start")
+    places = cut.where("words is null").select("key", "th", "doc", "h1", "start")
     starts = (places.join(found, ["key", "th"])
-              .select("doc", "h1", "h2", F.filter(
+              .select("doc", "h1", F.filter(
                   F.transform("ids", lambda low, i: F.when(low < F.col("doc"),
                                                            i + F.col("start"))),
                   lambda s: s.isNotNull()).alias("s"))
               .where(F.size("s") > 0)
-              .groupBy("doc", "h1", "h2").agg(F.flatten(F.collect_set("s")).alias("starts")))
+              .groupBy("doc", "h1").agg(F.flatten(F.collect_set("s")).alias("starts")))
     ids = texts.select("doc", "h1", "h2")
     first = ids.groupBy("h1", "h2").agg(F.min("doc").alias("first"),
                                         F.max("doc").alias("last")).where("first < last")
-    copies = (ids.join(first, ["h1", "h2"]).where("doc > first").select("doc", "h1", "h2")
+    copies = (ids.join(first, ["h1", "h2"]).where("doc > first").select("doc", "h1")
               .distinct().withColumn("whole", F.lit(True)))
-    return starts.join(copies, ["doc", "h1", "h2"], "full").select(
-        "doc", "h1", "h2", F.coalesce("whole", F.lit(False)).alias("whole"), "starts")
+    return starts.join(copies, ["doc", "h1"], "full").select(
+        "doc", "h1", F.coalesce("whole", F.lit(False)).alias("whole"), "starts")
+
+
+def _set_bits(whole: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Is the bit of each value set?"""
+    at = values & (bits - 1)
+    return (whole[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def strip_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
-                   bits: int = BITMAP_BITS) -> DataFrame:
-    """``(doc_id, n_words, n_removed, kept)`` per row; ``kept`` is the UTF-8 of what is left."""
-    gone = written(removals(docs, window, anchor, bits), "passage-removals")
-    rows = _texts(docs).join(gone, ["doc", "h1", "h2"], "left").select(
+                   bits: int = BITMAP_BITS, hot_above: int = HOT) -> DataFrame:
+    """``(doc_id, n_words, n_removed, kept)`` per row; ``kept`` is the UTF-8 of what is left.
+
+    Texts that lose nothing are not shuffled: a bitmap of those that may lose words sends only
+    these to the join.
+    """
+    gone = written(removals(docs, window, anchor, bits, hot_above), "passage-removals")
+    texts = _texts(docs)
+    shipped = docs.sparkSession.sparkContext.broadcast(
+        bitmap(gone.select(F.col("h1").alias("anchor")), bits))
+
+    @F.pandas_udf("boolean")
+    def holds(values: pd.Series) -> pd.Series:
+        return pd.Series(_set_bits(np.frombuffer(shipped.value, np.uint8), values.to_numpy(), bits))
+
+    touched = texts.where(holds("h1")).join(gone, ["doc", "h1"], "left").select(
         "doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "starts")
+    others = texts.select("doc_id", "text", F.lit(False).alias("whole"),
+                          F.lit(None).cast("array<int>").alias("starts"), "h1")
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
                         ("n_removed", pa.int64()), ("kept", pa.binary())])
 
@@ -342,7 +361,7 @@ def strip_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 for doc_id, text, whole, starts in zip(
-                        *(c.to_pylist() for c in batch.slice(k, 256).columns)):
+                        *(c.to_pylist() for c in batch.slice(k, 256).columns[:4])):
                     ws = byte_words(text)
                     n = len(ws)
                     if whole and n >= window:
@@ -358,11 +377,19 @@ def strip_passages(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                     if out.full:
                         yield out.take()
         yield from out.rest()
-    return rows.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
 
+    def run_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.frombuffer(shipped.value, np.uint8)
+
+        def spared() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hit = _set_bits(whole, batch.column(4).to_numpy(zero_copy_only=False), bits)
+                for k in range(0, batch.num_rows, 1024):
+                    yield batch.slice(k, 1024).filter(pa.array(~hit[k:k + 1024]))
+        return run(spared())
 
-def digest(value: bytes) -> str:
-    return hashlib.sha256(value).hexdigest()
+    result = "doc_id long, n_words long, n_removed long, kept binary"
+    return touched.mapInArrow(run, result).union(others.mapInArrow(run_others, result))
 
 
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
