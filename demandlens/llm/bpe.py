@@ -18,9 +18,12 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +32,10 @@ from pyspark.sql import types as T
 
 from demandlens.llm._common import table
 
-# pieces kept per worker; when full, the store starts anew (nothing is left out by that)
-CACHED_PIECES = 200_000
-CACHED_BYTES = 48
+# pieces that a worker keeps; when full, they become the older half and a new half begins, so
+# frequent pieces stay and nothing is left out
+CACHED_PIECES = 600_000
+CACHED_CHARS = 48
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -40,67 +44,75 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class PairTree:
-    """Leftmost minimum over byte positions: a node holds ``rank << shift | position``."""
-
-    def __init__(self, ranks_by_position: list[int | None]):
-        n = len(ranks_by_position)
-        self.shift = max(1, n.bit_length())
-        self.mask = (1 << self.shift) - 1
-        self.size = 1 << max(0, (n - 1).bit_length())
-        self.none = 1 << 62
-        size, none, shift = self.size, self.none, self.shift
-        tree = [none] * (2 * size)
-        for i, rank in enumerate(ranks_by_position):
-            if rank is not None:
-                tree[size + i] = rank << shift | i
-        for i in range(size - 1, 0, -1):
-            left, right = tree[2 * i], tree[2 * i + 1]
-            tree[i] = left if left < right else right
-        self.tree = tree
-
-    def best(self) -> int | None:
-        """Position of the leftmost pair of the smallest rank."""
-        top = self.tree[1]
-        return None if top == self.none else top & self.mask
-
-    def put(self, position: int, rank: int | None) -> None:
-        tree, i = self.tree, self.size + position
-        tree[i] = self.none if rank is None else rank << self.shift | position
-        i >>= 1
-        while i:
-            left, right = tree[2 * i], tree[2 * i + 1]
-            least = left if left < right else right
-            if tree[i] == least:
-                return
-            tree[i] = least
-            i >>= 1
-
-
-def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """Token ids of one match of the pattern."""
+class Ranks:
+    """Ranks of the tokens, also shifted so that a byte position fits below them."""
+
+    SHORT, SHORT_BITS, LONG_BITS = 64, 6, 32
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.plain = ranks
+        self.short = {t: r << self.SHORT_BITS for t, r in ranks.items()}
+        self.long = {t: r << self.LONG_BITS for t, r in ranks.items()}
+        most = max(ranks.values(), default=0) + 1
+        self.short_none = 1 << (most << self.SHORT_BITS).bit_length()
+        self.long_none = 1 << (most << self.LONG_BITS).bit_length()
+
+
+def merge_piece(piece: bytes, table: Ranks) -> tuple[int, ...]:
+    """Token ids of one match of the pattern.
+
+    ``tree`` is a segment tree over byte positions: leaf ``size + i`` holds the pair that
+    starts at byte i as its rank, shifted, plus i, and a node the smaller of its children, so the
+    root is the leftmost pair of the smallest rank. A merge changes three leaves, those of the
+    merged token, of the token it swallowed, and of its live neighbour before; their paths to
+    the root are renewed together.
+    """
+    ranks, n = table.plain, len(piece)
     whole = ranks.get(piece)
-    if whole is not None:
-        return (whole,)
-    n = len(piece)
-    find = ranks.get
-    if n == 1:
-        return (ranks[piece],)
+    if whole is not None or not n:
+        return () if whole is None else (whole,)
+    if n < table.SHORT:
+        find, none, mask = table.short.get, table.short_none, table.SHORT - 1
+    else:
+        find, none, mask = table.long.get, table.long_none, (1 << table.LONG_BITS) - 1
+    size = 1 << (n - 1).bit_length()
+    tree = [none] * size
+    tree += [find(piece[i:i + 2], none) + i for i in range(n - 1)]
+    tree += [none] * (2 * size - len(tree))
+    for i in range(size - 1, 0, -1):
+        left, right = tree[2 * i], tree[2 * i + 1]
+        tree[i] = left if left < right else right
     # a live token starts at i and ends at after[i], where the next live token starts
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    pairs = PairTree([find(piece[i:i + 2]) for i in range(n - 1)])
-    while (i := pairs.best()) is not None:
+    while (top := tree[1]) < none:
+        i = top & mask
         j = after[i]
-        end = after[j]
-        after[i] = end
-        pairs.put(j, None) if j < n - 1 else None
+        end = after[i] = after[j]
+        z, y = size + j, size + i
+        tree[z] = none
         if end < n:
             before[end] = i
-            pairs.put(i, find(piece[i:after[end]]))
+            tree[y] = find(piece[i:after[end]], none) + i
         else:
-            pairs.put(i, None)
-        if (h := before[i]) >= 0:
-            pairs.put(h, find(piece[h:end]))
+            tree[y] = none
+        h = before[i]
+        if h >= 0:
+            x = size + h
+            tree[x] = find(piece[h:end], none) + h
+        else:
+            x = y
+        while x > 1:
+            x >>= 1
+            y >>= 1
+            z >>= 1
+            left, right = tree[x + x], tree[x + x + 1]
+            tree[x] = left if left < right else right
+            if y != x:
+                left, right = tree[y + y], tree[y + y + 1]
+                tree[y] = left if left < right else right
+            if z != y:
+                left, right = tree[z + z], tree[z + z + 1]
+                tree[z] = left if left < right else right
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i:after[i]]])
@@ -113,12 +125,16 @@ class Encoder(dict):
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
-        self.ranks, self.pieces = ranks, regex.compile(pattern).findall
+        self.table, self.pieces = Ranks(ranks), regex.compile(pattern).findall
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = merge_piece(piece.encode("utf-8", "replace"), self.ranks)
-        if len(piece) <= CACHED_BYTES:
-            if len(self) >= CACHED_PIECES:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = merge_piece(piece.encode("utf-8", "replace"), self.table)
+        if len(piece) <= CACHED_CHARS:
+            if len(self) >= CACHED_PIECES // 2:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -127,28 +143,41 @@ class Encoder(dict):
         return list(chain.from_iterable(map(self.__getitem__, self.pieces(text))))
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str, pattern: str) -> Encoder:
+    """One encoder per worker process, for all its tasks."""
+    return Encoder(read_ranks(path), pattern)
+
+
+@lru_cache(maxsize=2)
+def _tokens(path: str) -> list[bytes | None]:
+    ranks = read_ranks(path)
+    out: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        out[rank] = token
+    return out
+
+
 def _ship(spark: SparkSession, path: str) -> str:
     """Give the rank file to every executor; returns the name to ask SparkFiles for."""
     spark.sparkContext.addFile(path)
     return path.rsplit("/", 1)[-1]
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, make) -> DataFrame:
-    """``df`` with column ``name`` made from column ``source`` by ``make()(value)``."""
+def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, convert) -> DataFrame:
+    """``df`` with column ``name``: ``convert`` makes it from column ``source``, as Arrow arrays."""
     kept = [f for f in df.schema.fields if f.name != name]
     schema = T.StructType([*kept, T.StructField(name, kind)])
     at = [i for i, f in enumerate(df.schema.fields) if f.name != name]
     src = df.schema.fieldNames().index(source)
-    arrow = pa.list_(pa.int32()) if isinstance(kind, T.ArrayType) else pa.binary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        convert = make()
         for batch in batches:
             for k in range(0, batch.num_rows, 1024):
                 part = batch.slice(k, 1024)
-                made = pa.array([convert(v) for v in part.column(src).to_pylist()], type=arrow)
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in at), made],
-                                                 names=schema.fieldNames())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(i) for i in at), convert(part.column(src))],
+                    names=schema.fieldNames())
     return df.mapInArrow(run, schema)
 
 
@@ -156,21 +185,25 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
     """Add ``ids`` (array of int): the tokens of the whole text, special tokens not used."""
     name = _ship(df.sparkSession, ranks_path)
 
-    def make():
-        encoder = Encoder(read_ranks(SparkFiles.get(name)), pattern)
-        return lambda value: encoder.encode(value) if value else []
-    return _with_column(df, text, "ids", T.ArrayType(T.IntegerType(), False), make)
+    def convert(texts: pa.Array) -> pa.Array:
+        own = _encoder(SparkFiles.get(name), pattern).encode
+        return pa.array([own(t) if t else [] for t in texts.to_pylist()],
+                        type=pa.list_(pa.int32()))
+    return _with_column(df, text, "ids", T.ArrayType(T.IntegerType(), False), convert)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded`` (binary): the bytes that the ids stand for."""
     name = _ship(df.sparkSession, ranks_path)
 
-    def make():
-        ranks = read_ranks(SparkFiles.get(name))
-        token = {rank: value for value, rank in ranks.items()}.__getitem__
-        return lambda value: b"".join(map(token, value)) if value else b""
-    return _with_column(df, ids, "decoded", T.BinaryType(), make)
+    def convert(lists: pa.Array) -> pa.Array:
+        tokens = _tokens(SparkFiles.get(name))
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        parts = list(map(tokens.__getitem__, lists.flatten().to_numpy().tolist()))
+        starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+        return pa.array([b"".join(parts[a:b]) for a, b in zip(starts.tolist(), ends.tolist())],
+                        type=pa.binary())
+    return _with_column(df, ids, "decoded", T.BinaryType(), convert)
 
 
 def default_vocabulary() -> tuple[str, str]:
