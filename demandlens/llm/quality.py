@@ -17,8 +17,9 @@ one document; a document without equal hashes skips the rest of that rule.
 
 Defined cases: a null text counts as empty: it has no words and fails the base rule. A null or
 unlisted language uses the English common words and, with all such documents, a reference of
-its own. Repeated rows get equal results. Empty tables give empty results. A column of the
-input with the name of a result column is replaced where results are added to it.
+its own. Repeated rows get equal results. Empty tables give empty results. ``judge`` replaces
+columns of the input that have the name of a result column (or begin with ``q_``);
+``keep_good`` returns all columns unchanged.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm._common import SEPARATOR_RUN, table, text_or_empty, written
+from demandlens.llm._common import SEPARATOR_RUN, SEPARATORS, table, text_or_empty, written
 
 # fixed values: common words by language
 COMMON = {
@@ -68,29 +69,34 @@ def _nonempty(parts: str) -> Column:
 
 
 def with_histograms(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``q_*`` columns: text, words, language key, and the two histograms."""
-    base = docs.withColumn("q_text", text_or_empty()).withColumn("q_lang", _key())
-    split = base.withColumn("q_parts", F.split("q_text", SEPARATOR_RUN)).withColumn(
-        "q_words", _nonempty("q_parts")).drop("q_parts")
-    everything = sorted({w for ws in COMMON.values() for w in ws})
-    known = F.array(*[F.lit(w) for w in everything])
-    found = split.withColumn("q_found", F.filter(
-        F.transform("q_words", F.lower), lambda w: F.array_contains(known, w)))
+    """``docs`` with ``q_*`` columns: text, language key, lengths, and the two histograms.
+
+    Words are counted without an array of them: with two spaces between words and one at
+    either end, `` the `` occurs once per word "the", and taking it out shortens the text.
+    """
+    base = (docs.withColumn("q_text", text_or_empty()).withColumn("q_lang", _key())
+            .withColumn("q_trim", F.regexp_replace(
+                F.lower(F.btrim("q_text", F.lit(SEPARATORS))), SEPARATOR_RUN, "  ")))
+    spaced = base.withColumn("q_spaced", F.concat(F.lit(" "), F.col("q_trim"), F.lit(" ")))
+
+    def times(piece: str, text: str) -> Column:
+        gone = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(piece), F.lit("")))
+        return F.floor(gone / len(piece.encode())).cast("long")
 
     def held(words: tuple[str, ...]) -> Column:
-        return F.array(*[(F.size("q_found") - F.size(F.array_remove("q_found", w))).cast("long")
-                         for w in words])
+        return F.array(*[times(f" {w} ", "q_spaced") for w in words])
     common = reduce(lambda c, lang: F.when(F.col("q_lang") == lang, held(COMMON[lang])).otherwise(c),
                     COMMON, held(COMMON["en"]))
-    counted = found.withColumn("q_common", common).drop("q_found")
-    chars = F.char_length("q_text").cast("long")
     classes = [_count("[A-Z]"), _count("[0-9]"), _count(r"[\x20\x09-\x0D]"), _count(SENTENCE_MARKS),
                _count(SYMBOLS), _count(r"[^\x00-\x7F]")]
-    counted = counted.withColumn("q_some", F.array(*classes)).withColumn("q_chars", chars)
+    counted = (spaced.withColumn("q_common", common).withColumn("q_some", F.array(*classes))
+               .withColumn("q_n", F.when(F.col("q_trim") == "", F.lit(0).cast("long"))
+                           .otherwise(times("  ", "q_trim") + 1))
+               .withColumn("q_chars", F.char_length("q_text").cast("long"))
+               .drop("q_trim", "q_spaced"))
     some = F.aggregate("q_some", F.lit(0).cast("long"), lambda a, x: a + x)
     known_words = F.aggregate("q_common", F.lit(0).cast("long"), lambda a, x: a + x)
-    return (counted.withColumn("q_n", F.size("q_words").cast("long"))
-            .withColumn("q_char_hist", F.concat(F.array(F.col("q_chars") - some), "q_some"))
+    return (counted.withColumn("q_char_hist", F.concat(F.array(F.col("q_chars") - some), "q_some"))
             .withColumn("q_word_hist", F.concat(F.array(F.col("q_n") - known_words), "q_common"))
             .drop("q_some", "q_common"))
 
@@ -115,11 +121,13 @@ def js_distance(p: str, q: str) -> Column:
     parts = F.zip_with(share(p), share(q), lambda a, b: (
         term(a, (a + b) / 2) + term(b, (a + b) / 2)) / 2)
     total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(total, F.lit(0.0)))
+    return F.sqrt(F.abs(total))          # rounding can leave a zero just below zero
 
 
 def base_measures(df: DataFrame) -> DataFrame:
-    """The base rule's numbers, from ``q_text`` and ``q_words``."""
+    """The base rule's numbers, from what ``with_histograms`` adds."""
+    df = (df.withColumn("q_parts", F.split("q_text", SEPARATOR_RUN))
+          .withColumn("q_words", _nonempty("q_parts")).drop("q_parts"))
     lines = F.filter(F.split("q_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     grams = F.when(F.col("q_n") >= WINDOW, F.transform(
         F.sequence(F.lit(0), F.greatest(F.col("q_n").cast("int") - WINDOW, F.lit(0))),
@@ -151,13 +159,20 @@ def base_measures(df: DataFrame) -> DataFrame:
             .drop("q_twice", "q_same"))
 
 
-def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
-    """``docs`` with the base numbers, ``char_distance``, ``word_distance`` and ``kept``."""
+def measure(docs: DataFrame) -> DataFrame:
+    """``docs`` with the base numbers and the histograms.
+
+    ``q_part``, a column that Spark must not compute twice, keeps filters on the numbers above
+    this step. Pushed below it they would be spelled out in terms of the text, and each array
+    that the steps share would be made again for each of its elements.
+    """
     own = docs.drop(*[c for c in docs.columns if c in RESULT or c.startswith("q_")])
-    if refs is None:
-        refs = written(references(with_histograms(own.select("text", "lang"))), "quality-refs",
-                       files=1)
-    measured = base_measures(with_histograms(own)).drop("q_text", "q_words")
+    return base_measures(with_histograms(own)).drop("q_text", "q_words").withColumn(
+        "q_part", F.monotonically_increasing_id())
+
+
+def decide(measured: DataFrame, refs: DataFrame) -> DataFrame:
+    """Distances to the references, and the verdict."""
     judged = (measured.join(refs, "q_lang", "left")
               .withColumn("char_distance", F.when(F.col("q_chars") >= LEAST_CHARS,
                                                   js_distance("q_char_hist", "r_char")))
@@ -165,17 +180,29 @@ def judge(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
                                                   js_distance("q_word_hist", "r_word"))))
     fine = (F.coalesce(F.col("char_distance") <= MOST_CHAR_DISTANCE, F.lit(True))
             & F.coalesce(F.col("word_distance") <= MOST_WORD_DISTANCE, F.lit(True)))
-    return (judged.withColumn("kept", ~F.col("base_failed") & fine)
-            .select(*own.columns, "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                    "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"))
+    return judged.withColumn("kept", ~F.col("base_failed") & fine & (F.col("q_part") >= 0))
+
+
+def judge(docs: DataFrame) -> DataFrame:
+    """``docs`` with the base numbers, ``char_distance``, ``word_distance`` and ``kept``.
+
+    Two passes over the texts: the references first, so that no text is written or shuffled.
+    """
+    refs = written(references(with_histograms(docs.select("text", "lang"))), "quality-refs",
+                   files=1)
+    own = [c for c in docs.columns if c not in RESULT and not c.startswith("q_")]
+    return decide(measure(docs), refs).select(*own, *RESULT, "char_distance", "word_distance")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that the rules keep, with the columns of ``docs``."""
-    return judge(docs).where("kept").select(*docs.columns)
+    """The rows that the rules keep, with the columns of ``docs`` as they are."""
+    whole = docs.select("text", "lang", F.struct(*docs.columns).alias("whole"))
+    return judge(whole).where("kept").select("whole.*")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbers and the verdict for every document."""
+    """The numbers and the verdict for every document; texts are read once."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return judge(docs).select("doc_id", *RESULT, "char_distance", "word_distance")
+    measured = written(measure(docs).drop("text"), "quality-measures")
+    return decide(measured, references(measured)).select("doc_id", *RESULT, "char_distance",
+                                                         "word_distance")
