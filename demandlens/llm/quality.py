@@ -12,6 +12,10 @@ References are the summed histograms of all documents of the language, one small
 language, by one map-side combinable aggregate. Documents too short for a histogram
 (``LEAST_CHARS``, ``LEAST_WORDS``) are not judged by it.
 
+The most word distance is relative to the distance that a text without any common word has from
+the same reference: common words are a minor share of all words, so even that distance is far
+below 1. A share of it is allowed, and what chance adds to a plain text of so many words.
+
 Only built-in functions are used. Five-word windows are compared by their 64-bit hashes within
 one document; a document without equal hashes skips the rest of that rule.
 
@@ -44,7 +48,12 @@ MOST_REPEATED_PERCENT = 20
 LEAST_CHARS = 200
 LEAST_WORDS = 50
 MOST_CHAR_DISTANCE = 0.30
-MOST_WORD_DISTANCE = 0.50
+MOST_WORD_DISTANCE = 0.50        # whatever the reference
+# of the distance of a text without common words: this share, and WORD_NOISE / sqrt(words), between
+# the least and the most share
+WORD_SHARE, LEAST_WORD_SHARE, MOST_WORD_SHARE = 0.35, 0.50, 0.90
+WORD_NOISE = 1.4
+LEAST_BARE_DISTANCE = 0.20       # a reference of few common words is not narrower than this
 
 SENTENCE_MARKS = r"[.,;:!?'\"()-]"
 SYMBOLS = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E&&[^.,;:!?'\"()-]]"
@@ -110,9 +119,9 @@ def references(histograms: DataFrame) -> DataFrame:
                                             summed("q_word_hist", n_words).alias("r_word"))
 
 
-def js_distance(p: str, q: str) -> Column:
+def js_distance(p: Column | str, q: Column | str) -> Column:
     """Jensen-Shannon distance, base 2, of two histograms; null where one is empty."""
-    def share(column: str) -> Column:
+    def share(column: Column | str) -> Column:
         total = F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + x)
         return F.transform(column, lambda x: x / F.nullif(total, F.lit(0)))
 
@@ -124,6 +133,19 @@ def js_distance(p: str, q: str) -> Column:
     return F.sqrt(F.abs(total))          # rounding can leave a zero just below zero
 
 
+def bare_distance() -> Column:
+    """The distance that a text without common words has from the reference ``r_word``."""
+    bare = F.transform("r_word", lambda x, i: F.when(i == 0, 1).otherwise(0).cast("long"))
+    return js_distance(bare, "r_word")
+
+
+def most_word_distance() -> Column:
+    bare = F.greatest(F.col("q_bare"), F.lit(LEAST_BARE_DISTANCE))
+    noise = F.lit(WORD_NOISE) / F.sqrt(F.greatest(F.col("q_n"), F.lit(1)))
+    return F.least(F.lit(MOST_WORD_DISTANCE), F.lit(MOST_WORD_SHARE) * bare, F.greatest(
+        F.lit(LEAST_WORD_SHARE) * bare, F.lit(WORD_SHARE) * bare + noise))
+
+
 def base_measures(df: DataFrame) -> DataFrame:
     """The base rule's numbers, from what ``with_histograms`` adds."""
     df = (df.withColumn("q_parts", F.split("q_text", SEPARATOR_RUN))
@@ -173,13 +195,14 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def decide(measured: DataFrame, refs: DataFrame) -> DataFrame:
     """Distances to the references, and the verdict."""
+    refs = refs.withColumn("q_bare", bare_distance())
     judged = (measured.join(refs, "q_lang", "left")
               .withColumn("char_distance", F.when(F.col("q_chars") >= LEAST_CHARS,
                                                   js_distance("q_char_hist", "r_char")))
               .withColumn("word_distance", F.when(F.col("q_n") >= LEAST_WORDS,
                                                   js_distance("q_word_hist", "r_word"))))
     fine = (F.coalesce(F.col("char_distance") <= MOST_CHAR_DISTANCE, F.lit(True))
-            & F.coalesce(F.col("word_distance") <= MOST_WORD_DISTANCE, F.lit(True)))
+            & F.coalesce(F.col("word_distance") <= most_word_distance(), F.lit(True)))
     return judged.withColumn("kept", ~F.col("base_failed") & fine & (F.col("q_part") >= 0))
 
 

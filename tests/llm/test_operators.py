@@ -356,6 +356,25 @@ def test_quality_rejects_other_distributions_and_keeps_plain_text(spark, frame):
     assert not kept.pop(900) and all(kept.values())
 
 
+def _plain(rng, lang, n, common=0.18):
+    """A text of made-up words, with the language's common words among them."""
+    listed = quality.COMMON[lang]
+    return " ".join(rng.choice(listed) if rng.random() < common else "".join(
+        rng.choice("abdeghilmnorstu") for _ in range(rng.randint(5, 9))) for _ in range(n))
+
+
+def test_quality_rejects_wrong_language_and_texts_without_common_words(frame):
+    rng = random.Random(8)
+    good = [(lang, _plain(rng, lang, n)) for lang in quality.COMMON for n in (60, 120, 250, 800) * 25]
+    bad = [(lang, _plain(rng, other, 800)) for lang in quality.COMMON for other in quality.COMMON
+           if other != lang]
+    bad += [(lang, _plain(rng, lang, n, 0)) for lang in quality.COMMON for n in (60, 120, 800)]
+    rows = [(k, t, lang) for k, (lang, t) in enumerate(good + bad)]
+    kept = {r.doc_id: r.kept for r in quality.judge(frame(rows)).collect()}
+    assert sum(not kept[k] for k in range(len(good))) <= 2
+    assert not any(kept[k] for k in range(len(good), len(rows)))
+
+
 # ------------------------------------------------------------------------- 7: passages
 
 def _stripped(df, **options):
