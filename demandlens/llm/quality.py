@@ -19,9 +19,10 @@ below 1. A share of it is allowed, and what chance adds to a plain text of so ma
 Only built-in functions are used. Five-word windows are compared by their 64-bit hashes within
 one document; a document without equal hashes skips the rest of that rule.
 
-Defined cases: a null text counts as empty: it has no words and fails the base rule. A null or
-unlisted language uses the English common words and, with all such documents, a reference of
-its own. Repeated rows get equal results. Empty tables give empty results. ``judge`` replaces
+Defined cases: a null text counts as empty: it has no words and fails the base rule. Every value
+of ``lang``, null among them, has a reference of its own. The common words are those of the part
+before the first ``-`` or ``_``, in any case (``en-US``, ``EN``); a language without a list, or
+null, is judged by its character classes only, and its word distance is null. Repeated rows get equal results. Empty tables give empty results. ``judge`` replaces
 columns of the input that have the name of a result column (or begin with ``q_``);
 ``keep_good`` returns all columns unchanged.
 """
@@ -65,9 +66,9 @@ def _count(pattern: str) -> Column:
     return F.regexp_count("q_text", F.lit(pattern)).cast("long")
 
 
-def _key() -> Column:
-    """The language a document is compared with."""
-    return F.when(F.col("lang").isin(*COMMON), F.col("lang")).otherwise(F.lit("other"))
+def _list_of(lang: str) -> Column:
+    """The language whose common words a value of ``lang`` uses."""
+    return F.lower(F.regexp_extract(F.col(lang), r"\A([A-Za-z]+)(?:[-_].*)?\z", 1))
 
 
 def _nonempty(parts: str) -> Column:
@@ -78,12 +79,13 @@ def _nonempty(parts: str) -> Column:
 
 
 def with_histograms(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``q_*`` columns: text, language key, lengths, and the two histograms.
+    """``docs`` with ``q_*`` columns: text, language, its list, lengths, and the two histograms.
 
     Words are counted without an array of them: with two spaces between words and one at
     either end, `` the `` occurs once per word "the", and taking it out shortens the text.
     """
-    base = (docs.withColumn("q_text", text_or_empty()).withColumn("q_lang", _key())
+    base = (docs.withColumn("q_text", text_or_empty()).withColumn("q_lang", F.col("lang"))
+            .withColumn("q_list", _list_of("lang"))
             .withColumn("q_trim", F.regexp_replace(
                 F.lower(F.btrim("q_text", F.lit(SEPARATORS))), SEPARATOR_RUN, "  ")))
     spaced = base.withColumn("q_spaced", F.concat(F.lit(" "), F.col("q_trim"), F.lit(" ")))
@@ -94,8 +96,9 @@ def with_histograms(docs: DataFrame) -> DataFrame:
 
     def held(words: tuple[str, ...]) -> Column:
         return F.array(*[times(f" {w} ", "q_spaced") for w in words])
-    common = reduce(lambda c, lang: F.when(F.col("q_lang") == lang, held(COMMON[lang])).otherwise(c),
-                    COMMON, held(COMMON["en"]))
+    n_common = max(map(len, COMMON.values()))
+    common = reduce(lambda c, lang: F.when(F.col("q_list") == lang, held(COMMON[lang])).otherwise(c),
+                    COMMON, F.array_repeat(F.lit(0).cast("long"), n_common))
     classes = [_count("[A-Z]"), _count("[0-9]"), _count(r"[\x20\x09-\x0D]"), _count(SENTENCE_MARKS),
                _count(SYMBOLS), _count(r"[^\x00-\x7F]")]
     counted = (spaced.withColumn("q_common", common).withColumn("q_some", F.array(*classes))
@@ -111,11 +114,11 @@ def with_histograms(docs: DataFrame) -> DataFrame:
 
 
 def references(histograms: DataFrame) -> DataFrame:
-    """``(q_lang, r_char, r_word)``: summed histograms, one row per language key."""
+    """``(q_ref, r_char, r_word)``: summed histograms, one row per value of ``lang``."""
     def summed(column: str, size: int) -> Column:
         return F.array(*[F.sum(F.get(column, F.lit(i))) for i in range(size)])
     n_words = 1 + max(map(len, COMMON.values()))
-    return histograms.groupBy("q_lang").agg(summed("q_char_hist", 7).alias("r_char"),
+    return histograms.groupBy(F.col("q_lang").alias("q_ref")).agg(summed("q_char_hist", 7).alias("r_char"),
                                             summed("q_word_hist", n_words).alias("r_word"))
 
 
@@ -196,10 +199,11 @@ def measure(docs: DataFrame) -> DataFrame:
 def decide(measured: DataFrame, refs: DataFrame) -> DataFrame:
     """Distances to the references, and the verdict."""
     refs = refs.withColumn("q_bare", bare_distance())
-    judged = (measured.join(refs, "q_lang", "left")
+    judged = (measured.join(refs, F.col("q_lang").eqNullSafe(F.col("q_ref")), "left")
               .withColumn("char_distance", F.when(F.col("q_chars") >= LEAST_CHARS,
                                                   js_distance("q_char_hist", "r_char")))
-              .withColumn("word_distance", F.when(F.col("q_n") >= LEAST_WORDS,
+              .withColumn("word_distance", F.when((F.col("q_n") >= LEAST_WORDS)
+                                                  & F.col("q_list").isin(*COMMON),
                                                   js_distance("q_word_hist", "r_word"))))
     fine = (F.coalesce(F.col("char_distance") <= MOST_CHAR_DISTANCE, F.lit(True))
             & F.coalesce(F.col("word_distance") <= most_word_distance(), F.lit(True)))

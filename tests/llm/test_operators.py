@@ -375,6 +375,21 @@ def test_quality_rejects_wrong_language_and_texts_without_common_words(frame):
     assert not any(kept[k] for k in range(len(good), len(rows)))
 
 
+def test_quality_reference_of_every_language(frame):
+    """A large unlisted language does not decide what happens to the others."""
+    rng = random.Random(9)
+    chinese = ["".join(rng.choice("的一是在不了有和人这中大为上个国") for _ in range(400)) for _ in range(60)]
+    rows = [(k, " ".join(t[i:i + 8] for i in range(0, 400, 8)), "zh") for k, t in enumerate(chinese)]
+    rows += [(100 + k, _plain(rng, "es", 200, 0), lang)
+             for k, lang in enumerate(["it", None, "en-US", "EN", "en"] * 10)]
+    rows += [(200 + k, _plain(rng, "en", 200), lang) for k, lang in enumerate(["en-US", "EN", "en"] * 20)]
+    got = {r.doc_id: r for r in quality.judge(frame(rows)).collect()}
+    for k, _, lang in rows:
+        listed = lang is not None and lang.lower().startswith("en")
+        assert got[k].kept == (not listed or k >= 200), (k, lang)
+        assert (got[k].word_distance is not None) == listed
+
+
 # ------------------------------------------------------------------------- 7: passages
 
 def _stripped(df, **options):
