@@ -49,13 +49,14 @@ LINEAR = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-# a text without this has no match of the kind
-NEEDED = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+# a text where this is not found has no match of the kind
+NEEDED = {"email": "@", "ip": r"\.", "card": "[0-9]", "phone": r"\+"}
 OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"      # a number up to 255
 
 # identifier-like strings beside the base patterns, by the kind that they could be
 LOOSE_EMAIL = (r"(?<![^\x20\x09-\x0D<>\"',;:()\[\]])[^\x20\x09-\x0D<>\"',;:()\[\]@]++"
                r"(?:@|\[at\]|\(at\))[^\x20\x09-\x0D<>\"',;:()\[\]@]++")
+LOOSE_EMAIL_NEEDED = r"@|\[at\]|\(at\)"
 LOOSE_NUMBER = r"(?<![0-9A-Za-z_.+-])[0-9](?:[\x20().:/-]{0,2}+[0-9])++(?![0-9A-Za-z_])"
 LEAST_SUPPORT = 5
 LEAST_CONFIDENCE = 0.9
@@ -80,13 +81,12 @@ def _sums_before(lengths: Column, name: str) -> Column:
         F.slice(lengths, i - i % block + 1, i % block)))
 
 
-def _matches(df: DataFrame, name: str, pattern: str, needed: str | None) -> DataFrame:
+def _matches(df: DataFrame, name: str, pattern: str, needed: str) -> DataFrame:
     """``df`` with column ``name``: structs (s, e, v, before, after) of all matches in ``p_text``.
 
     ``before`` and ``after`` are the pieces of text next to the match, cut to the context.
     """
-    might = F.col("p_text").rlike("[0-9]") if needed is None else F.contains(
-        "p_text", F.lit(needed))
+    might = F.col("p_text").rlike(needed)
     empty = F.array().cast("array<string>")
     step = df.withColumn("p_found", F.when(might, F.regexp_extract_all(
         "p_text", F.lit(pattern), 0)).otherwise(empty))
@@ -154,8 +154,8 @@ def find_spans(docs: DataFrame) -> DataFrame:
         return F.struct(kind.alias("kind"), m["s"].alias("s"), m["e"].alias("e"),
                         m["v"].alias("v"), m["before"].alias("before"), m["after"].alias("after"))
     df = df.withColumn("base", F.concat(*map(checked, KINDS))).drop(*[f"p_{k}" for k in KINDS])
-    df = _matches(df, "p_mail", LOOSE_EMAIL, None if "[at]" in LOOSE_EMAIL else "@")
-    df = _matches(df, "p_number", LOOSE_NUMBER, None)
+    df = _matches(df, "p_mail", LOOSE_EMAIL, LOOSE_EMAIL_NEEDED)
+    df = _matches(df, "p_number", LOOSE_NUMBER, "[0-9]")
 
     def number_kind(value: Column) -> Column:
         n = F.length(_digits(value))

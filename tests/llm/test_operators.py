@@ -203,6 +203,15 @@ def test_pii_bootstraps_unseen_identifiers(spark, frame):
     assert all(not got[k] for k in got if k != 60)
 
 
+def test_pii_finds_obfuscated_mail_in_texts_without_at_sign(spark, frame):
+    texts = [f"please write to u{i}@example.org today" for i in range(60)]
+    texts += ["please write to jane[at]example.org today", "please write to joe(at)example.org today"]
+    got = {r.doc_id: [(m.kind, m.s, m.e) for m in r.added] for r in _spans(spark, frame, texts)[1]}
+    for k, mail in ((60, "jane[at]example.org"), (61, "joe(at)example.org")):
+        at = texts[k].index(mail)
+        assert got[k] == [("email", at, at + len(mail))]
+
+
 def test_pii_redacts(spark, frame):
     docs = frame([(1, "mail a@b.com, +1 (988) 555-2485 end", "en", "s"), (None, "ip 1.2.3.4"),
                   (None, "clean"), (3, None), (1, "mail a@b.com, +1 (988) 555-2485 end", "en", "s")])
