@@ -11,7 +11,8 @@ instances (distinct normalised strings) is scored in rounds:
 * an instance's score is the chance that at least one of its patterns is right; instances
   that reach ``LEAST_SCORE`` become known for the next round.
 
-Known candidates are added to the spans, with the kind of their pattern. Only built-in
+Known candidates are added to the spans, with the kind of their pattern. So is every candidate
+whose digits are those of a seed: the same identifier in another notation. Only built-in
 functions run. Texts are read once: the spans and contexts that they hold go to a table, and
 the rounds run over that table's edges, which are counted (pattern, instance) pairs.
 
@@ -184,29 +185,33 @@ def _context_patterns(span: Column) -> Column:
 
 
 def _instance(span: Column) -> Column:
-    return F.concat_ws("|", span["kind"], F.when(span["kind"] == "email", F.lower(span["v"]))
+    # the dots of an address tell 1.2.3.45 from 12.3.4.5
+    return F.concat_ws("|", span["kind"], F.when(span["kind"].isin("email", "ip"), F.lower(span["v"]))
                        .otherwise(_digits(span["v"])))
 
 
 def edges_of(found: DataFrame) -> DataFrame:
-    """``(pattern, instance, seed)``: distinct edges over all documents."""
+    """``(pattern, instance, seed)``: distinct edges over all documents.
+
+    An occurrence without words around it has one edge, to the null pattern.
+    """
     rows = found.select(F.explode(F.concat(
         F.transform("base", lambda m: F.struct(F.lit(True).alias("seed"), m.alias("m"))),
         F.transform("loose", lambda m: F.struct(F.lit(False).alias("seed"), m.alias("m"))))
     ).alias("o")).select("o.seed", "o.m")
     return (rows.select("seed", _instance(F.col("m")).alias("instance"),
-                        F.explode(_context_patterns(F.col("m"))).alias("pattern"))
+                        F.explode_outer(_context_patterns(F.col("m"))).alias("pattern"))
             .groupBy("pattern", "instance").agg(F.max("seed").alias("seed")))
 
 
 def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``(instance, score)``: candidates that became known."""
+    """``(instance, score)``: seeds, and candidates that became known."""
     edges = written(edges, "pii-edges")
     seeds = edges.groupBy("instance").agg(F.max("seed").alias("seed"))
     known = seeds.select("instance", F.when(F.col("seed"), 1.0).otherwise(0.0).alias("score"))
     for _ in range(rounds):
         known = written(known, "pii-known")
-        scored = edges.join(known, "instance")
+        scored = edges.where("pattern is not null").join(known, "instance")
         hit = F.sum(F.when(F.col("score") >= LEAST_SCORE, F.lit(1)).otherwise(F.lit(0)))
         patterns = (scored.groupBy("pattern").agg(hit.alias("hits"), F.count(F.lit(1)).alias("n"))
                     .withColumn("confidence", F.col("hits") / (F.col("n") + SHRINK))
@@ -220,9 +225,7 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         known = (known.join(reached, "instance", "left").select(
             "instance", F.greatest(F.col("score"), F.coalesce("reached", F.lit(0.0)))
             .alias("score")))
-    chosen = written(known, "pii-known").where(F.col("score") >= LEAST_SCORE)
-    own = seeds.where(~F.col("seed")).select("instance")
-    return chosen.join(own, "instance", "left_semi")
+    return written(known, "pii-known").where(F.col("score") >= LEAST_SCORE)
 
 
 def all_spans(docs: DataFrame) -> DataFrame:
@@ -230,7 +233,15 @@ def all_spans(docs: DataFrame) -> DataFrame:
     found = written(find_spans(docs), "pii-found")
     chosen = written(bootstrap(edges_of(found)), "pii-chosen")
     held = found.where(F.size("loose") > 0).select("doc_id", "th", F.explode("loose").alias("m"))
-    own = (held.withColumn("instance", _instance(F.col("m"))).join(chosen, "instance", "left_semi")
+    # a number of 12 to 15 digits is a card candidate, but may repeat a phone seed; no candidate is
+    # a phone of that length, so only seeds match
+    digits = F.length(_digits(F.col("m.v")))
+    phone_too = (F.col("m.kind") == "card") & digits.between(12, 15)
+    kinds = F.when(phone_too, F.array(F.lit("card"), F.lit("phone"))).otherwise(F.array("m.kind"))
+    as_kind = held.withColumn("kind", F.explode(kinds)).withColumn(
+        "m", F.col("m").withField("kind", F.col("kind")))
+    own = (as_kind.withColumn("instance", _instance(F.col("m")))
+           .join(chosen, "instance", "left_semi")
            .groupBy("doc_id", "th").agg(F.collect_set(F.struct("m.kind", "m.s", "m.e"))
                                         .alias("added")))
     f, o = found.alias("f"), own.alias("o")

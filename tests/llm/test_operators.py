@@ -212,6 +212,20 @@ def test_pii_finds_obfuscated_mail_in_texts_without_at_sign(spark, frame):
         assert got[k] == [("email", at, at + len(mail))]
 
 
+def test_pii_finds_seeds_in_another_notation(spark, frame):
+    card = _luhn("4111 1111 1111 111")
+    seeds = ["call +49 30 1234567 now", "+43 1 234 567 890 12", f"card {card} paid", "host 30.0.11.1 up"]
+    again = [("phone", "49 30 1234567"), ("phone", "43 1 234 567 890 12"),
+             ("card", card.replace(" ", "  ")), ("card", card.replace(" ", "/"))]
+    texts = seeds + [f"elsewhere {value} stood" for _, value in again] + ["host 300.1.1.1 up"]
+    got = {r.doc_id: [(m.kind, m.s, m.e) for m in r.added] for r in _spans(spark, frame, texts)[1]}
+    for k, (kind, value) in enumerate(again, len(seeds)):
+        assert got[k] == [(kind, 10, 10 + len(value))], texts[k]
+    assert not got[len(texts) - 1]
+    docs = pii.redact(frame(list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.text for r in docs}[len(seeds)] == "elsewhere [phone] stood"
+
+
 def test_pii_redacts(spark, frame):
     docs = frame([(1, "mail a@b.com, +1 (988) 555-2485 end", "en", "s"), (None, "ip 1.2.3.4"),
                   (None, "clean"), (3, None), (1, "mail a@b.com, +1 (988) 555-2485 end", "en", "s")])
