@@ -7,14 +7,14 @@ probabilities, found by the Viterbi algorithm over the letters.
 
 Both models come from the table itself, from all its rows, by Spark aggregations:
 
-* unigrams: words of page titles, of paths and of hosts' hyphenated parts. Counts are kept in
-  a fixed number of hashed cells (``CELLS``), so the model's size is a parameter and a
-  web-sized vocabulary needs no cut;
-* naive Bayes: token counts per class in as many hashed cells. Classes are weak labels: a url
+* unigrams: exact counts of the words, not numbers, of page titles, of paths and of hosts'
+  hyphenated parts. They stay a table: the substrings of the distinct runs of letters in urls
+  are joined to it, so an unseen string is unseen however many words there are;
+* naive Bayes: token counts per class in a fixed number of hashed cells (``CELLS``). Classes are weak labels: a url
   whose segmented host has a word of ``SEED_WORDS`` is an example of "block", others of
   "allow".
 
-The two arrays (``CELLS`` numbers each) are what the driver holds and broadcasts.
+The array of log odds (``CELLS`` numbers) is what the driver holds and broadcasts.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no rule, and
 verdict allow. Repeated rows get equal results. Empty tables give empty results. Very long
@@ -26,7 +26,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +48,7 @@ PRIOR_WORDS = (*sorted(SEED_WORDS), "blog", "cheap", "example", "farm", "free",
 PRIOR_COUNT = 50
 CELLS = 1 << 18
 LONGEST = 20
+MOST_HELD = 100_000              # words that a task counts before it hands them on
 UNKNOWN_BASE = 10.0              # an unseen word of n letters counts as 1 / (total * 10 ** n)
 MARGIN = 0.0                     # log odds above which a url is blocked
 
@@ -86,95 +86,152 @@ def cell(word: str) -> int:
     return xxhash.xxh64_intdigest(word.encode(), 5) & (CELLS - 1)
 
 
-class Segmenter:
-    """Splits run-together letters by unigram probabilities."""
-
-    def __init__(self, counts: np.ndarray):
-        self.counts = counts
-        self.total = math.log(float(counts.sum()) + 1.0)
-        self.unknown = [self.total + n * math.log(UNKNOWN_BASE) for n in range(LONGEST + 1)]
-        self.split = lru_cache(maxsize=50_000)(self._split)
-
-    def cost(self, word: str) -> float:
-        n = self.counts[cell(word)]
-        return self.total - math.log(n) if n else self.unknown[len(word)]
-
-    def _split(self, letters: str) -> tuple[str, ...]:
-        best, back = [0.0], [0]
-        for end in range(1, len(letters) + 1):
-            least, start = math.inf, end - 1
-            for begin in range(max(0, end - LONGEST), end):
-                c = best[begin] + self.cost(letters[begin:end])
-                if c < least:
-                    least, start = c, begin
-            best.append(least)
-            back.append(start)
-        out, end = [], len(letters)
-        while end:
-            out.append(letters[back[end]:end])
-            end = back[end]
-        return tuple(reversed(out))
-
-    def words(self, text: str) -> list[str]:
-        out: list[str] = []
-        for part in PARTS.findall(text.lower()):
-            out.extend(self.split(part) if part.isascii() and part.isalpha() else (part,))
-        return out
-
-
-def features(segmenter: Segmenter, host: str, path: str) -> tuple[list[str], list[str]]:
-    """Host words and path words; the path's are marked, numbers are one token."""
-    own = segmenter.words(host)
-    return own, ["/" + ("0" if w.isdigit() else w) for w in segmenter.words(path)]
+def split_letters(letters: str, counts: dict[str, int], total: float) -> list[str]:
+    """The split of least cost; ``counts`` has the known substrings, ``total`` is a logarithm."""
+    best, back = [0.0], [0]
+    for end in range(1, len(letters) + 1):
+        least, start = math.inf, end - 1
+        for begin in range(max(0, end - LONGEST), end):
+            n = counts.get(letters[begin:end])
+            c = best[begin] + (total - math.log(n) if n
+                               else total + (end - begin) * math.log(UNKNOWN_BASE))
+            if c < least:
+                least, start = c, begin
+        best.append(least)
+        back.append(start)
+    out, end = [], len(letters)
+    while end:
+        out.append(letters[back[end]:end])
+        end = back[end]
+    return out[::-1]
 
 
-# ----------------------------------------------------------------------- models
+def parts_of(text: str) -> list[str]:
+    return PARTS.findall(text.lower())
 
-def _dense(counted: DataFrame) -> np.ndarray:
-    """``(cell, n)`` as an array; at most ``CELLS`` rows reach the driver."""
-    out = np.zeros(CELLS)
-    for row in counted.toLocalIterator():
-        out[row.cell] = row.n
-    return out
 
+def is_letters(part: str) -> bool:
+    return part.isascii() and part.isalpha()
 
-def unigrams(parted: DataFrame) -> np.ndarray:
-    """Word counts by cell, over titles, paths and hyphenated host parts of all rows."""
+
+def features(host_words: str, path_words: str) -> tuple[list[str], list[str]]:
+    """Host words and path words; the path's are marked, numbers are one token."""
+    own = host_words.split(" ") if host_words else []
+    rest = path_words.split(" ") if path_words else []
+    return own, ["/" + ("0" if w.isdigit() else w) for w in rest]
+
+
+# ----------------------------------------------------------------------- models
+
+def unigrams(parted: DataFrame) -> DataFrame:
+    """``(word, n)``: word counts over titles, paths and hyphenated host parts of all rows."""
     title = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?is)<title>([^<]*)", 1)
     heard = parted.select(F.concat_ws(" ", F.lower(title), F.lower("path"), F.when(
         F.col("host").contains("-"), F.col("host"))).alias("t"))
-    schema = pa.schema([("cell", pa.int32()), ("n", pa.int64())])
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
+
+    def made(counts: dict[str, int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
+                                           pa.array(list(counts.values()), pa.int64())],
+                                          schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, int] = {}
-        at = lru_cache(maxsize=100_000)(cell)
+        counts: dict[str, int] = {}
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for word in PARTS.findall(text):
-                    if len(word) <= LONGEST:
-                        c = at(word)
-                        counts[c] = counts.get(c, 0) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()),
-                                          pa.array(list(counts.values()), pa.int64())],
-                                         schema=schema)
-    counts = _dense(heard.mapInArrow(run, "cell int, n long").groupBy("cell")
-                    .agg(F.sum("n").alias("n")))
-    for word in PRIOR_WORDS:
-        counts[cell(word)] += PRIOR_COUNT
-    return counts
-
-
-def log_odds(parted: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, float]:
+                    if len(word) <= LONGEST and not word.isdigit():
+                        counts[word] = counts.get(word, 0) + 1
+            if len(counts) >= MOST_HELD:
+                yield made(counts)
+                counts = {}
+        yield made(counts)
+    prior = parted.sparkSession.createDataFrame([(w, PRIOR_COUNT) for w in PRIOR_WORDS],
+                                                "word string, n long")
+    return written(heard.mapInArrow(run, "word string, n long").unionByName(prior)
+                   .groupBy("word").agg(F.sum("n").alias("n")), "url-unigrams")
+
+
+def splits(parted: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(part, split)``: the words, joined by blanks, of each distinct run of letters in urls."""
+    def run_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            for column in batch.columns:
+                for text in column.to_pylist():
+                    seen.update(filter(is_letters, parts_of(text)))
+            if len(seen) >= MOST_HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["part"])
+                seen = set()
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["part"])
+    parts = written(parted.select("host", "path").mapInArrow(run_parts, "part string").distinct(),
+                    "url-letters")
+    pair = pa.schema([("part", pa.string()), ("word", pa.string())])
+
+    def run_subs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(pair)
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                subs = {part[i:j] for i in range(len(part))
+                        for j in range(i + 1, min(len(part), i + LONGEST) + 1)}
+                for sub in subs:
+                    out.add(part, sub, weight=len(part) + len(sub))
+                    if out.full:
+                        yield out.take()
+        yield from out.rest()
+    held = parts.mapInArrow(run_subs, "part string, word string").join(counts, "word")
+    known = held.groupBy("part").agg(F.collect_list("word").alias("words"),
+                                     F.collect_list("n").alias("ns"))
+    total = math.log(float(counts.agg(F.sum("n")).first()[0]) + 1.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns))
+            split = [" ".join(split_letters(p, dict(zip(w or (), n or ())), total))
+                     for p, w, n in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(split, pa.string())],
+                                             ["part", "split"])
+    return written(parts.join(known, "part", "left").select("part", "words", "ns")
+                   .mapInArrow(run, "part string, split string"), "url-splits")
+
+
+def with_words(parted: DataFrame, split: DataFrame) -> DataFrame:
+    """``parted`` with ``own`` and ``rest``: the words of host and path, joined by blanks."""
+    schema = pa.schema([("row", pa.int64()), ("side", pa.int32()), ("at", pa.int32()),
+                        ("part", pa.string())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = Rows(schema)
+        for batch in batches:
+            for row, *texts in zip(*(c.to_pylist() for c in batch.columns)):
+                for side, text in enumerate(texts):
+                    for at, part in enumerate(parts_of(text)):
+                        out.add(row, side, at, part, weight=len(part))
+                        if out.full:
+                            yield out.take()
+        yield from out.rest()
+    tokens = parted.select("row", "host", "path").mapInArrow(
+        run, "row long, side int, at int, part string").join(split, "part", "left")
+    listed = tokens.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
+        "side", "at", F.coalesce("split", "part").alias("words")))).alias("all"))
+
+    def side(k: int) -> Column:
+        return F.coalesce(F.array_join(F.transform(F.filter("all", lambda t: t["side"] == k),
+                                                   lambda t: t["words"]), " "), F.lit(""))
+    return written(parted.drop("html").join(listed, "row", "left")
+                   .withColumn("own", side(0)).withColumn("rest", side(1)).drop("all"),
+                   "url-words")
+
+
+def log_odds(worded: DataFrame) -> tuple[np.ndarray, float]:
     """Per cell, the log odds of "block" given a token there; and the prior's."""
-    held = parted.sparkSession.sparkContext.broadcast(counts)
     schema = pa.schema([("cell", pa.int32()), ("n", pa.int64()), ("bad", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(held.value)
         seen: dict[int, list[int]] = {}
         for batch in batches:
-            for host, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own, rest = features(segmenter, host, path)
+            for words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own, rest = features(*words)
                 bad = not SEED_WORDS.isdisjoint(own)
                 for c in (-1, *map(cell, own), *map(cell, rest)):
                     n = seen.setdefault(c, [0, 0])
@@ -185,7 +242,7 @@ def log_odds(parted: DataFrame, counts: np.ndarray) -> tuple[np.ndarray, float]:
              pa.array([n[0] for n in seen.values()], pa.int64()),
              pa.array([n[1] for n in seen.values()], pa.int64())], schema=schema)
     # cell -1 counts urls; the others' rows number at most CELLS
-    rows = (parted.select("host", "path").mapInArrow(run, "cell int, n long, bad long")
+    rows = (worded.select("own", "rest").mapInArrow(run, "cell int, n long, bad long")
             .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     good, bad = np.zeros(CELLS), np.zeros(CELLS)
     urls, bad_urls = 0, 0
@@ -206,31 +263,31 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
                                   host_of(F.col("url")).alias("host"),
                                   path_of(F.col("url")).alias("path"), "html").select(
         "page_id", "host", "path", F.regexp_extract(F.coalesce("html", F.lit("")),
-                                                    r"(?is)<title>[^<]*", 0).alias("html")),
+                                                    r"(?is)<title>[^<]*", 0).alias("html"),
+        F.monotonically_increasing_id().alias("row")),
         "url-parts")
-    counts = unigrams(parted)
-    odds, prior = log_odds(parted, counts)
+    worded = with_words(parted, splits(parted, unigrams(parted)))
+    odds, prior = log_odds(worded)
     context = pages.sparkSession.sparkContext
-    model = context.broadcast((counts, odds, prior))
+    model = context.broadcast((odds, prior))
     rule, decided = fitting_rule(F.col("host"), F.col("path"), rules)
     schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()),
                         ("rule", pa.string()), ("decided", pa.string()),
                         ("words", pa.string()), ("log_odds", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, odds, prior = model.value
-        segmenter = Segmenter(counts)
+        odds, prior = model.value
         out = Rows(schema)
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                own, rest = features(segmenter, row[1], row[2])
+                own, rest = features(*row[5:])
                 score = prior + float(sum(odds[cell(w)] for w in (*own, *rest)))
-                out.add(*row, " ".join((*own, *rest)), score)
+                out.add(*row[:5], " ".join((*own, *rest)), score)
                 if out.full:
                     yield out.take()
         yield from out.rest()
-    scored = parted.select("page_id", "host", "path", rule.alias("rule"),
-                           decided.alias("decided")).mapInArrow(
+    scored = worded.select("page_id", "host", "path", rule.alias("rule"),
+                           decided.alias("decided"), "own", "rest").mapInArrow(
         run, "page_id long, host string, path string, rule string, decided string, "
              "words string, log_odds double")
     method = F.when((F.col("host") != "") & (F.col("log_odds") > MARGIN), "block").otherwise("allow")

@@ -330,6 +330,21 @@ def test_urls_segment_and_classify(spark):
     assert got[9002].log_odds > got[9001].log_odds
 
 
+def test_urls_split_alike_beside_many_unrelated_words(spark):
+    """Words of other pages' titles, and page numbers, do not make unseen strings known."""
+    rows = [(k, f"http://casino-{k % 7}.net/jackpot/{k}", "<title>jackpot slots</title>") for k in range(40)]
+    rows += [(100, "http://jackpotslots.net/a/1", None)]
+    rng, letters = random.Random(4), "abcdefghijklmnopqrstuvwxyz"
+    many = [(1000 + k, None, "<title>" + " ".join("".join(rng.choices(letters, k=12))
+                                                  for _ in range(5000)) + "</title>") for k in range(300)]
+    words = []
+    for data in (rows, rows + many):
+        got = urls.judge(spark.createDataFrame(data, "page_id long, url string, html string"))
+        words.append({(r.page_id, r.verdict, r.words) for r in got.where("page_id < 1000").collect()})
+    assert words[0] == words[1]
+    assert {w for k, _, w in words[1] if k == 100} == {"jackpot slots net /a /0"}
+
+
 # -------------------------------------------------------------------------- 6: quality
 
 def test_quality_query(spark, docs):
