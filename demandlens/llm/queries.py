@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from demandlens.llm import bitsliced, warc
+from demandlens.llm import bitsliced, collocations, fim, warc
 from demandlens.llm.bitsliced import op8_bitsliced
 from demandlens.llm.bpe import op10_byte_bpe
+from demandlens.llm.collocations import op11_collocations
+from demandlens.llm.fim import op13_fim
 from demandlens.llm.mixing import op2_mixing
 from demandlens.llm.passages import op7_passages
 from demandlens.llm.pii import op3_pii
@@ -25,9 +27,13 @@ QUERIES = {
     "op8_bitsliced": op8_bitsliced,
     "op9_simhash": op9_simhash,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_collocations": op11_collocations,
+    "op13_fim": op13_fim,
 }
 
 ORACLE_SQL = {
     "op1_warc": warc.ORACLE,
     "op8_bitsliced": bitsliced.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op13_fim": fim.ORACLE,
 }
