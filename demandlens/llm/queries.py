@@ -7,6 +7,7 @@ from demandlens.llm.bitsliced import op8_bitsliced
 from demandlens.llm.bpe import op10_byte_bpe
 from demandlens.llm.collocations import op11_collocations
 from demandlens.llm.fim import op13_fim
+from demandlens.llm.lm import op12_lm_score
 from demandlens.llm.mixing import op2_mixing
 from demandlens.llm.passages import op7_passages
 from demandlens.llm.pii import op3_pii
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_byte_bpe": op10_byte_bpe,
     "op11_collocations": op11_collocations,
+    "op12_lm_score": op12_lm_score,
     "op13_fim": op13_fim,
 }
 
