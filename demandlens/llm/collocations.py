@@ -3,8 +3,10 @@
 A *stripe* belongs to a prefix and is an associative counter of the words that follow it; its
 entry under ``TOTAL`` counts the prefix itself. Tasks build stripes of up to ``CHUNK_TOKENS``
 words at a time, cut by a hash of the next word into ``SEGMENTS`` parts so that the stripe of
-a hot prefix is never one row, and send them as arrays. They are merged element by element (a
-sum per next word). All that the result needs is then in that one structure: an extension's
+a hot prefix is never in one place, and send them in bundles, a row per chunk and bundle. A
+bundle's stripes are merged element by element (a sum per next word); the number of bundles
+follows the input, so that one of them fits a task, and a prefix or pair that is everywhere
+adds an entry per chunk. All that the result needs is then in that one structure: an extension's
 frequency is an entry, a prefix's frequency its total, and the entry that subsumes a phrase the
 largest of those that extend it by one word, to the right (its own stripe) or to the left.
 
@@ -46,26 +48,34 @@ SUBSUMED = 80                    # percent
 TOP = 2000                       # results of a language
 TOTAL = ""                       # the entry of a stripe that counts its prefix
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
-CHUNK_TOKENS = 2 << 20
+CHUNK_TOKENS = 1 << 20
 SLICE_BYTES = 1 << 20
 SEGMENTS = 32
+BUNDLE_BYTES = 2 << 20           # bytes of text for each bundle of stripes, about
 PAIR_BITS = 1 << 26              # 8 MB
 SALTS = 256                      # first round of the ranking
-STRIPES = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("segment", pa.int32()),
-                     ("nexts", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
-STRIPES_DDL = ("lang string, prefix string, segment int, nexts array<string>, "
+# words are joined by line feeds, which no word has; ``sizes`` counts the entries of each stripe
+BUNDLES = pa.schema([("bundle", pa.int32()), ("langs", pa.string()), ("prefixes", pa.string()),
+                     ("sizes", pa.list_(pa.int32())), ("nexts", pa.string()),
+                     ("counts", pa.list_(pa.int64()))])
+BUNDLES_DDL = ("bundle int, langs string, prefixes string, sizes array<int>, nexts string, "
                "counts array<bigint>")
 
 
 # ------------------------------------------------------------------------------- words
 
 class _Ids(dict):
-    """Word -> number within the chunk; 0 is a break between pieces, -1 no word."""
+    """Word -> number within the chunk; 0 is a break between pieces, -1 no word.
+
+    ``whole`` is a number for the language's empty prefix.
+    """
 
     def __init__(self, chunk: Chunk, lang: str):
         super().__init__({b"\n": 0, b"": -1})
-        self.chunk, self.at = chunk, len(chunk.langs)
+        self.chunk, self.at, self.whole = chunk, len(chunk.langs), len(chunk.words)
         chunk.langs.append(lang)
+        chunk.words.append(b"")
+        chunk.lang_of.append(self.at)
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self.chunk.words)
@@ -123,74 +133,85 @@ def pair_bit(first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
 
 # ------------------------------------------------------------------------------ stripes
 
-def _stripe_batches(chunk: Chunk, words: pa.Array, langs: pa.Array, heads: list[np.ndarray],
-                    prefix: np.ndarray, following: np.ndarray,
-                    segment_of: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes from occurrences: ``heads[j][prefix[i]]`` is the j-th word of occurrence i's
-    prefix, ``following[i]`` the word after it."""
-    v = np.int64(len(chunk.words))
-    keys, counts = np.unique((prefix * SEGMENTS + segment_of[following]) * v + following,
-                             return_counts=True)
-    if not len(keys):
-        return
-    stripe, nexts = np.divmod(keys, v)
-    starts = np.flatnonzero(np.diff(stripe, prepend=-1))
-    owner, segment = np.divmod(stripe[starts], SEGMENTS)
-    first = heads[0][owner]
-    ends = np.append(starts[1:], len(keys))
-    for k in range(0, len(starts), 1 << 15):
-        s, e = starts[k:k + (1 << 15)], ends[k:k + (1 << 15)]
-        own = owner[k:k + (1 << 15)]
-        offsets = pa.array(np.append(s, e[-1]) - s[0], pa.int32())
-        names = [words.take(pa.array(h[own])) for h in heads]
-        yield pa.RecordBatch.from_arrays(
-            [langs.take(pa.array(first[k:k + (1 << 15)])),
-             names[0] if len(names) == 1 else pc.binary_join_element_wise(*names, " "),
-             pa.array(segment[k:k + (1 << 15)], pa.int32()),
-             pa.ListArray.from_arrays(offsets, words.take(pa.array(nexts[s[0]:e[-1]]))),
-             pa.ListArray.from_arrays(offsets, pa.array(counts[s[0]:e[-1]], pa.int64()))],
-            schema=STRIPES)
-
-
-def _single(lang: list[str], prefix: list[str], counts) -> pa.RecordBatch:
-    """Stripes that hold their total only."""
-    n = len(lang)
-    offsets = pa.array(np.arange(n + 1), pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(lang, pa.string()), pa.array(prefix, pa.string()),
-         pa.array(np.zeros(n, np.int32)), pa.ListArray.from_arrays(offsets, pa.array([TOTAL] * n)),
-         pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64()))], schema=STRIPES)
-
-
-def _names(chunk: Chunk) -> tuple[pa.Array, pa.Array, np.ndarray]:
-    """Words, their languages and their segments, by number."""
-    words = pa.array(chunk.words, pa.binary()).cast(pa.string())
-    langs = pa.array(chunk.langs, pa.string()).take(pa.array(chunk.lang_of))
-    return words, langs, np.fromiter(map(zlib.crc32, chunk.words), np.int64) % SEGMENTS
-
-
-def _short(chunk: Chunk, pairs: bytes | None) -> Iterator[pa.RecordBatch]:
-    """Stripes of the empty prefix (its total only) and of prefixes of one word."""
-    a = chunk.array()
-    words, langs, segment_of = _names(chunk)
-    v = len(chunk.words)
-    count = np.bincount(a, minlength=v)
-    count[0] = 0
+class Names:
+    """Words of a chunk and their languages, by number."""
+
+    def __init__(self, chunk: Chunk, bundles: int):
+        self.words = pa.array(chunk.words, pa.binary()).cast(pa.string())
+        # a language may hold line feeds
+        langs = [lang.replace("%", "%25").replace("\n", "%0A") for lang in chunk.langs]
+        self.langs = pa.array(langs, pa.string()).take(pa.array(chunk.lang_of))
+        self.code = np.fromiter(map(zlib.crc32, chunk.words), np.int64)
+        self.bundles, self.size = bundles, np.int64(len(chunk.words))
+
+    def bundle_of(self, heads: list[np.ndarray], segment: np.ndarray) -> np.ndarray:
+        h = segment.astype(np.uint64)
+        for head in heads:
+            h = (h + self.code[head].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+        return (h % np.uint64(self.bundles)).astype(np.int64)
+
+    def bundled(self, heads: list[np.ndarray], segment: np.ndarray, sizes: np.ndarray,
+                nexts: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        """A row per bundle. ``heads[j]`` is the j-th word of every stripe's prefix; the entries
+        of a stripe follow each other."""
+        bundle = self.bundle_of(heads, segment)
+        order = np.argsort(bundle, kind="stable")
+        starts, size = (np.cumsum(sizes) - sizes)[order], sizes[order]
+        ends = np.cumsum(size)
+        entry = np.repeat(starts - (ends - size), size) + np.arange(len(nexts))
+        rows, first = np.unique(bundle[order], return_index=True)
+        by_stripe = pa.array(np.append(first, len(order)), pa.int32())
+        by_entry = pa.array(np.append((ends - size)[first], len(nexts)), pa.int32())
+
+        def joined(offsets: pa.Array, values: pa.Array) -> pa.Array:
+            return pc.binary_join(pa.ListArray.from_arrays(offsets, values), "\n")
+        prefix = [self.words.take(pa.array(h[order])) for h in heads]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.int32()),
+             joined(by_stripe, self.langs.take(pa.array(heads[0][order]))),
+             joined(by_stripe, prefix[0] if len(prefix) == 1 else
+                    pc.binary_join_element_wise(*prefix, " ")),
+             pa.ListArray.from_arrays(by_stripe, pa.array(size, pa.int32())),
+             joined(by_entry, self.words.take(pa.array(nexts[entry]))),
+             pa.ListArray.from_arrays(by_entry, pa.array(counts[entry], pa.int64()))],
+            schema=BUNDLES)
+
+    def stripes(self, heads: list[np.ndarray], prefix: np.ndarray,
+                following: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Stripes of occurrences: ``heads[j][prefix[i]]`` is the j-th word of occurrence i's
+        prefix, ``following[i]`` the word after it."""
+        if not len(following):
+            return
+        keys, counts = np.unique(
+            (prefix * SEGMENTS + self.code[following] % SEGMENTS) * self.size + following,
+            return_counts=True)
+        stripe, nexts = np.divmod(keys, self.size)
+        starts = np.flatnonzero(np.diff(stripe, prepend=-1))
+        owner, segment = np.divmod(stripe[starts], SEGMENTS)
+        yield self.bundled([h[owner] for h in heads], segment,
+                           np.diff(np.append(starts, len(keys))), nexts, counts)
+
+
+def _short(chunk: Chunk, bundles: int, pairs: bytes | None) -> Iterator[pa.RecordBatch]:
+    """Stripes of prefixes of one word, and the total of the empty prefix. As an entry, number 0
+    is the empty word and so the total."""
+    a, names = chunk.array(), Names(chunk, bundles)
+    count = np.bincount(a, minlength=names.size)
     lang_of = np.array(chunk.lang_of)
-    totals = np.bincount(lang_of, weights=count, minlength=len(chunk.langs)).astype(np.int64)
-    yield _single(chunk.langs, [""] * len(chunk.langs), totals)
-    for k in range(1, v, 1 << 15):
-        part = slice(k, k + (1 << 15))
-        yield _single(langs[part].to_pylist(), words[part].to_pylist(), count[part])
+    for ids in chunk.ids.values():
+        count[ids.whole] = count[1:][lang_of[1:] == ids.at].sum()
+    own = np.arange(1, names.size)
+    none = np.zeros(len(own), np.int64)
+    yield names.bundled([own], none, none + 1, none, count[1:])
     at = np.flatnonzero((a[:-1] > 0) & (a[1:] > 0))
-    yield from _stripe_batches(chunk, words, langs, [np.arange(v)], a[at], a[at + 1], segment_of)
+    yield from names.stripes([np.arange(names.size)], a[at], a[at + 1])
 
 
-def _long(chunk: Chunk, pairs: bytes) -> Iterator[pa.RecordBatch]:
+def _long(chunk: Chunk, bundles: int, pairs: bytes) -> Iterator[pa.RecordBatch]:
     """Stripes of prefixes of two and three words, all of whose pairs may be frequent."""
-    a = chunk.array()
-    words, langs, segment_of = _names(chunk)
-    v = np.int64(len(chunk.words))
+    a, names = chunk.array(), Names(chunk, bundles)
+    v = names.size
     bitmap = np.frombuffer(pairs, np.uint8)
     hashes = np.array([word_hash(chunk.langs[n], w) for n, w in zip(chunk.lang_of, chunk.words)],
                       np.uint64)
@@ -199,18 +220,36 @@ def _long(chunk: Chunk, pairs: bytes) -> Iterator[pa.RecordBatch]:
               & (a[:-1] > 0) & (a[1:] > 0))
     three = np.flatnonzero(passes[:-1] & passes[1:])
     keys, prefix = np.unique(a[three] * v + a[three + 1], return_inverse=True)
-    yield from _stripe_batches(chunk, words, langs, [keys // v, keys % v], prefix, a[three + 2],
-                               segment_of)
+    yield from names.stripes([keys // v, keys % v], prefix, a[three + 2])
     # those among them that go on with another such pair
     longer = (three < len(passes) - 2) & passes[np.minimum(three + 2, len(passes) - 1)]
     four = three[longer]
     triples, triple = np.unique(prefix[longer] * v + a[four + 2], return_inverse=True)
     pair = keys[triples // v]
-    yield from _stripe_batches(chunk, words, langs, [pair // v, pair % v, triples % v], triple,
-                               a[four + 3], segment_of)
-
-
-def stripes(docs: DataFrame, build, pairs=None, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+    yield from names.stripes([pair // v, pair % v, triples % v], triple, a[four + 3])
+
+
+def merged(group: pa.Table, least: int) -> pa.Table:
+    """Stripes of one bundle, merged: ``(lang, prefix, next, n)`` of entries from ``least``."""
+    def words(column: str) -> pa.Array:
+        return pc.list_flatten(pc.split_pattern(group[column], "\n")).combine_chunks()
+    sizes = pc.list_flatten(group["sizes"]).to_numpy()
+    of = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+    entries = pa.table({"lang": words("langs").dictionary_encode().take(of),
+                        "prefix": words("prefixes").take(of), "next": words("nexts"),
+                        "n": pc.list_flatten(group["counts"])})
+    sums = entries.group_by(["lang", "prefix", "next"]).aggregate([("n", "sum")])
+    sums = sums.filter(pc.greater_equal(sums["n_sum"], least))
+    langs = [lang.replace("%0A", "\n").replace("%25", "%") for lang in
+             sums["lang"].cast(pa.string()).to_pylist()]
+    del entries, of
+    pa.default_memory_pool().release_unused()
+    return pa.table({"lang": pa.array(langs, pa.string()), "prefix": sums["prefix"],
+                     "next": sums["next"], "n": sums["n_sum"]})
+
+
+def stripes(docs: DataFrame, build, least: int, bundles: int, pairs=None,
+            chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """Merged stripes as rows ``(lang, prefix, next, n)``; ``docs`` has ``lang, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = pairs.value if pairs else None
@@ -221,16 +260,12 @@ def stripes(docs: DataFrame, build, pairs=None, chunk_tokens: int = CHUNK_TOKENS
                 for part in slices(texts[k].as_py()):
                     chunk.add(lang, part)
                     if chunk.tokens >= chunk_tokens:
-                        yield from build(chunk, bitmap)
+                        yield from build(chunk, bundles, bitmap)
                         chunk = Chunk()
         if chunk.tokens:
-            yield from build(chunk, bitmap)
-    parts = docs.mapInArrow(run, STRIPES_DDL).repartition("lang", "prefix", "segment")
-    entries = parts.select("lang", "prefix", "segment",
-                           F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-    # dealt by (lang, prefix, segment) already: the sum needs no further exchange
-    return (entries.groupBy("lang", "prefix", "segment", F.col("e.nexts").alias("next"))
-            .agg(F.sum("e.counts").alias("n")).drop("segment"))
+            yield from build(chunk, bundles, bitmap)
+    return (docs.mapInArrow(run, BUNDLES_DDL).groupBy("bundle").applyInArrow(
+        lambda group: merged(group, least), "lang string, prefix string, next string, n bigint"))
 
 
 def frequent_pairs(pairs: DataFrame, bits: int) -> bytes:
@@ -266,19 +301,19 @@ def mine(docs: DataFrame, least: int = LEAST, subsumed: int = SUBSUMED, top: int
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                          text_or_empty().alias("text")).where("text <> ''")
-    short = written(stripes(source, _short, None, chunk_tokens).where(F.col("n") >= least),
-                    "stripes-short")
+    size = source.agg(F.sum(F.octet_length("text").cast("decimal(38,0)"))).first()[0] or 0
+    bundles = 1 + int(size) // BUNDLE_BYTES
+    short = written(stripes(source, _short, least, bundles, None, chunk_tokens), "stripes-short")
     pairs = short.where(F.col("next") != TOTAL)
     bitmap = spark.sparkContext.broadcast(frequent_pairs(pairs, pair_bits))
-    longer = stripes(source, _long, bitmap, chunk_tokens).where(F.col("n") >= least)
-    whole = F.concat_ws(" ", "prefix", "next")
+    longer = stripes(source, _long, least, bundles, bitmap, chunk_tokens)
     known = written(
         short.where((F.col("next") == TOTAL) & (F.col("prefix") != ""))
         .select("lang", F.col("prefix").alias("phrase"), "n")
-        .unionByName(pairs.unionByName(longer).select("lang", whole.alias("phrase"), "n")),
-        "stripes-known")
+        .unionByName(pairs.unionByName(longer).select(
+            "lang", F.concat_ws(" ", "prefix", "next").alias("phrase"), "n")), "stripes-known")
     bitmap.destroy()
-    sizes = short.where((F.col("prefix") == "") & (F.col("next") == TOTAL)).select(
+    sizes = short.where((F.col("next") == TOTAL) & (F.col("prefix") == "")).select(
         "lang", F.col("n").alias("all"))
 
     split = known.withColumn("words", F.split("phrase", " ")).where(F.size("words") > 1)
