@@ -1,0 +1,303 @@
+"""Phrase collocations, language-model scores, fill-in-middle: against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import brute
+from demandlens.llm import collocations, fim, lm
+from demandlens.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# ------------------------------------------------------------------------- 11: phrases
+
+def plain_phrases(rows, least=30, subsumed=80, top=2000):
+    """rows: (lang, text) -> {lang: [(phrase, a, l, r, n, score), ...] in order}."""
+    f = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for size in range(1, 5):
+                f["und" if lang is None else lang].update(tuple(w[i:i + size]) for i in range(len(w) - size + 1))
+    out = {}
+    for lang, count in f.items():
+        n = sum(c for p, c in count.items() if len(p) == 1)
+        cands = {p: c for p, c in count.items() if len(p) > 1 and c >= least}
+        gone = set()
+        for p, c in cands.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    if 100 * c >= subsumed * count[p[i:i + size]]:
+                        gone.add(p[i:i + size])
+        made = []
+        for p, a in cands.items():
+            if p not in gone:
+                cuts = [(math.floor(Fraction(2000000 * a, count[p[:k]] + count[p[k:]])), k)
+                        for k in range(1, len(p))]
+                score, k = min(cuts)
+                made.append((" ".join(p), a, count[p[:k]], count[p[k:]], n, score))
+        made.sort(key=lambda m: (-m[5], -m[1], m[0].encode()))
+        if made:
+            out[lang] = made[:top]
+    return out
+
+
+def found(df):
+    out = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: (r.lang, r.rank)):
+        out[r.lang].append((r.phrase, r.a, r.l, r.r, r.n, r.score))
+        assert r.rank == len(out[r.lang])
+    return dict(out)
+
+
+def test_phrases_query(spark, docs):
+    want = plain_phrases([(d["lang"], d["text"]) for d in docs])
+    assert found(QUERIES["op11_collocations"](spark, SF)) == want and want
+
+
+PHRASE_ROWS = "doc_id long, text string, lang string, prefix string, n long"
+
+
+def _phrases(spark, rows, **kw):
+    frame = spark.createDataFrame([(i, t, g, "clash", 1) for i, (g, t) in enumerate(rows)],
+                                  PHRASE_ROWS)
+    return found(collocations.mine(frame, **kw))
+
+
+def test_phrases_awkward_rows(spark):
+    rng = random.Random(11)
+    words = ["a", "b", "c", "d", "É", "é", "e\x00f", "g h", "$1", "\\n", "%", "_"]
+    rows = [(rng.choice(["en", None, "und", ""]), "".join(
+        rng.choice(words) + rng.choice([" ", "\t", "  ", ", ", ".\n", "; ", " ! "])
+        for _ in range(rng.randint(0, 60)))) for _ in range(60)]
+    rows += [("en", None), ("en", ""), (None, " \t.\r\n"), ("de", "New York City " * 40),
+             ("de", "new york " * 3), ("fr", "x " * 500), ("fr", "x " * 500)]
+    for least in (1, 3, 30):
+        want = plain_phrases(rows, least=least, top=25)
+        assert _phrases(spark, rows, least=least, top=25) == want
+    assert _phrases(spark, [], least=1) == {}
+
+
+def test_phrases_do_not_depend_on_chunks_or_bits(spark):
+    """Counts stay exact in small chunks, in slices of long texts, with a full bitmap."""
+    rng = random.Random(5)
+    rows = [("en", " ".join(rng.choice("abcdefgh") for _ in range(300)) + "." * (i % 2))
+            for i in range(20)]
+    want = plain_phrases(rows, least=4)
+    assert _phrases(spark, rows, least=4, chunk_tokens=64) == want
+    assert _phrases(spark, rows, least=4, pair_bits=64) == want
+
+
+def test_phrase_slices_end_with_a_piece(monkeypatch):
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 10)
+    text = b"one two three four.five six\nseven, eight nine ten eleven twelve"
+    parts = list(collocations.slices(text))
+    assert b"".join(parts) == text and len(parts) > 2
+    assert all(p[-1:] in b".\n," for p in parts[:-1])
+
+
+def test_phrase_scores_pass_64_bits(spark):
+    """The score of counts near 2**62 is exact."""
+    big = (1 << 62) - 1
+    row = spark.createDataFrame([(big, big, big - 7)], "a long, l long, r long")
+    got = row.select(F.expr("cast(2000000 as decimal(7,0)) * cast(a as decimal(20,0)) "
+                            "div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))")).first()[0]
+    assert got == 2000000 * big // (2 * big - 7)
+
+
+# -------------------------------------------------------------------------- 12: scores
+
+def plain_lm(rows):
+    """rows: (doc_id, text) -> (N, per row: held_out, tokens, known, base, exact-count score)."""
+    split = [(d, [*(w for w in brute.words((t or "").translate(LOWER))), ""]) for d, t in rows]
+
+    def held(d):
+        return zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
+    one, two, texts = Counter(), Counter(), 0
+    for d, ws in split:
+        if not held(d):
+            one.update(ws)
+            two.update(zip([" ", *ws], ws))
+            texts += 1
+    n, v = sum(one.values()), len(one)
+
+    def middle(c):
+        low = 1 << (c.bit_length() - 1) if c else 0
+        return (3 * low - 1) / 2 if c else 0.0
+    out = []
+    for d, ws in split:
+        base = sum(math.log10((one[w] + 1) / (n + v + 1)) for w in ws)
+        score = 0.0
+        for a, b in zip([" ", *ws], ws):
+            context, both = middle(texts if a == " " else one[a]), middle(two[a, b])
+            trust = lm.MOST_TRUST * context / (context + lm.TRUST_AT)
+            seen = min(both, context) / context if context else 0.0
+            score += math.log10(min(1.0, trust * seen + (1 - trust) * (middle(one[b]) + 1) / (n + v + 1)))
+        out.append((d, held(d), len(ws), sum(one[w] > 0 for w in ws), base, score))
+    return n, out
+
+
+def _checked(got, rows):
+    n, want = plain_lm(rows)
+    key = (lambda r: (r[0] is None, r[0] or 0, r[2], round(r[4], 6)))
+    got = sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.base_score, r.score)
+                  for r in got if r.train_tokens == n), key=key)
+    want = sorted(want, key=key)
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:4] == w[:4] and g[4] == pytest.approx(w[4], rel=1e-9, abs=1e-9)
+        assert g[5] == pytest.approx(w[5], rel=0.15, abs=1.0)
+    return got, want
+
+
+def test_lm_query(spark, docs):
+    rows = [(d["doc_id"], d["text"]) for d in docs]
+    got, want = _checked(QUERIES["op12_lm_score"](spark, SF).collect(), rows)
+    for held in (False, True):          # levels read too high move few words of all
+        assert sum(g[5] for g in got if g[1] == held) == pytest.approx(
+            sum(w[5] for w in want if w[1] == held), rel=0.02, abs=1.0)
+    held = [g for g in got if g[1]]
+    assert held and sum(g[5] for g in held) > sum(g[4] for g in held)  # better than the base
+
+
+LM_ROWS = "doc_id long, text string, score double, words string"
+
+
+def _scored(spark, rows, **kw):
+    docs = spark.createDataFrame([(*r, 1.0, "clash") for r in rows], LM_ROWS).withColumn(
+        "held_out", lm.held_out())
+    model, blocks = lm.train(docs.where(~F.col("held_out")), block_bytes=kw.pop("block_bytes", 64))
+    return lm.score(docs, model, blocks, **kw).collect(), model
+
+
+def test_lm_awkward_rows(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["A", "a", "b", "É", "é", "c\x00", " "])
+                         for _ in range(rng.randint(0, 30)))) for i in range(60)]
+    rows += [(None, "a b"), (None, None), (5, rows[5][1]), (200, ""), (201, " \t\r\n"),
+             (202, "word " * 30_000)]
+    got, _ = _scored(spark, rows)
+    _checked(got, rows)
+    # a word that is not at hand, or small chunks, or a pass per block: the same numbers
+    for kw in ({"known_words": 1}, {"chunk_tokens": 16}, {"shard_bytes": 64}):
+        other, _ = _scored(spark, rows, **kw)
+        _checked(other, rows)
+        assert sorted((str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in other) == sorted(
+            (str(r.doc_id), r.n_tokens, round(r.score, 6)) for r in got)
+
+
+def test_lm_without_training_text(spark):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    got, _ = _scored(spark, [(held, "a b")])
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in got] == [
+        (3, 0, 0, 0.0, 0.0)]
+    assert _scored(spark, [])[0] == []
+
+
+def test_lm_filter_reads_back_levels():
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 63, 20_000).astype(np.uint64))
+    counts = rng.geometric(0.01, len(keys))
+    blocks = 4
+    owner = lm.block_of(keys, blocks)
+    parts = [lm.build_block(keys[owner == b], counts[owner == b]) for b in range(blocks)]
+    whole = lm.Filter(blocks, 0, parts)
+    most = np.full(len(keys), 64)
+    got, want = whole.probe(keys, most), lm.levels_of(counts)
+    assert (got >= want).all() and (got == want).mean() > 0.98
+    assert (want == [int(c).bit_length() for c in counts]).all()
+    other = np.setdiff1d(rng.integers(0, 1 << 63, 20_000).astype(np.uint64), keys)
+    assert (whole.probe(other, np.full(len(other), 64)) > 0).mean() < 0.02
+    # a shard answers for its own blocks only
+    part = lm.Filter(blocks, 1, parts[1:3])
+    inside = (owner == 1) | (owner == 2)
+    assert (part.probe(keys, most) == np.where(inside, got, 0)).all()
+
+
+# ---------------------------------------------------------------------------- 13: cuts
+
+def plain_fim(doc_id, text):
+    text = text or ""
+    units = re.findall(r"[^\n]*\n|[^\n]+", text)
+    h = hashlib.sha256(f"7:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, _, h4 = (int(h[8 * i:8 * i + 8], 16) for i in range(4))
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")):
+        return n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    form = "spm" if h4 % 100 < 50 else "psm"
+    return n, form, len(p), len(m), (f"<S>{s}<P>{p}<M>{m}" if form == "spm"
+                                     else f"<P>{p}<S>{s}<M>{m}")
+
+
+def test_fim_query(spark, docs):
+    text = {d["doc_id"]: d["text"] for d in docs}
+    rows = QUERIES["op13_fim"](spark, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        n, form, p, m, out = plain_fim(r.doc_id, text[r.doc_id])
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars) == (n, form, p, m)
+        assert r.output_sha256 == brute.sha(out) and r.restored_sha256 == brute.sha(text[r.doc_id] or "")
+
+
+def test_fim_awkward_rows(spark):
+    texts = [None, "", "\n", "\n\n\n", "a", "a\nb", "é\n😀\nz", "<P>", "x <M> y\n", "<", "<S", "<M\n>",
+             "\r\n\r\n", "line\n" * 70_000, "<S\n" * 9, "\n" * 140_000 + "x", "P>\nS>\nM>\n"]
+    rows = [(i, t, "clash", "clash") for i in (0, 1, 2, 3, 4, 5, None) for t in texts]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, form string, other string")
+    made = fim.fill_in_middle(frame)
+    assert made.columns == ["doc_id", "other", "n", "form", "prefix_chars", "middle_chars", "output"]
+    got = Counter((r.doc_id, r.n, r.form, r.prefix_chars, r.middle_chars, r.output, r.text)
+                  for r in fim.restore(made).collect())
+    assert got == Counter((i, *plain_fim(i, t), t or "") for i, t, _, _ in rows)
+    assert fim.fill_in_middle(frame.limit(0)).collect() == []
+
+
+def test_fim_shares_and_marks(spark):
+    frame = spark.createDataFrame([(i, "a\nb\nc\n") for i in range(2000)], "doc_id long, text string")
+    made = fim.fill_in_middle(frame, fim_percent=30, spm_percent=80, marks=("[p]", "[s]", "[m]"))
+    forms = Counter(r.form for r in made.collect())
+    assert 0.25 < 1 - forms["plain"] / 2000 < 0.35 and forms["spm"] > 3 * forms["psm"] > 0
+    assert {r.text for r in fim.restore(made, marks=("[p]", "[s]", "[m]")).collect()} == {"a\nb\nc\n"}
+    for marks in (("<P>", "<P>", "<M>"), ("ab", "ba", "c"), ("", "b", "c"), ("abc", "b", "x")):
+        with pytest.raises(ValueError):
+            fim.fill_in_middle(frame, marks=marks)
+
+
+@pytest.mark.parametrize("make", [
+    lambda r: np.arange(5, 140_000), lambda r: np.arange(0, 400_000, 7),
+    lambda r: np.flatnonzero(r.random(300_000) < 0.5), lambda r: np.array([3]),
+    lambda r: np.flatnonzero(r.random(1 << 21) < 0.001),
+    lambda r: np.concatenate((np.arange(10), np.arange(65_530, 65_545), [1 << 20]))])
+def test_boundary_set_selects_what_a_sorted_list_has(make):
+    values = make(np.random.default_rng(4))
+    held = fim.BoundarySet(values)
+    assert len(held) == len(values)
+    for k in {0, len(values) - 1, *np.random.default_rng(9).integers(0, len(values), 300).tolist()}:
+        assert held.select(k) == values[k]
+    for k in (-1, len(values)):
+        with pytest.raises(IndexError):
+            held.select(k)
+
+
+def test_boundary_set_uses_every_container():
+    rng = np.random.default_rng(4)
+    kinds = {type(c) for c in fim.BoundarySet(np.concatenate((
+        np.arange(1000), (1 << 16) + np.flatnonzero(rng.random(1 << 16) < 0.5),
+        (2 << 16) + np.arange(0, 999, 9)))).containers}
+    assert kinds == {fim.RunContainer, fim.BitmapContainer, fim.ArrayContainer}
+    assert len(fim.BoundarySet(np.zeros(0, np.int64))) == 0
