@@ -12,7 +12,9 @@ beside the documented ones.
 ``{"min_stores": 40, "store_formats": ["Mahalla", "Supermarket"]}``.
 ``--as-of`` defaults to the current date of the machine that submits the batch. It is read
 once here, and every job uses that one value. The exit code is 2 when today's snapshot is not
-loaded, in which case nothing is written.
+loaded, in which case nothing is written, and 1 when a job failed: the others are written, and
+the same command run again does what is left (``--restart`` does everything again). Values that
+could not be read (``--raw``) and repeated dimension keys are reported.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ap.add_argument("--columns", default=None, help="JSON file: role -> source header -> field")
     ap.add_argument("--check-dimensions", action="store_true",
                     help="report duplicate dimension keys (they fan out results) before the run")
+    ap.add_argument("--restart", action="store_true",
+                    help="forget what an unfinished run of the same batch left")
     ap.add_argument("--explain", action="store_true",
                     help="print each job's formatted physical plan; run and write nothing")
     args = ap.parse_args(argv)
@@ -55,7 +59,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.columns:
         with open(args.columns, encoding="utf-8") as fh:
             columns = json.load(fh)
-    roles = load(spark, paths, raw=args.raw, columns=columns)
+    roles = load(spark, paths, raw=args.raw, columns=columns,
+                 observe=args.raw and not (args.explain or args.check_dimensions))
     overrides = {}
     if args.params:
         with open(args.params, encoding="utf-8") as fh:
@@ -79,13 +84,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             JOBS[name][0](roles, p).explain("formatted")
         return 0
     written = run(roles, p, args.out, jobs=names, must_exist=not args.create,
-                  display_labels=args.labels)
-    if not written:
+                  display_labels=args.labels, resume=not args.restart, spark=spark)
+    if not written.loaded:
         print(f"snapshot {p.as_of} not loaded; nothing written", file=sys.stderr)
         return 2
+    for role, fields in written.rejected.items():
+        for field, n in fields.items():
+            print(f"warning: {role}.{field}: {n} values could not be read", file=sys.stderr)
+    for role, n in written.fan_out.items():
+        if n:
+            print(f"warning: {role} has {n} duplicated key values; joins fan out", file=sys.stderr)
     for name, path in written.items():
         print(f"{name}\t{path}")
-    return 0
+    for name, error in written.failed.items():
+        print(f"failed: {name}: {error}", file=sys.stderr)
+    return 1 if written.failed else 0
 
 
 if __name__ == "__main__":

@@ -23,8 +23,6 @@ it would repeat each row) and SUM skips NULLs the same way at both levels.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,7 +61,7 @@ def sales_by_category_day(daily_sales: DataFrame, plu_cat: DataFrame, user_login
                     "user", "km", "ui_5", "ui_5_name", "sc_quantity"))
 
 
-def _per_plu(daily_sales: DataFrame, p: Params, measures) -> DataFrame:
+def per_plu_sums(daily_sales: DataFrame, p: Params, measures) -> DataFrame:
     """Sales summed per (day, plu) inside the window, one column per measure."""
     return (_window_sales(daily_sales, p).groupBy("calc_date", "plu")
             .agg(*[F.sum(m).alias(m) for m in measures]))
@@ -73,23 +71,20 @@ def _report_sums(daily_sales: DataFrame, plu_cat: DataFrame, user_login: DataFra
                  p: Params, measure: str, per_plu: DataFrame | None = None) -> DataFrame:
     """Unrounded day sums ``s14 .. s1`` and week sums ``w1`` (days 1-7), ``w2`` (days 8-14)."""
     if per_plu is None:
-        per_plu = _per_plu(daily_sales, p, [measure])
+        per_plu = per_plu_sums(daily_sales, p, [measure])
     per_plu = per_plu.select("calc_date", "plu", F.col(measure).alias("q"))
     joined = _with_categories(per_plu, plu_cat, user_login)
-    d, q, zero = F.col("calc_date"), F.col("q"), F.lit(Decimal(0))
-    sums = [F.sum(F.when(d == F.lit(p.day(k)), q).otherwise(zero)).alias(f"s{k}")
-            for k in range(14, 0, -1)]
-    sums.append(F.sum(F.when(d.between(F.lit(p.day(7)), F.lit(p.day(1))), q)
-                       .otherwise(zero)).alias("w1"))
-    sums.append(F.sum(F.when(d.between(F.lit(p.day(14)), F.lit(p.day(8))), q)
-                       .otherwise(zero)).alias("w2"))
+    def upto(name: str, newest: int, oldest: int):
+        span = f"calc_date between DATE'{p.day(oldest)}' and DATE'{p.day(newest)}'"
+        return F.expr(f"sum(case when {span} then q else 0BD end)").alias(name)
+    sums = [upto(f"s{k}", k, k) for k in range(14, 0, -1)] + [upto("w1", 1, 7), upto("w2", 8, 14)]
     return joined.groupBy(*REPORT_KEYS).agg(*sums)
 
 
 def day_matrix(daily_sales, plu_cat, user_login, p: Params, measure="sc_quantity") -> DataFrame:
     """The 14 daily sums per report key, rounded to one digit."""
     s = _report_sums(daily_sales, plu_cat, user_login, p, measure)
-    return s.select(*REPORT_KEYS, *[F.round(f"s{k}", 1).alias(f"d{k}") for k in range(14, 0, -1)])
+    return s.select(*REPORT_KEYS, *[F.expr(f"round(s{k}, 1) as d{k}") for k in range(14, 0, -1)])
 
 
 def _growth_columns():
@@ -110,7 +105,7 @@ def report_rows(daily_sales, plu_cat, user_login, p: Params, measure="sc_quantit
     """Matrix and growth rates per report key, one pass."""
     s = _report_sums(daily_sales, plu_cat, user_login, p, measure, per_plu)
     return s.select(*REPORT_KEYS,
-                    *[F.round(f"s{k}", 1).alias(f"d{k}") for k in range(14, 0, -1)],
+                    *[F.expr(f"round(s{k}, 1) as d{k}") for k in range(14, 0, -1)],
                     *_growth_columns())
 
 
@@ -146,7 +141,7 @@ def dbd_sections(daily_sales, plu_cat, user_login, p: Params,
     branch from that one aggregate (its exchange is reused), so a reader of both scans the
     sales table once instead of twice. The batch writes each report as its own section, in order.
     """
-    shared = _per_plu(daily_sales, p, list(MEASURES.values()))
+    shared = per_plu_sums(daily_sales, p, list(MEASURES.values()))
     parts = [dbd_report(daily_sales, plu_cat, user_login, p, measure, ordered=False,
                         per_plu=shared).withColumn(section_col, F.lit(kind))
              for kind, measure in MEASURES.items()]

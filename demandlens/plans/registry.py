@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 from demandlens.functions.predicates import store_kept
 from demandlens.operators import antipeaks as ap
 from demandlens.operators import cuts, enrich, forecast, peaks, sales, stock
-from demandlens.plans import jobs
+from demandlens.plans import daily, jobs
+from demandlens.plans.stage import roles_of, stage, with_candidates
+from demandlens.session import scratch_folder
+from demandlens.sinks.report import read_section, write_section
 from demandlens.sources.testdata import FIXTURE_PARAMS, derive
 
 P = FIXTURE_PARAMS
@@ -128,8 +131,57 @@ BODIES: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
     "dbd_sections": lambda r: jobs.dbd_both(r, P),
 }
 
+# --- the batch's mechanisms: the same rows by way of staged inputs, daily partials or a section ---
+
+def staged_job(name: str) -> Query:
+    """A job over inputs that were staged in one pass each, as the batch runs it."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_folder(spark, "staged")
+        staged = stage(derive(spark, sf_dir, P.as_of), P, folder, roles_of([name]))
+        if name == "old_peaks":
+            staged = with_candidates(staged, P)
+        return as_doubles(jobs.JOBS[name][0](staged, P))
+    return run
+
+
+def daily_job(name: str, kind: str) -> Query:
+    """A job over daily partials. A first batch, a day earlier, reads its whole window; the
+    second reads the one day that is new and one that is replayed."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_folder(spark, "daily")
+        roles = derive(spark, sf_dir, P.as_of)
+        daily.refresh(spark, roles, P.replace(as_of=P.day(1)), folder, kind)
+        daily.refresh(spark, roles, P, folder, kind, again=[P.day(5)])
+        kept = {**roles, daily.KINDS[kind][1]: daily.partial(spark, P, folder, kind)}
+        return as_doubles(jobs.JOBS[name][0](kept, P))
+    return run
+
+
+def written_job(name: str) -> Query:
+    """A job's section, replaced once and read back."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_folder(spark, "report")
+        df = jobs.JOBS[name][0](derive(spark, sf_dir, P.as_of), P)
+        write_section(df.limit(0), path, "data", must_exist=False)
+        write_section(df, path, "data")
+        return as_doubles(read_section(spark, path, "data"))
+    return run
+
+
+MECHANISMS: dict[str, tuple[Query, str]] = {        # query, and the job whose rows it gives
+    "staged_system_antipeaks": (staged_job("system_antipeaks"), "system_antipeaks"),
+    "staged_old_peaks": (staged_job("old_peaks"), "old_peaks"),
+    "staged_new_peaks": (staged_job("new_peaks"), "new_peaks"),
+    "staged_antipeaks": (staged_job("antipeaks"), "antipeaks"),
+    "staged_dbd_reg": (staged_job("dbd_reg"), "dbd_reg"),
+    "daily_system_antipeaks": (daily_job("system_antipeaks", "history"), "system_antipeaks"),
+    "daily_dbd_total": (daily_job("dbd_total", "sales"), "dbd_total"),
+    "section_dbd_reg": (written_job("dbd_reg"), "dbd_reg"),
+}
+
 # registered queries: each body over the roles derived from the test tables in ``sf_dir``
-QUERIES: dict[str, Query] = {name: _q(body) for name, body in BODIES.items()}
+QUERIES: dict[str, Query] = {**{name: _q(body) for name, body in BODIES.items()},
+                             **{name: query for name, (query, _) in MECHANISMS.items()}}
 
 PIPELINES = ("current_snapshot", "system_antipeaks", "old_peaks", "new_peaks", "antipeaks",
              "dbd_total", "dbd_reg")

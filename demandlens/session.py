@@ -7,6 +7,7 @@ helpers here set defaults only where a setting is still unset.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +62,11 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below ``spark.checkpoint.dir``, which driver and executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,22 +1,32 @@
 """Report sink.
 
 A report is a directory (one per workbook) and each job's result is one section in it, the
-folder ``section=<name>``. Writing a section replaces that folder whole, whatever the number of
-rows: an empty result leaves an empty section with its schema, so a clean day never shows
-yesterday's rows. Sibling sections (``reg`` and ``total`` of the sales report) are not touched.
-
-Rows are written to a new folder first, by a normal distributed Spark write, which then takes
-the section's place. A job that fails or is retried leaves the old section as it was.
+folder ``section=<name>``. Sibling sections (``reg`` and ``total`` of the sales report) are not
+touched, and an empty result leaves an empty section with its schema, so a clean day never shows
+yesterday's rows.
+
+A section's rows lie in versions, folders ``v-<id>`` of it, written by normal distributed Spark
+writes. The file ``_current`` names the version that counts. It is one small file, replaced by
+one rename after the version is complete: a reader sees the old rows or the new ones and never
+none or a mixture, whenever a writer stops. The version before stays for readers that have
+opened it; older ones are removed. What writers that crashed left behind goes by ``vacuum``.
+
+Rows keep their order over any number of files: a range-partitioned sort hands out rows in
+order of partition and place, so that ``monotonically_increasing_id`` is a position for free;
+it is stored with the rows and ``read_section`` sorts by it.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandlens.sinks.files import at, exists, listed, read_json, remove, write_json
+
 # --- fixed values: display headers of the report columns ------------------------------------
 PRODUCT_LABELS = {
     "manager": "Категорийный_менеджм", "name": "Название",
@@ -65,33 +75,84 @@ def display(df: DataFrame, labels: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(labels.get(c, c)) for c in df.columns])
 
 
-def _at(spark: SparkSession, path: str):
-    """The file system of ``path`` and the path in it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _at(spark, path)
-    return bool(fs.exists(where))
-
-
 def create_report(spark: SparkSession, path: str) -> None:
     """Create an empty report; a report that exists is left as it is."""
-    fs, where = _at(spark, path)
+    fs, where = at(spark, path)
     fs.mkdirs(where)
 
 
+POSITION = "_position"           # stored order of the rows
+POINTER = "_current"
+KEPT = 1                         # versions kept beside the current one
+
+
 def section_path(path: str, section: str) -> str:
     return f"{path}/section={section}"
 
 
+def _pointer(spark: SparkSession, target: str) -> dict | None:
+    """What ``_current`` says: the version, and the versions before it, newest first."""
+    return read_json(spark, f"{target}/{POINTER}")
+
+
+def write_version(df: DataFrame, target: str, fmt: str = "parquet") -> str:
+    """Write ``df`` as a new version of the section folder ``target``; it does not count yet."""
+    version = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    df.write.format(fmt).save(f"{target}/{version}")
+    return version
+
+
+def publish(spark: SparkSession, target: str, version: str) -> None:
+    """Make a complete version the one that counts, and drop versions beyond the kept ones."""
+    held = _pointer(spark, target)
+    before = [held["version"], *held["before"]] if held else []
+    write_json(spark, f"{target}/{POINTER}", {"version": version, "before": before[:KEPT]})
+    for old in before[KEPT:]:
+        remove(spark, f"{target}/{old}")
+
+
+def vacuum(spark: SparkSession, path: str, section: str, older_than_s: float = 86_400) -> list[str]:
+    """Remove versions that nothing names and that are older than a writer takes."""
+    target = section_path(path, section)
+    held = _pointer(spark, target) or {"version": None, "before": []}
+    named = {held["version"], *held["before"], POINTER}
+    gone = []
+    for status in listed(spark, target):
+        name = status.getPath().getName()
+        old = time.time() - status.getModificationTime() / 1000 > older_than_s
+        if name not in named and name.startswith(("v-", "_")) and old:
+            remove(spark, f"{target}/{name}")
+            gone.append(name)
+    return gone
+
+
+def current_version(spark: SparkSession, path: str, section: str) -> str | None:
+    """Path of the version that counts, or None."""
+    target = section_path(path, section)
+    held = _pointer(spark, target)
+    return f"{target}/{held['version']}" if held else None
+
+
+def drop_section(spark: SparkSession, path: str, section: str) -> None:
+    """Remove a section: its pointer first, so that no reader starts on half a section."""
+    target = section_path(path, section)
+    remove(spark, f"{target}/{POINTER}")
+    remove(spark, target)
+
+
+def sections(spark: SparkSession, path: str) -> list[str]:
+    """Names of the sections that have a version that counts."""
+    names = [s.getPath().getName() for s in listed(spark, path)]
+    return sorted(n.removeprefix("section=") for n in names if n.startswith("section=")
+                  and exists(spark, f"{path}/{n}/{POINTER}"))
+
+
 def write_section(df: DataFrame, path: str, section: str, *, must_exist: bool = True,
                   labels: dict[str, str] | None = None, fmt: str = "parquet") -> str:
     """Replace section ``section`` of the report at ``path`` and leave the others alone.
 
     The report must exist, as in the monitored batch, where a missing workbook stops the job;
-    ``must_exist=False`` creates it.
+    ``must_exist=False`` creates it. Returns the path of the version written.
     """
     spark = df.sparkSession
     if must_exist and not exists(spark, path):
@@ -100,17 +161,14 @@ def write_section(df: DataFrame, path: str, section: str, *, must_exist: bool =
     if labels:
         out = display(out, labels)
     target = section_path(path, section)
-    draft = f"{path}/_draft-{uuid.uuid4().hex}"
-    out.write.format(fmt).save(draft)
-    fs, new = _at(spark, draft)
-    old = _at(spark, target)[1]
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"section could not be put in place: {target}")
-    return target
+    version = write_version(out.withColumn(POSITION, F.monotonically_increasing_id()), target, fmt)
+    publish(spark, target, version)
+    return f"{target}/{version}"
 
 
 def read_section(spark: SparkSession, path: str, section: str, fmt: str = "parquet") -> DataFrame:
-    """A section's rows. They come in the order written while the section is one file, which a
-    report's size makes the rule; larger ones are ordered by file."""
-    return spark.read.format(fmt).load(section_path(path, section))
+    """A section's rows, in the order in which they were written."""
+    where = current_version(spark, path, section)
+    if where is None:
+        raise FileNotFoundError(f"no section {section} in {path}")
+    return spark.read.format(fmt).load(where).orderBy(POSITION).drop(POSITION)

@@ -7,13 +7,17 @@ headers) into that schema once, at load, so no query relies on implicit coercion
 Keys are text, as stored at the source: ``007`` and ``7`` are two products. Measures are
 ``DECIMAL(18,3)``: sums are exact, so a rounded report cell does not depend on the order in
 which rows arrive.
+
+A value that cannot be read as its field's type becomes NULL. Jobs then filter such rows away, so
+they are counted where they are made: ``load(..., raw=True, observe=True)`` attaches counters to
+the frames, which the pass that writes them (a batch's staging) fills without a second one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,26 +109,58 @@ def _sources(df: DataFrame, role: str, columns: Mapping[str, str] | None,
     return {n: found.get(n) for n in SCHEMAS[role].fieldNames()}
 
 
+class Observed:
+    """Values of a role that ``conform`` rejected, by field; known once the frame has been written."""
+
+    def __init__(self):
+        self.observation = Observation()
+
+    def counts(self) -> dict[str, int]:
+        """``rejected_<field>`` -> number of values."""
+        return {k: int(v or 0) for k, v in self.observation.get.items()}
+
+
+class Roles(dict):
+    """Role -> frame, as loaded; ``observed`` has the counters of roles that carry some."""
+
+    def __init__(self, *args, **kwargs):
+        super().__init__(*args, **kwargs)
+        self.observed: dict[str, Observed] = {}
+
+
+def _is_given(c: Column, source: T.DataType) -> Column:
+    """A value that means something: neither NULL nor blank text."""
+    return F.trim(c) != "" if isinstance(source, T.StringType) else c.isNotNull()
+
+
 def conform(df: DataFrame, role: str, columns: Mapping[str, str] | None = None,
-            optional: Iterable[str] = ()) -> DataFrame:
+            optional: Iterable[str] = (), observed: Observed | None = None) -> DataFrame:
     """Project ``df`` onto the role's schema: map headers, parse dates, rtrim codes, cast.
 
-    A missing column raises, unless it is named in ``optional``; then it is NULL.
+    A missing column raises, unless it is named in ``optional``; then it is NULL. A value that
+    does not fit its type is NULL as well, and counted by ``observed``.
     """
     trimmed = _TRIMMED.get(role, ())
-    cols = []
+    cols, rejected = [], []
     for field, src in zip(SCHEMAS[role].fields, _sources(df, role, columns, optional).values()):
         if src is None:
             cols.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
-        c = F.col(f"`{src.name}`")
+        raw = F.col(f"`{src.name}`")
         if isinstance(field.dataType, T.DateType):
-            c = _as_date(c, src.dataType)
-        else:
-            c = c.cast(field.dataType)
+            c = _as_date(raw, src.dataType)
+        elif isinstance(field.dataType, T.StringType):
+            c = raw.cast(field.dataType)
             if field.name in trimmed:
                 c = F.rtrim(c)
+        else:
+            c = raw if src.dataType == field.dataType else raw.try_cast(field.dataType)
+        if src.dataType != field.dataType and not isinstance(field.dataType, T.StringType):
+            rejected.append(F.count_if(_is_given(raw, src.dataType) & c.isNull())
+                            .alias(f"rejected_{field.name}"))
         cols.append(c.alias(field.name))
+    if observed is not None and rejected:
+        df = df.observe(observed.observation, *rejected)
     return df.select(*cols)
 
 
@@ -141,7 +177,7 @@ def project(df: DataFrame, role: str, columns: Mapping[str, str] | None = None,
 
 def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", raw: bool = False,
          columns: Mapping[str, Mapping[str, str]] | None = None,
-         optional: Mapping[str, Iterable[str]] | None = None) -> dict[str, DataFrame]:
+         optional: Mapping[str, Iterable[str]] | None = None, observe: bool = False) -> Roles:
     """Read each role from ``paths`` (role -> path or table name).
 
     A value containing ``/`` (or a URI) is a path; any other value is a catalog table name,
@@ -150,15 +186,32 @@ def load(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", ra
     ``conform``; otherwise they are projected onto the declared schema, which keeps a typed
     table's bucketing usable. ``columns`` (role -> source name -> field) adds to
     ``SOURCE_COLUMNS``; ``optional`` (role -> fields) lists columns that may be absent.
+    ``observe`` counts what ``conform`` rejects; it is meant for a batch that stages its roles,
+    since counters keep filters above them from the scan.
     """
-    out = {}
+    out = Roles()
     for role, where in paths.items():
         df = spark.read.format(fmt).load(where) if "/" in where else spark.table(where)
-        shape = conform if raw else project
-        out[role] = shape(df, role, (columns or {}).get(role), (optional or {}).get(role, ()))
+        named, absent = (columns or {}).get(role), (optional or {}).get(role, ())
+        if not raw:
+            out[role] = project(df, role, named, absent)
+            continue
+        seen = Observed() if observe and _can_reject(df, role, named, absent) else None
+        out[role] = conform(df, role, named, absent, seen)
+        if seen:
+            out.observed[role] = seen
     return out
 
 
+def _can_reject(df: DataFrame, role: str, columns: Mapping[str, str] | None,
+                optional: Iterable[str]) -> bool:
+    """Whether a field has another type in the source than in the role, and none that takes all."""
+    found = _sources(df, role, columns, optional)
+    return any(src is not None and src.dataType != field.dataType
+               and not isinstance(field.dataType, T.StringType)
+               for field, src in ((f, found[f.name]) for f in SCHEMAS[role].fields))
+
+
 def load_jdbc(spark: SparkSession, url: str, tables: Mapping[str, str],
               partitioning: Mapping[str, tuple[str, object, object, int]] | None = None,
               properties: Mapping[str, str] | None = None,
