@@ -249,20 +249,31 @@ def near_duplicates(df: DataFrame, size: int = SHINGLE_WORDS,
 
 
 def keep_one(df: DataFrame, size: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """The rows of ``df`` that stay: per component, one row of its smallest doc_id.
+    """The rows of ``df`` that stay: one per component, of its smallest doc_id.
 
-    A component that has no doc_id at all keeps one row of its smallest fingerprint. Kept rows
-    are whole, with all columns.
+    Where rows share an id but not a component, each component keeps its own. A component
+    without any doc_id keeps one row of its smallest fingerprint. Kept rows are whole, with all
+    columns.
     """
     classes = near_duplicates(df, size, most_bits)
-    keep = classes.where("doc_id = component_id").select("doc_id").distinct()
-    named = (df.where("doc_id is not null").join(keep, "doc_id", "left_semi")
-             .dropDuplicates(["doc_id"]))
-    nameless = with_fingerprint(df.where("doc_id is null"), size)
-    roots = classes.where("component_id is null and fp = root").select(
-        F.col("fp").alias(OWN)).distinct()
-    other = nameless.join(roots, OWN, "left_semi").dropDuplicates([OWN]).select(*df.columns)
-    return named.select(*df.columns).unionByName(other)
+    # per component the smallest id and, among its rows, the smallest fingerprint
+    kept = written(classes.groupBy("root").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp")).alias("k"))
+        .select("k.doc_id", F.col("k.fp").alias(OWN)), "simhash-kept")
+    # an id of one row needs no fingerprint to be found again
+    repeated = written(classes.where("doc_id is not null").groupBy("doc_id")
+                       .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"),
+                       "simhash-repeated")
+    named = df.where("doc_id is not null")
+    single = (named.join(kept.where("doc_id is not null").join(repeated, "doc_id", "left_anti")
+                         .select("doc_id"), "doc_id", "left_semi"))
+    several = (with_fingerprint(named.join(repeated, "doc_id", "left_semi"), size)
+               .join(kept, ["doc_id", OWN], "left_semi").dropDuplicates(["doc_id", OWN]))
+    nameless = (with_fingerprint(df.where("doc_id is null"), size)
+                .join(kept.where("doc_id is null").select(OWN), OWN, "left_semi")
+                .dropDuplicates([OWN]))
+    return (single.select(*df.columns).unionByName(several.select(*df.columns))
+            .unionByName(nameless.select(*df.columns)))
 
 
 def with_fingerprint(df: DataFrame, size: int) -> DataFrame:
