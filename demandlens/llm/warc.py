@@ -6,11 +6,13 @@ The reader takes the dictionary from the leading frame, decodes frame by frame,
 each record: version line, mandatory headers, unique names, Content-Length against the block,
 the CRLF CRLF end, the payload digest of a response, and that a frame holds one record only.
 
-``write_archives`` writes one archive per task of bounded size through ``pyarrow.fs`` into
-the shared folder: to a name of the attempt first, then moved to its final name, so a task
-that is run again replaces its file. ``read_archives`` reads archives with Spark's
-``binaryFile`` source, so they may lie in any store that Spark reads; an archive is one row,
-which is why the writer bounds its size.
+``write_archives`` writes archives of bounded size through ``pyarrow.fs`` into the shared folder,
+in two steps. Tasks write drafts, under names of their attempt, where no reader looks; the list of
+drafts of the attempts that succeeded is written as a table. Then these drafts, and no others,
+move to their final names. An attempt that failed, or ran twice, with whatever rows in whatever
+order, leaves drafts that nobody lists; they are removed. ``read_archives`` reads archives with
+Spark's ``binaryFile`` source, so they may lie in any store that Spark reads; an archive is one
+row, which is why the writer bounds its size.
 
 Revisits: of records with equal payloads of at least ``LEAST_SHARED`` bytes, the one with the
 smallest id is the response; the others are revisit records without a payload that name it.
@@ -37,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm._common import Rows, scratch_path, table
+from demandlens.llm._common import Rows, scratch_path, table, written
 
 SKIPPABLE = 0x184D2A5D           # fixed value of the format
 VERSION = b"WARC/1.1"
@@ -203,44 +205,76 @@ def mark_revisits(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
                     F.when(other, F.col("first_id")).alias("refers_to")))
 
 
+DRAFTS = "_drafts"               # hidden from Spark's readers
+DRAFT_SCHEMA = pa.schema([("draft", pa.string()), ("archive", pa.string()),
+                          ("records", pa.int64()), ("bytes", pa.int64())])
+DRAFT_DDL = "draft string, archive string, records long, bytes long"
+
+
+def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a URI as Spark names it."""
+    return pyarrow.fs.FileSystem.from_uri("s3" + uri[3:] if uri.startswith("s3a:") else uri)
+
+
+def write_drafts(rows: Iterator[tuple], uri: str, part: str, attempt: int,
+                 archive_bytes: int) -> Iterator[tuple]:
+    """Archives of one task attempt: ``(draft, archive, records, bytes)`` for each."""
+    store, base = _store(uri)
+    store.create_dir(f"{base}/{DRAFTS}", recursive=True)
+
+    def put(held: list[bytes], number: int) -> tuple:
+        name = f"part-{part}-{number:05d}.warc.zst"
+        draft, data = f"{DRAFTS}/{attempt}-{name}", pack(held)
+        with store.open_output_stream(f"{base}/{draft}") as out:
+            out.write(data)
+        return draft, name, len(held), len(data)
+    held: list[bytes] = []
+    size = number = 0
+    for page_id, url, payload, digest, kind, refers_to in rows:
+        held.append(build_record(page_id, url, kind, refers_to, digest, payload))
+        size += len(held[-1])
+        if size >= archive_bytes:
+            yield put(held, number)
+            held, size, number = [], 0, number + 1
+    if held:
+        yield put(held, number)
+
+
+def publish(uri: str, draft: str, name: str) -> None:
+    """Move a draft to its final name; moving it again changes nothing."""
+    store, base = _store(uri)
+    try:
+        store.move(f"{base}/{draft}", f"{base}/{name}")
+    except OSError:
+        if store.get_file_info(f"{base}/{name}").type != pyarrow.fs.FileType.File:
+            raise
+
+
 def write_archives(records: DataFrame, uri: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write what ``mark_revisits`` made; returns ``(archive, records, bytes)`` per file written."""
-    schema = pa.schema([("archive", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
     run_id = uuid.uuid4().hex[:8]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = pyarrow.fs.FileSystem.from_uri(uri)
-        store.create_dir(base, recursive=True)
+    def draft(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        held: list[bytes] = []
-        size = number = 0
-
-        def put() -> pa.RecordBatch:
-            nonlocal held, size, number
-            name = f"part-{run_id}-{context.partitionId():06d}-{number:05d}.warc.zst"
-            data = pack(held)
-            draft = f"{base}/.{name}.{context.taskAttemptId()}"
-            with store.open_output_stream(draft) as out:
-                out.write(data)
-            store.move(draft, f"{base}/{name}")
-            made = pa.RecordBatch.from_arrays(
-                [pa.array([name]), pa.array([len(held)], pa.int64()),
-                 pa.array([len(data)], pa.int64())], schema=schema)
-            held, size, number = [], 0, number + 1
-            return made
-
+        rows = (row for batch in batches for k in range(0, batch.num_rows, 256)
+                for row in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns)))
+        for made in write_drafts(rows, uri, f"{run_id}-{context.partitionId():06d}",
+                                 context.taskAttemptId(), archive_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in
+                                              zip(made, DRAFT_SCHEMA)], schema=DRAFT_SCHEMA)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                for row in zip(*(c.to_pylist() for c in batch.slice(k, 256).columns)):
-                    page_id, url, payload, digest, kind, refers_to = row
-                    held.append(build_record(page_id, url, kind, refers_to, digest, payload))
-                    size += len(held[-1])
-                    if size >= archive_bytes:
-                        yield put()
-        if held:
-            yield put()
-    return records.select("page_id", "url", "payload", "payload_digest", "record_type",
-                          "refers_to").mapInArrow(run, "archive string, records long, bytes long")
+            for name, final in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                publish(uri, name, final)
+            yield batch
+    drafts = written(records.select("page_id", "url", "payload", "payload_digest", "record_type",
+                                    "refers_to").mapInArrow(draft, DRAFT_DDL), "warc-drafts")
+    archives = written(drafts.mapInArrow(move, DRAFT_DDL), "warc-archives")
+    store, base = _store(uri)
+    if store.get_file_info(f"{base}/{DRAFTS}").type == pyarrow.fs.FileType.Directory:
+        store.delete_dir(f"{base}/{DRAFTS}")
+    return archives.select("archive", "records", "bytes")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -262,9 +296,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolve(records: DataFrame) -> DataFrame:
-    """Give every record the length of its full payload: revisits take their response's."""
-    measured = records.withColumn("payload_bytes", F.octet_length("payload").cast("long")).drop(
-        "payload")
+    """Give every record the length of its full payload: revisits take their response's.
+
+    The archives are decoded once; what is measured goes to a table.
+    """
+    measured = written(records.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+                       .drop("payload"), "warc-measured")
     found = (measured.where("record_type = 'response'")
              .groupBy(F.col("page_id").alias("r_id"), F.col("payload_digest").alias("r_digest"))
              .agg(F.max("payload_bytes").alias("r_bytes")))
