@@ -10,15 +10,16 @@ Both models come from the table itself, from all its rows, by Spark aggregations
 * unigrams: exact counts of the words, not numbers, of page titles, of paths and of hosts'
   hyphenated parts. They stay a table: the substrings of the distinct runs of letters in urls
   are joined to it, so an unseen string is unseen however many words there are;
-* naive Bayes: token counts per class in a fixed number of hashed cells (``CELLS``). Classes are weak labels: a url
-  whose segmented host has a word of ``SEED_WORDS`` is an example of "block", others of
-  "allow".
-
-The array of log odds (``CELLS`` numbers) is what the driver holds and broadcasts.
+* naive Bayes: exact token counts per class. They stay a table too: the tokens of a url, with
+  how often it has them, are joined to it and summed per url. Classes are weak labels, the only ones
+  that a table of urls offers: a url whose segmented host has a word of ``SEED_WORDS`` is an
+  example of "block", others of "allow". What the classifier adds is the tokens that go with those
+  words, on hosts that have none of them.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, no rule, and
-verdict allow. Repeated rows get equal results. Empty tables give empty results. Very long
-hosts are split in linear time, since no word is longer than ``LONGEST``.
+verdict allow. Repeated rows get equal results. Empty tables give empty results. Very long runs of
+letters are split in linear time and space, since no word is longer than ``LONGEST``: their
+substrings carry a number in place of the run.
 """
 
 from __future__ import annotations
@@ -27,9 +28,7 @@ import math
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,7 +45,6 @@ SEED_WORDS = frozenset(("adult", "ads", "bet", "bets", "casino", "gambling", "gr
 PRIOR_WORDS = (*sorted(SEED_WORDS), "blog", "cheap", "example", "farm", "free", "m", "win", "www",
                "x")
 PRIOR_COUNT = 50
-CELLS = 1 << 18
 LONGEST = 20
 MOST_HELD = 100_000              # words that a task counts before it hands them on
 UNKNOWN_BASE = 10.0              # an unseen word of n letters counts as 1 / (total * 10 ** n)
@@ -82,10 +80,6 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 PARTS = re.compile(r"[a-z]+|[0-9]+|[^\x00-\x7f]+")
 
 
-def cell(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode(), 5) & (CELLS - 1)
-
-
 def split_letters(letters: str, counts: dict[str, int], total: float) -> list[str]:
     """The split of least cost; ``counts`` has the known substrings, ``total`` is a logarithm."""
     best, back = [0.0], [0]
@@ -114,11 +108,13 @@ def is_letters(part: str) -> bool:
     return part.isascii() and part.isalpha()
 
 
-def features(host_words: str, path_words: str) -> tuple[list[str], list[str]]:
-    """Host words and path words; the path's are marked, numbers are one token."""
-    own = host_words.split(" ") if host_words else []
-    rest = path_words.split(" ") if path_words else []
-    return own, ["/" + ("0" if w.isdigit() else w) for w in rest]
+def features(own: str = "own", rest: str = "rest") -> Column:
+    """Host words and path words; the path's are marked, numbers there are one token."""
+    def listed(column: str) -> Column:
+        return F.filter(F.split(column, " "), lambda w: w != "")
+    marked = F.transform(listed(rest), lambda w: F.concat(
+        F.lit("/"), F.when(w.rlike(r"\A[0-9]+\z"), "0").otherwise(w)))
+    return F.concat(listed(own), marked)
 
 
 # ----------------------------------------------------------------------- models
@@ -164,24 +160,26 @@ def splits(parted: DataFrame, counts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["part"])
                 seen = set()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["part"])
-    parts = written(parted.select("host", "path").mapInArrow(run_parts, "part string").distinct(),
-                    "url-letters")
-    pair = pa.schema([("part", pa.string()), ("word", pa.string())])
+    parts = written(parted.select("host", "path").mapInArrow(run_parts, "part string").distinct()
+                    .withColumn("id", F.monotonically_increasing_id()), "url-letters")
+    pair = pa.schema([("id", pa.int64()), ("word", pa.string())])
 
     def run_subs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(pair)
         for batch in batches:
-            for part in batch.column(0).to_pylist():
-                subs = {part[i:j] for i in range(len(part))
-                        for j in range(i + 1, min(len(part), i + LONGEST) + 1)}
-                for sub in subs:
-                    out.add(part, sub, weight=len(part) + len(sub))
-                    if out.full:
-                        yield out.take()
+            for part, number in zip(*(c.to_pylist() for c in batch.columns)):
+                for k in range(0, len(part), MOST_HELD // LONGEST):
+                    starts = range(k, min(len(part), k + MOST_HELD // LONGEST))
+                    for sub in {part[i:j] for i in starts
+                                for j in range(i + 1, min(len(part), i + LONGEST) + 1)}:
+                        out.add(number, sub, weight=len(sub))
+                        if out.full:
+                            yield out.take()
         yield from out.rest()
-    held = parts.mapInArrow(run_subs, "part string, word string").join(counts, "word")
-    known = held.groupBy("part").agg(F.collect_list("word").alias("words"),
-                                     F.collect_list("n").alias("ns"))
+    held = (parts.select("part", "id").mapInArrow(run_subs, "id long, word string").distinct()
+            .join(counts, "word"))
+    known = held.groupBy("id").agg(F.collect_list("word").alias("words"),
+                                   F.collect_list("n").alias("ns"))
     total = math.log(float(counts.agg(F.sum("n")).first()[0]) + 1.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,7 +189,7 @@ def splits(parted: DataFrame, counts: DataFrame) -> DataFrame:
                      for p, w, n in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(split, pa.string())],
                                              ["part", "split"])
-    return written(parts.join(known, "part", "left").select("part", "words", "ns")
+    return written(parts.join(known, "id", "left").select("part", "words", "ns")
                    .mapInArrow(run, "part string, split string"), "url-splits")
 
 
@@ -223,38 +221,22 @@ def with_words(parted: DataFrame, split: DataFrame) -> DataFrame:
                    "url-words")
 
 
-def log_odds(worded: DataFrame) -> tuple[np.ndarray, float]:
-    """Per cell, the log odds of "block" given a token there; and the prior's."""
-    schema = pa.schema([("cell", pa.int32()), ("n", pa.int64()), ("bad", pa.int64())])
+def log_odds(tokens: DataFrame) -> tuple[DataFrame, float]:
+    """``(token, odds)``: log odds of "block" given a token, with add-one counts; and the prior's.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, list[int]] = {}
-        for batch in batches:
-            for words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own, rest = features(*words)
-                bad = not SEED_WORDS.isdisjoint(own)
-                for c in (-1, *map(cell, own), *map(cell, rest)):
-                    n = seen.setdefault(c, [0, 0])
-                    n[0] += 1
-                    n[1] += bad
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.int32()),
-             pa.array([n[0] for n in seen.values()], pa.int64()),
-             pa.array([n[1] for n in seen.values()], pa.int64())], schema=schema)
-    # cell -1 counts urls; the others' rows number at most CELLS
-    rows = (worded.select("own", "rest").mapInArrow(run, "cell int, n long, bad long")
-            .groupBy("cell").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    good, bad = np.zeros(CELLS), np.zeros(CELLS)
-    urls, bad_urls = 0, 0
-    for row in rows.toLocalIterator():
-        if row.cell < 0:
-            urls, bad_urls = row.n, row.bad
-        else:
-            bad[row.cell], good[row.cell] = row.bad, row.n - row.bad
-    used = max(1, int(((good + bad) > 0).sum()))
-    odds = (np.log((bad + 1) / (bad.sum() + used)) - np.log((good + 1) / (good.sum() + used)))
-    odds[(good + bad) == 0] = 0.0
-    return odds, math.log((bad_urls + 1) / (urls - bad_urls + 1))
+    ``tokens`` has a row per url: ``tokens`` (array) and ``bad``, its weak label.
+    """
+    spread = tokens.select("bad", F.explode("tokens").alias("token"))
+    counts = written(spread.groupBy("token").agg(
+        F.count_if(F.col("bad")).alias("bad"), F.count_if(~F.col("bad")).alias("good")), "url-tokens")
+    all_bad, all_good, used = counts.agg(F.sum("bad"), F.sum("good"), F.count(F.lit(1))).first()
+    urls, bad_urls = tokens.agg(F.count(F.lit(1)), F.count_if(F.col("bad"))).first()
+
+    def share(n: str, total: int | None) -> Column:
+        return (F.col(n) + 1) / F.lit(float((total or 0) + max(used, 1)))
+    odds = F.log(share("bad", all_bad)) - F.log(share("good", all_good))
+    return (counts.select("token", odds.alias("odds")),
+            math.log((bad_urls + 1) / (urls - bad_urls + 1)))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -267,32 +249,21 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
         F.monotonically_increasing_id().alias("row")),
         "url-parts")
     worded = with_words(parted, splits(parted, unigrams(parted)))
-    odds, prior = log_odds(worded)
-    context = pages.sparkSession.sparkContext
-    model = context.broadcast((odds, prior))
+    seeds = F.array(*[F.lit(w) for w in sorted(SEED_WORDS)])
+    tokens = (worded.withColumn("tokens", features())
+              .withColumn("bad", F.arrays_overlap(F.split("own", " "), seeds)))
+    odds, prior = log_odds(tokens)
+    # a token counts as often as a url has it; a frequent one is joined to a single row of odds
+    sums = (tokens.select("row", F.explode("tokens").alias("token"))
+            .groupBy("row", "token").agg(F.count(F.lit(1)).alias("n")).join(odds, "token")
+            .groupBy("row").agg(F.round(F.sum(F.col("n") * F.col("odds")), 9).alias("own_odds")))
     rule, decided = fitting_rule(F.col("host"), F.col("path"), rules)
-    schema = pa.schema([("page_id", pa.int64()), ("host", pa.string()), ("path", pa.string()),
-                        ("rule", pa.string()), ("decided", pa.string()),
-                        ("words", pa.string()), ("log_odds", pa.float64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        odds, prior = model.value
-        out = Rows(schema)
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                own, rest = features(*row[5:])
-                score = prior + float(sum(odds[cell(w)] for w in (*own, *rest)))
-                out.add(*row[:5], " ".join((*own, *rest)), score)
-                if out.full:
-                    yield out.take()
-        yield from out.rest()
-    scored = worded.select("page_id", "host", "path", rule.alias("rule"),
-                           decided.alias("decided"), "own", "rest").mapInArrow(
-        run, "page_id long, host string, path string, rule string, decided string, "
-             "words string, log_odds double")
+    scored = (tokens.join(sums, "row", "left")
+              .withColumn("log_odds", F.lit(prior) + F.coalesce("own_odds", F.lit(0.0))))
     method = F.when((F.col("host") != "") & (F.col("log_odds") > MARGIN), "block").otherwise("allow")
-    return scored.select("page_id", "host", "path", "rule",
-                         F.coalesce("decided", method).alias("verdict"), "words", "log_odds")
+    return scored.select("page_id", "host", "path", rule.alias("rule"),
+                         F.coalesce(decided, method).alias("verdict"),
+                         F.array_join("tokens", " ").alias("words"), "log_odds")
 
 
 def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
