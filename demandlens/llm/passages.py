@@ -396,3 +396,21 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the passages that a document with a smaller id has."""
     kept = strip_passages(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                      lambda w: w <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM d),
+g AS (SELECT doc_id, pos, array_to_string(w[pos:pos + 12], ' ') AS win FROM p
+      WHERE pos + 12 <= len(w)),
+f AS (SELECT win, min(doc_id) AS earliest FROM g GROUP BY win),
+c AS (SELECT DISTINCT doc_id, pos + o AS pos
+      FROM (SELECT g.doc_id, g.pos, unnest(range(13)) AS o FROM g JOIN f USING (win)
+            WHERE f.earliest < g.doc_id)),
+k AS (SELECT doc_id, count(*) AS n, string_agg(w[pos], ' ' ORDER BY pos) AS t
+      FROM p ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""

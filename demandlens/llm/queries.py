@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandlens.llm import bitsliced, collocations, fim, warc
+from demandlens.llm import bitsliced, collocations, fim, passages, warc
 from demandlens.llm.bitsliced import op8_bitsliced
 from demandlens.llm.bpe import op10_byte_bpe
 from demandlens.llm.collocations import op11_collocations
@@ -35,6 +35,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc": warc.ORACLE,
+    "op7_passages": passages.ORACLE,
     "op8_bitsliced": bitsliced.ORACLE,
     "op11_collocations": collocations.ORACLE,
     "op13_fim": fim.ORACLE,
