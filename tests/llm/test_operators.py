@@ -65,6 +65,25 @@ def test_warc_empty_table(spark, scratch):
     assert warc.write_archives(warc.mark_revisits(frame), f"file://{scratch}/w").collect() == []
 
 
+def test_warc_failed_attempt_leaves_no_records(spark, scratch):
+    """A first attempt that fails after writing, and a second one that gets its rows in another
+    order: every record is read once."""
+    uri = f"file://{scratch}/w"
+    rows = [(i, f"http://h/{i}", b"x" * 50, brute.sha(b"x" * 50), "response", None)
+            for i in range(100)]
+    failing = warc.write_drafts(iter(rows), uri, "run-000000", 1, 4000)
+    for _ in range(3):
+        next(failing)
+    failing.close()
+    done = list(warc.write_drafts(iter(rows[::-1]), uri, "run-000000", 2, 9000))
+    for draft, name, _, _ in done + done[:2]:              # a move that is repeated is harmless
+        warc.publish(uri, draft, name)
+    got = [r.page_id for r in warc.read_archives(spark, uri).select("page_id").collect()]
+    assert sorted(got) == list(range(100))
+    with pytest.raises(OSError):
+        warc.publish(uri, "_drafts/none", "none")
+
+
 def test_warc_frames_share_a_dictionary():
     records = [warc.build_record(i, f"http://h/{i}", "response", None, "0" * 64,
                                  (f"<html>page {i} of the site, with the usual words</html>" * 40).encode())
