@@ -6,12 +6,16 @@ position that has it. A merge takes the root, joins that pair, and updates the t
 live neighbours only: a match of n bytes costs O(n log n), so a run of a million letters is
 no special case.
 
-``encode`` and ``decode`` are the operators; both work row by row inside ``mapInArrow`` and
-move no data between tasks.
+``encode`` and ``decode`` are the operators, and ``round_trip`` is both in one step, so that a
+task has one Python worker and one copy of the ranks. All work row by row inside ``mapInArrow``
+and move no data between tasks. A worker keeps the ids of at most ``CACHED_PIECES`` pieces of at
+most ``CACHED_CHARS`` characters and hands out rows once they hold ``BATCH_BYTES`` of text: neither
+depends on the input.
 
 Defined cases: a null text counts as empty and gives an empty id list; an empty text too. A
 null id list decodes to empty bytes. Repeated rows are encoded once each. An input column
-that has the name of a result column (``ids``, ``decoded``) is replaced; other columns pass.
+that has the name of a result column (``ids``, ``decoded``) is replaced; other columns pass, but
+``round_trip`` leaves the text out, since ``decoded`` has its bytes.
 """
 
 from __future__ import annotations
@@ -34,8 +38,9 @@ from demandlens.llm._common import table
 
 # pieces that a worker keeps; when full, they become the older half and a new half begins, so
 # frequent pieces stay and nothing is left out
-CACHED_PIECES = 600_000
+CACHED_PIECES = 200_000          # about 40 MB
 CACHED_CHARS = 48
+BATCH_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -52,11 +57,14 @@ class Ranks:
     def __init__(self, ranks: dict[bytes, int]):
         self.plain = ranks
         self.short = {t: r << self.SHORT_BITS for t, r in ranks.items()}
-        self.long = {t: r << self.LONG_BITS for t, r in ranks.items()}
         most = max(ranks.values(), default=0) + 1
         self.short_none = 1 << (most << self.SHORT_BITS).bit_length()
         self.long_none = 1 << (most << self.LONG_BITS).bit_length()
 
+    def long(self, token: bytes, none: int) -> int:
+        rank = self.plain.get(token)
+        return none if rank is None else rank << self.LONG_BITS
+
 
 def merge_piece(piece: bytes, table: Ranks) -> tuple[int, ...]:
     """Token ids of one match of the pattern.
@@ -74,7 +82,7 @@ def merge_piece(piece: bytes, table: Ranks) -> tuple[int, ...]:
     if n < table.SHORT:
         find, none, mask = table.short.get, table.short_none, table.SHORT - 1
     else:
-        find, none, mask = table.long.get, table.long_none, (1 << table.LONG_BITS) - 1
+        find, none, mask = table.long, table.long_none, (1 << table.LONG_BITS) - 1
     size = 1 << (n - 1).bit_length()
     tree = [none] * size
     tree += [find(piece[i:i + 2], none) + i for i in range(n - 1)]
@@ -146,12 +154,17 @@ class Encoder(dict):
 @lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> Encoder:
     """One encoder per worker process, for all its tasks."""
-    return Encoder(read_ranks(path), pattern)
+    return Encoder(_ranks(path), pattern)
+
+
+@lru_cache(maxsize=2)
+def _ranks(path: str) -> dict[bytes, int]:
+    return read_ranks(path)
 
 
 @lru_cache(maxsize=2)
 def _tokens(path: str) -> list[bytes | None]:
-    ranks = read_ranks(path)
+    ranks = _ranks(path)
     out: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         out[rank] = token
@@ -164,46 +177,78 @@ def _ship(spark: SparkSession, path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, convert) -> DataFrame:
-    """``df`` with column ``name``: ``convert`` makes it from column ``source``, as Arrow arrays."""
-    kept = [f for f in df.schema.fields if f.name != name]
-    schema = T.StructType([*kept, T.StructField(name, kind)])
-    at = [i for i, f in enumerate(df.schema.fields) if f.name != name]
+def _mapped(df: DataFrame, source: str, made: list[tuple[str, T.DataType]], convert,
+            drop: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with the columns ``made``, which ``convert`` makes of some values of ``source``."""
+    names = [name for name, _ in made]
+    at = [i for i, f in enumerate(df.schema.fields) if f.name not in (*names, *drop)]
+    schema = T.StructType([*(df.schema.fields[i] for i in at),
+                           *(T.StructField(name, kind) for name, kind in made)])
     src = df.schema.fieldNames().index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
+            values = batch.column(src)
+            start = 0
+            for stop in _cuts(values):
+                part = batch.slice(start, stop - start)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in at), convert(part.column(src))],
+                    [*(part.column(i) for i in at), *convert(part.column(src))],
                     names=schema.fieldNames())
+                start = stop
     return df.mapInArrow(run, schema)
 
 
+def _cuts(values: pa.Array) -> list[int]:
+    """Ends of slices that hold ``BATCH_BYTES`` each, or one row that is larger."""
+    lengths = pc.binary_length(values) if pa.types.is_string(values.type) else pc.multiply(
+        pc.list_value_length(values), 4)
+    sizes = np.cumsum(pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    out, done = [], 0
+    while not out or out[-1] < len(values):
+        before = sizes[done - 1] if done else 0
+        done = max(done + 1, int(np.searchsorted(sizes, before + BATCH_BYTES, "right")))
+        out.append(min(done, len(values)))
+    return out
+
+
+def _joined(lists: list, tokens: list[bytes | None]) -> pa.Array:
+    return pa.array([b"".join(map(tokens.__getitem__, ids or ())) for ids in lists], pa.binary())
+
+
+IDS, BYTES = T.ArrayType(T.IntegerType(), False), T.BinaryType()
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """Add ``ids`` (array of int): the tokens of the whole text, special tokens not used."""
     name = _ship(df.sparkSession, ranks_path)
 
-    def convert(texts: pa.Array) -> pa.Array:
+    def convert(texts: pa.Array) -> list[pa.Array]:
         own = _encoder(SparkFiles.get(name), pattern).encode
-        return pa.array([own(t) if t else [] for t in texts.to_pylist()],
-                        type=pa.list_(pa.int32()))
-    return _with_column(df, text, "ids", T.ArrayType(T.IntegerType(), False), convert)
+        return [pa.array([own(t) if t else [] for t in texts.to_pylist()],
+                         type=pa.list_(pa.int32()))]
+    return _mapped(df, text, [("ids", IDS)], convert)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """Add ``decoded`` (binary): the bytes that the ids stand for."""
     name = _ship(df.sparkSession, ranks_path)
 
-    def convert(lists: pa.Array) -> pa.Array:
-        tokens = _tokens(SparkFiles.get(name))
-        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-        parts = list(map(tokens.__getitem__, lists.flatten().to_numpy().tolist()))
-        starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-        return pa.array([b"".join(parts[a:b]) for a, b in zip(starts.tolist(), ends.tolist())],
-                        type=pa.binary())
-    return _with_column(df, ids, "decoded", T.BinaryType(), convert)
+    def convert(lists: pa.Array) -> list[pa.Array]:
+        return [_joined(lists.to_pylist(), _tokens(SparkFiles.get(name)))]
+    return _mapped(df, ids, [("decoded", BYTES)], convert)
+
+
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+    """``df`` without its text: ``ids``, and ``decoded``, made from the ids alone."""
+    name = _ship(df.sparkSession, ranks_path)
+
+    def convert(texts: pa.Array) -> list[pa.Array]:
+        path = SparkFiles.get(name)
+        own, tokens = _encoder(path, pattern).encode, _tokens(path)
+        lists = [own(t) if t else [] for t in texts.to_pylist()]
+        return [pa.array(lists, type=pa.list_(pa.int32())), _joined(lists, tokens)]
+    return _mapped(df, text, [("ids", IDS), ("decoded", BYTES)], convert, drop=(text,))
 
 
 def default_vocabulary() -> tuple[str, str]:
@@ -216,8 +261,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole document and the digest of what they decode to."""
     path, pattern = default_vocabulary()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = encode(docs, path, pattern).select("doc_id", "ids")
-    return decode(ids, path).select(
+    return round_trip(docs, path, pattern).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
