@@ -222,9 +222,14 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that the rules keep, with the columns of ``docs`` as they are."""
+    """The rows that the rules keep, with the columns of ``docs`` as they are.
+
+    Texts are counted once: the rows are written with their numbers, and references and
+    verdicts come from there.
+    """
     whole = docs.select("text", "lang", F.struct(*docs.columns).alias("whole"))
-    return judge(whole).where("kept").select("whole.*")
+    measured = written(measure(whole).drop("text", "lang"), "quality-measures")
+    return decide(measured, references(measured)).where("kept").select("whole.*")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
