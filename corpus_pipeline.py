@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.llm import bpe, mixing, pii, quality, simhash
-from demandlens.llm._common import text_or_empty, word_count, written
+from demandlens.llm._common import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,20 +29,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document of no words has no part in the mix and goes too.
     """
-    copies = mixing.mix(docs.select("doc_id", "source", word_count(text_or_empty()).alias("size")))
-    taken = copies.where("copies > 0").select("doc_id", "copies").dropDuplicates(["doc_id"])
-    d, t = docs.alias("d"), taken.alias("t")
-    return (d.join(t, F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")))
-            .select(*[F.col(f"d.`{c}`") for c in docs.columns],
-                    F.explode(F.sequence(F.lit(1), F.col("t.copies"))).alias("__copy"))
-            .drop("__copy"))
+    return mixing.take(docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
     path, pattern = bpe.default_vocabulary()
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, pattern).drop("text")
-    return bpe.decode(ids, path).select(
+    made = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path, pattern)
+    return made.select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
