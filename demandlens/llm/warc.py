@@ -225,7 +225,8 @@ def write_drafts(rows: Iterator[tuple], uri: str, part: str, attempt: int,
     def put(held: list[bytes], number: int) -> tuple:
         name = f"part-{part}-{number:05d}.warc.zst"
         draft, data = f"{DRAFTS}/{attempt}-{name}", pack(held)
-        with store.open_output_stream(f"{base}/{draft}") as out:
+        # the frames are in the data already; by its name the stream would compress it again
+        with store.open_output_stream(f"{base}/{draft}", compression=None) as out:
             out.write(data)
         return draft, name, len(held), len(data)
     held: list[bytes] = []
