@@ -4,13 +4,14 @@ Each match of the splitting pattern is encoded on its own. A segment tree over t
 positions of a match keeps, per node, the smallest pair rank below it and the leftmost
 position that has it. A merge takes the root, joins that pair, and updates the tree at the
 live neighbours only: a match of n bytes costs O(n log n), so a run of a million letters is
-no special case.
+no special case. A node has ``FAN`` children, so a usual match has a root and leaves only.
 
 ``encode`` and ``decode`` are the operators, and ``round_trip`` is both in one step, so that a
 task has one Python worker and one copy of the ranks. All work row by row inside ``mapInArrow``
 and move no data between tasks. A worker keeps the ids of at most ``CACHED_PIECES`` pieces of at
 most ``CACHED_CHARS`` characters and hands out rows once they hold ``BATCH_BYTES`` of text: neither
-depends on the input.
+depends on the input. Ids are kept and joined as packed 32-bit values and become Arrow arrays as
+they are; decoding takes the tokens of all ids of a batch at once.
 
 Defined cases: a null text counts as empty and gives an empty id list; an empty text too. A
 null id list decodes to empty bytes. Repeated rows are encoded once each. An input column
@@ -21,9 +22,9 @@ that has the name of a result column (``ids``, ``decoded``) is replaced; other c
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from demandlens.llm._common import table
 
 # pieces that a worker keeps; when full, they become the older half and a new half begins, so
 # frequent pieces stay and nothing is left out
-CACHED_PIECES = 200_000          # about 40 MB
+CACHED_PIECES = 400_000          # about 80 MB
 CACHED_CHARS = 48
 BATCH_BYTES = 4 << 20
 
@@ -56,6 +57,7 @@ class Ranks:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.plain = ranks
+        self.single = [ranks.get(bytes([b])) for b in range(256)]
         self.short = {t: r << self.SHORT_BITS for t, r in ranks.items()}
         most = max(ranks.values(), default=0) + 1
         self.short_none = 1 << (most << self.SHORT_BITS).bit_length()
@@ -66,80 +68,77 @@ class Ranks:
         return none if rank is None else rank << self.LONG_BITS
 
 
+FAN_BITS = 4
+FAN = 1 << FAN_BITS
+
+
 def merge_piece(piece: bytes, table: Ranks) -> tuple[int, ...]:
     """Token ids of one match of the pattern.
 
-    ``tree`` is a segment tree over byte positions: leaf ``size + i`` holds the pair that
-    starts at byte i as its rank, shifted, plus i, and a node the smaller of its children, so the
-    root is the leftmost pair of the smallest rank. A merge changes three leaves, those of the
-    merged token, of the token it swallowed, and of its live neighbour before; their paths to
-    the root are renewed together.
+    A segment tree over byte positions: leaf i holds the pair that starts at byte i as its
+    rank, shifted, plus i, and a node the smallest of its ``FAN`` children, so the smallest of
+    the top level is the leftmost pair of the smallest rank. A merge changes three leaves, those
+    of the merged token, of the token it swallowed, and of its live neighbour before; their
+    paths to the top are renewed together.
     """
     ranks, n = table.plain, len(piece)
     whole = ranks.get(piece)
     if whole is not None or not n:
         return () if whole is None else (whole,)
     if n < table.SHORT:
-        find, none, mask = table.short.get, table.short_none, table.SHORT - 1
+        find, none, bits = table.short.get, table.short_none, table.SHORT_BITS
     else:
-        find, none, mask = table.long, table.long_none, (1 << table.LONG_BITS) - 1
-    size = 1 << (n - 1).bit_length()
-    tree = [none] * size
-    tree += [find(piece[i:i + 2], none) + i for i in range(n - 1)]
-    tree += [none] * (2 * size - len(tree))
-    for i in range(size - 1, 0, -1):
-        left, right = tree[2 * i], tree[2 * i + 1]
-        tree[i] = left if left < right else right
-    # a live token starts at i and ends at after[i], where the next live token starts
+        find, none, bits = table.long, table.long_none, table.LONG_BITS
+    mask = (1 << bits) - 1
+    leaves = [find(piece[i:i + 2], none) + i for i in range(n - 1)]
+    leaves.append(none)
+    top, steps = leaves, []
+    while len(top) > FAN:
+        low, top = top, [min(top[i:i + FAN]) for i in range(0, len(top), FAN)]
+        steps.append((low, top))
+    # a live token starts at i, where its id is, and ends at after[i], where the next one starts
+    ids = [table.single[b] for b in piece]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    while (top := tree[1]) < none:
-        i = top & mask
+    while (best := min(top)) < none:
+        i = best & mask
+        ids[i] = best >> bits
         j = after[i]
+        ids[j], leaves[j] = -1, none
         end = after[i] = after[j]
-        z, y = size + j, size + i
-        tree[z] = none
         if end < n:
             before[end] = i
-            tree[y] = find(piece[i:after[end]], none) + i
+            leaves[i] = find(piece[i:after[end]], none) + i
         else:
-            tree[y] = none
+            leaves[i] = none
         h = before[i]
         if h >= 0:
-            x = size + h
-            tree[x] = find(piece[h:end], none) + h
-        else:
-            x = y
-        while x > 1:
-            x >>= 1
-            y >>= 1
-            z >>= 1
-            left, right = tree[x + x], tree[x + x + 1]
-            tree[x] = left if left < right else right
-            if y != x:
-                left, right = tree[y + y], tree[y + y + 1]
-                tree[y] = left if left < right else right
-            if z != y:
-                left, right = tree[z + z], tree[z + z + 1]
-                tree[z] = left if left < right else right
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i:after[i]]])
-        i = after[i]
-    return tuple(out)
+            leaves[h] = find(piece[h:end], none) + h
+        if steps:
+            x = h if h >= 0 else i
+            for low, up in steps:
+                x, i, j = x >> FAN_BITS, i >> FAN_BITS, j >> FAN_BITS
+                up[x] = min(low[x << FAN_BITS:(x + 1) << FAN_BITS])
+                if i != x:
+                    up[i] = min(low[i << FAN_BITS:(i + 1) << FAN_BITS])
+                if j != i:
+                    up[j] = min(low[j << FAN_BITS:(j + 1) << FAN_BITS])
+    if None in ids:
+        raise KeyError(piece)
+    return tuple([token for token in ids if token >= 0])
 
 
 class Encoder(dict):
-    """Maps a piece to its ids; unseen pieces are merged, short ones kept."""
+    """Maps a piece to its ids, packed; unseen pieces are merged, short ones kept."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         super().__init__()
         self.table, self.pieces = Ranks(ranks), regex.compile(pattern).findall
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = merge_piece(piece.encode("utf-8", "replace"), self.table)
+            ids = array("i", merge_piece(piece.encode("utf-8", "replace"), self.table)).tobytes()
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED_PIECES // 2:
                 self.older = dict(self)
@@ -147,8 +146,8 @@ class Encoder(dict):
             self[piece] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.pieces(text))))
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.pieces(text)))
 
 
 @lru_cache(maxsize=2)
@@ -163,12 +162,13 @@ def _ranks(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def _tokens(path: str) -> list[bytes | None]:
+def _tokens(path: str) -> pa.Array:
+    """The bytes of every id; null where the file has no such rank."""
     ranks = _ranks(path)
     out: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         out[rank] = token
-    return out
+    return pa.array(out, pa.large_binary())
 
 
 def _ship(spark: SparkSession, path: str) -> str:
@@ -212,8 +212,31 @@ def _cuts(values: pa.Array) -> list[int]:
     return out
 
 
-def _joined(lists: list, tokens: list[bytes | None]) -> pa.Array:
-    return pa.array([b"".join(map(tokens.__getitem__, ids or ())) for ids in lists], pa.binary())
+def _starts(lengths) -> np.ndarray:
+    """Where each of consecutive rows starts and the last one ends."""
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _encoded(texts: pa.Array, encoder: Encoder) -> tuple[np.ndarray, pa.Array]:
+    """Where the ids of each text start, and the ids of all texts."""
+    rows = [encoder.encode(t) if t else b"" for t in texts.to_pylist()]
+    return (_starts([len(r) // 4 for r in rows]),
+            pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+def _lists(starts: np.ndarray, ids: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), ids)
+
+
+def _joined(starts: np.ndarray, ids: pa.Array, tokens: pa.Array) -> pa.Array:
+    """Per row the bytes of its ids: those of all ids, one after another, cut at row starts."""
+    taken = tokens.take(ids)
+    if taken.null_count:
+        raise ValueError("an id that the rank file does not have")
+    _, ends, data = taken.buffers()
+    ends = np.frombuffer(ends, np.int64)[:len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(ends[starts]), data]).cast(pa.binary())
 
 
 IDS, BYTES = T.ArrayType(T.IntegerType(), False), T.BinaryType()
@@ -224,9 +247,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
     name = _ship(df.sparkSession, ranks_path)
 
     def convert(texts: pa.Array) -> list[pa.Array]:
-        own = _encoder(SparkFiles.get(name), pattern).encode
-        return [pa.array([own(t) if t else [] for t in texts.to_pylist()],
-                         type=pa.list_(pa.int32()))]
+        return [_lists(*_encoded(texts, _encoder(SparkFiles.get(name), pattern)))]
     return _mapped(df, text, [("ids", IDS)], convert)
 
 
@@ -235,7 +256,8 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     name = _ship(df.sparkSession, ranks_path)
 
     def convert(lists: pa.Array) -> list[pa.Array]:
-        return [_joined(lists.to_pylist(), _tokens(SparkFiles.get(name)))]
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        return [_joined(_starts(lengths), lists.flatten(), _tokens(SparkFiles.get(name)))]
     return _mapped(df, ids, [("decoded", BYTES)], convert)
 
 
@@ -245,9 +267,8 @@ def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text")
 
     def convert(texts: pa.Array) -> list[pa.Array]:
         path = SparkFiles.get(name)
-        own, tokens = _encoder(path, pattern).encode, _tokens(path)
-        lists = [own(t) if t else [] for t in texts.to_pylist()]
-        return [pa.array(lists, type=pa.list_(pa.int32())), _joined(lists, tokens)]
+        starts, ids = _encoded(texts, _encoder(path, pattern))
+        return [_lists(starts, ids), _joined(starts, ids, _tokens(path))]
     return _mapped(df, text, [("ids", IDS), ("decoded", BYTES)], convert, drop=(text,))
 
 

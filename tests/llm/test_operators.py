@@ -660,3 +660,63 @@ def test_bpe_tree_merges_the_leftmost_smallest_pair():
         piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 90)))
         if piece not in ranks:
             assert list(bpe.merge_piece(piece, bpe.Ranks(ranks))) == plain(piece)
+
+
+def test_bpe_merge_of_a_usual_piece_takes_few_steps(reference_encoder):
+    """Steps, not seconds: Python lines run to merge pieces of up to 16 bytes, per byte."""
+    import sys
+    ranks = bpe.Ranks(bpe.read_ranks(bpe.default_vocabulary()[0]))
+    rng = random.Random(2)
+    pieces = ["".join(rng.choice("etaoinshr") for _ in range(rng.randint(8, 16))) for _ in range(200)]
+    lines = 0
+
+    def count(frame, event, arg):
+        nonlocal lines
+        lines += event == "line"
+        return count
+    before = sys.gettrace()
+    sys.settrace(count)
+    try:
+        got = [list(bpe.merge_piece(p.encode(), ranks)) for p in pieces]
+    finally:
+        sys.settrace(before)
+    assert got == [reference_encoder.encode_ordinary(p) for p in pieces]
+    assert lines < 20 * sum(map(len, pieces)), lines
+
+
+def test_bpe_pieces_that_recur_are_merged_once(monkeypatch):
+    merged = Counter()
+
+    def merge(piece, table):
+        merged[piece] += 1
+        return (1, 2)
+    monkeypatch.setattr(bpe, "merge_piece", merge)
+    encoder = bpe.Encoder({b"a": 1, b"b": 2}, r"[0-9]+")
+    text = " ".join(map(str, range(150_000)))
+    for _ in range(2):
+        encoder.encode(text)
+    assert len(merged) == 150_000 and set(merged.values()) == {1}
+    for start in range(150_000, 1_200_000, 150_000):          # and the store stays bounded
+        encoder.encode(" ".join(map(str, range(start, start + 150_000))))
+        assert len(encoder) + len(encoder.older) <= bpe.CACHED_PIECES
+
+
+def test_bpe_long_pieces_at_every_depth_of_the_tree(reference_encoder):
+    ranks = bpe.Ranks(bpe.read_ranks(bpe.default_vocabulary()[0]))
+    rng = random.Random(3)
+    for n in (15, 16, 17, 63, 64, 65, 255, 256, 257, 4095, 4096, 4097, 5000):
+        for letters in ("ab", "etaoinshr"):
+            piece = "".join(rng.choice(letters) for _ in range(n))
+            assert list(bpe.merge_piece(piece.encode(), ranks)) == reference_encoder.encode_ordinary(piece), n
+
+
+def test_bpe_decode_of_null_lists_and_unknown_ids(spark, frame, reference_encoder):
+    path, _ = bpe.default_vocabulary()
+    lists = [[], None, [64, 65], None, reference_encoder.encode_ordinary("some words"), []]
+    docs = spark.createDataFrame(list(enumerate(lists)), "doc_id long, ids array<int>").coalesce(1)
+    got = {r.doc_id: bytes(r.decoded) for r in bpe.decode(docs, path).collect()}
+    want = [reference_encoder.decode_bytes(ids or []) for ids in lists]
+    assert got == dict(enumerate(want))
+    gap = bpe.pa.array([b"x", None], bpe.pa.large_binary())
+    with pytest.raises(ValueError):
+        bpe._joined(bpe._starts([1]), bpe.pa.array([1], bpe.pa.int32()), gap)
